@@ -1,0 +1 @@
+"""Left empty on purpose: the workload is batch only and has no stream operators."""
