@@ -1 +1,121 @@
-"""Pending."""
+"""Descriptive statistics, sorts and set operations on the driver tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from valora.catalogue.registry import query, rounded, table
+from valora.operators import ranks, relational, stats
+
+
+@query("value_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def value_counts(spark, sf):
+    return stats.value_counts(table(spark, sf, "events"), "event_type")
+
+
+@query("group_stats", """
+SELECT c_mktsegment, round(median(o_totalprice), 4) AS median, round(avg(o_totalprice), 4) AS mean,
+       max(o_totalprice) AS max
+FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY c_mktsegment""")
+def group_stats(spark, sf):
+    priced = table(spark, sf, "orders").select("o_custkey", "o_totalprice").join(
+        table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), F.col("c_custkey") == F.col("o_custkey"))
+    return rounded(stats.group_stats(priced, ["c_mktsegment"], "o_totalprice"), 4, "median", "mean")
+
+
+_CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+
+
+@query("corr_matrix", "WITH l AS (SELECT * REPLACE (nullif(l_tax, 0) AS l_tax) FROM lineitem) "
+       + " UNION ALL ".join(
+           f"SELECT '{a}' AS x, '{b}' AS y, round(corr({a}, {b}), 9) AS corr FROM l" for a in _CORR for b in _CORR))
+def corr_matrix(spark, sf):
+    line = table(spark, sf, "lineitem").withColumn("l_tax", F.nullif("l_tax", F.lit(0.0)))
+    return rounded(stats.corr_matrix(line, _CORR), 9, "corr")
+
+
+@query("histogram", """
+WITH b AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders)
+SELECT CAST(least(40, floor((o_totalprice - lo) / ((hi - lo) / 40)) + 1) AS INTEGER) AS bin, count(*) AS n,
+       round(min(lo + (hi - lo) / 40 * (least(40, floor((o_totalprice - lo) / ((hi - lo) / 40)) + 1) - 1)), 4) AS bin_start
+FROM orders, b GROUP BY 1""")
+def histogram(spark, sf):
+    return rounded(stats.histogram(table(spark, sf, "orders"), "o_totalprice", 40), 4, "bin_start")
+
+
+@query("histogram_by_group", """
+WITH b AS (SELECT o_orderstatus, min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders GROUP BY ALL)
+SELECT o_orderstatus, CAST(least(30, floor((o_totalprice - lo) / ((hi - lo) / 30)) + 1) AS INTEGER) AS bin, count(*) AS n
+FROM orders JOIN b USING (o_orderstatus) GROUP BY ALL""")
+def histogram_by_group(spark, sf):
+    return stats.histogram(table(spark, sf, "orders"), "o_totalprice", 30, ["o_orderstatus"]).drop("bin_start")
+
+
+@query("topk", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
+def topk(spark, sf):
+    return relational.top_k(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 10, "o_totalprice",
+                            ["o_orderkey"])
+
+
+@query("sort_report", """
+SELECT o_orderpriority, o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total
+FROM orders GROUP BY ALL""")
+def sort_report(spark, sf):
+    report = table(spark, sf, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(
+        F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return report.orderBy("o_orderpriority", F.desc_nulls_last("total"), "o_orderstatus")
+
+
+@query("union_results", """
+SELECT 'status' AS label, o_orderstatus AS value, count(*) AS n, NULL::DOUBLE AS total FROM orders GROUP BY ALL
+UNION ALL SELECT 'priority', o_orderpriority, count(*), round(sum(o_totalprice), 2) FROM orders GROUP BY ALL""")
+def union_results(spark, sf):
+    orders = table(spark, sf, "orders")
+    by_status = orders.groupBy(F.col("o_orderstatus").alias("value")).agg(F.count("*").alias("n"))
+    by_priority = orders.groupBy(F.col("o_orderpriority").alias("value")).agg(
+        F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return by_status.withColumn("label", F.lit("status")).unionByName(
+        by_priority.withColumn("label", F.lit("priority")), allowMissingColumns=True)
+
+
+@query("distinct_suite", """
+SELECT o_custkey, count(DISTINCT year(o_orderdate)) AS seasons, count(DISTINCT o_orderstatus) AS statuses,
+       array_to_string(list_sort(list(DISTINCT o_orderpriority)), ',') AS priorities, CAST(max(year(o_orderdate)) AS INTEGER) AS newest
+FROM orders GROUP BY o_custkey""")
+def distinct_suite(spark, sf):
+    """Distinct counts, the sorted distinct labels (a fixed small set) and the newest season."""
+    return table(spark, sf, "orders").groupBy("o_custkey").agg(
+        F.countDistinct(F.year("o_orderdate")).alias("seasons"), F.countDistinct("o_orderstatus").alias("statuses"),
+        F.array_join(F.sort_array(F.collect_set("o_orderpriority")), ",").alias("priorities"),
+        F.max(F.year("o_orderdate")).alias("newest"))
+
+
+@query("distinct_pairs", """
+SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders
+ORDER BY season DESC, o_custkey LIMIT 50""")
+def distinct_pairs(spark, sf):
+    """Head of the distinct customer seasons, newest first."""
+    return table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("season")).distinct() \
+        .orderBy(F.desc("season"), "o_custkey").limit(50)
+
+
+@query("spearman_rank", """
+WITH r AS (
+  SELECT o_orderpriority,
+    rank() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice)
+      + (count(*) OVER (PARTITION BY o_orderpriority, o_totalprice) - 1) / 2.0 AS a,
+    rank() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate)
+      + (count(*) OVER (PARTITION BY o_orderpriority, o_orderdate) - 1) / 2.0 AS b
+  FROM orders)
+SELECT o_orderpriority, round(corr(a, b), 9) AS spearman FROM r GROUP BY o_orderpriority""")
+def spearman_rank(spark, sf):
+    orders = table(spark, sf, "orders").select(
+        "o_orderpriority", "o_totalprice", F.unix_date(F.col("o_orderdate").cast("date")).alias("day"))
+    return rounded(ranks.spearman(orders, ["o_orderpriority"], "o_totalprice", "day"), 9, "spearman")
+
+
+@query("global_stats", """
+SELECT round(avg(o_totalprice), 4) AS mean, round(median(o_totalprice), 4) AS median, max(o_totalprice) AS max FROM orders""")
+def global_stats(spark, sf):
+    return rounded(stats.group_stats(table(spark, sf, "orders"), [], "o_totalprice"), 4, "mean", "median") \
+        .select("mean", "median", "max")

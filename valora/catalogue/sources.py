@@ -1 +1,135 @@
-"""Pending."""
+"""Source and sink operators: files are written from whole driver tables and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from valora.catalogue.registry import query, table
+from valora.functions.numeric import parse_number
+from valora.session import scratch_dir
+from valora.sources import pages, tables
+
+
+@query("json_explode", """
+SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, e.pos, e.league, e.amount FROM (
+  SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, unnest([
+    {'pos': 0, 'league': CAST(l_linenumber % 3 AS INTEGER), 'amount': l_quantity},
+    {'pos': 1, 'league': CAST(l_suppkey % 3 AS INTEGER), 'amount': l_tax},
+    {'pos': 2, 'league': 1, 'amount': l_discount}]) AS e FROM lineitem)
+WHERE e.league = 1""")
+def json_explode(spark, sf):
+    """Nested entries through JSON text, filtered inside the array, then one row per entry."""
+    line = table(spark, sf, "lineitem")
+
+    def entry(pos, league, amount):
+        return F.struct(F.lit(pos).alias("pos"), F.struct(league.cast("int").alias("id")).alias("league"),
+                        F.struct(amount.alias("amount")).alias("games"))
+
+    statistics = F.array(entry(0, F.col("l_linenumber") % 3, F.col("l_quantity")),
+                         entry(1, F.col("l_suppkey") % 3, F.col("l_tax")),
+                         entry(2, F.lit(1), F.col("l_discount")))
+    schema = "ARRAY<STRUCT<pos: INT, league: STRUCT<id: INT>, games: STRUCT<amount: DOUBLE>>>"
+    keys = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
+    packed = line.select(*keys, F.from_json(F.to_json(statistics), schema).alias("statistics"))
+    mine = packed.filter(pages.has_league(F.col("statistics"), F.lit(1))).select(
+        *keys, pages.only_league(F.col("statistics"), F.lit(1)).alias("statistics"))
+    return mine.select(*keys, F.posexplode("statistics").alias("i", "s")).select(
+        *keys, "s.pos", F.col("s.league.id").alias("league"), F.col("s.games.amount").alias("amount"))
+
+
+_LEAGUES = [1, 2]
+
+
+def _response_pages(orders):
+    """Orders as response pages: status = team, year = season, priority = page. Every row is
+    a page line with one record of two entries, so no group is collected."""
+    season = F.year("o_orderdate")
+    team = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2).otherwise(3)
+    page = F.left("o_orderpriority", F.lit(1)).cast("int")
+    league = (F.col("o_custkey") % 2 + 1).cast("int")
+
+    def entry(league_id, minutes):
+        return F.struct(
+            F.struct(team.cast("long").alias("id"), F.col("o_orderstatus").alias("name")).alias("team"),
+            F.struct(league_id.alias("id")).alias("league"),
+            F.struct(minutes.cast("int").alias("minutes"), (minutes % 10).cast("string").alias("rating")).alias("games"))
+
+    minutes = F.floor(F.col("o_totalprice") / 1000)
+    record = F.struct(F.struct(F.col("o_orderkey").alias("id")).alias("player"),
+                      F.array(entry(league, minutes), entry(F.lit(2), minutes + 1)).alias("statistics"))
+    failed = (team == 3) & (season == 1997) & (page == 2)
+    return orders.select(
+        pages.request_slug_column("players", team=team, season=season, page=page).alias("request"),
+        F.when(failed, '{"rateLimit":"exceeded"}').otherwise("[]").alias("errors"),
+        F.struct(F.when(season == 1996, 2).otherwise(5).alias("total")).alias("paging"),
+        F.array(record).alias("response"))
+
+
+def _team_pages(spark):
+    rows = [(pages.request_slug("teams", league=league, season=season), "[]", [((team,),) for team in teams])
+            for season in range(1995, 2003) for league, teams in ((1, [1, 3]), (2, [2]))]
+    return spark.createDataFrame(rows, "request STRING, " + pages.TEAM_PAGE)
+
+
+def _cached_orders(spark, sf) -> str:
+    path = scratch_dir(spark, "pages")
+    pages.write_pages(_response_pages(table(spark, sf, "orders")), path)
+    pages.write_pages(_team_pages(spark), path)
+    return path
+
+
+_PAGED_SQL = """
+o AS (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS season, CAST(o_orderpriority[1:1] AS INTEGER) AS page,
+             CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS team,
+             CAST(o_custkey % 2 + 1 AS INTEGER) AS first_league, CAST(floor(o_totalprice / 1000) AS INTEGER) AS minutes
+      FROM orders),
+kept AS (SELECT *, CASE WHEN team = 2 THEN 2 ELSE 1 END AS league FROM o
+         WHERE page <= 3 AND NOT (season = 1996 AND page > 2) AND NOT (team = 3 AND season = 1997 AND page = 2)),
+entries AS (
+  SELECT season, league, o_orderkey, page, 0 AS entry_no, minutes FROM kept WHERE first_league = league
+  UNION ALL SELECT season, league, o_orderkey, page, 1, minutes + 1 FROM kept WHERE league = 2)"""
+
+
+@query("paged_scan", f"""
+WITH {_PAGED_SQL}
+SELECT season, league AS league_id, o_orderkey AS player_id, page, minutes, CAST(minutes % 10 AS DOUBLE) AS rating
+FROM entries""")
+def paged_scan(spark, sf):
+    """Cached pages of all teams and seasons: error pages set aside, page cap, league ownership."""
+    path = _cached_orders(spark, sf)
+    records = pages.load_statistics(spark, path, seasons=range(1995, 2003), league_ids=_LEAGUES, multiline=False,
+                                    fixed_teams={}, files=pages.EXPORTED)
+    return records.select("season", "league_id", "player.id", "rec_ord.page", F.explode("statistics").alias("s")).select(
+        "season", "league_id", F.col("id").alias("player_id"), "page", F.col("s.games.minutes").alias("minutes"),
+        parse_number(F.col("s.games.rating")).alias("rating"))
+
+
+@query("page_quarantine", """
+SELECT CAST(count(*) FILTER (o_orderstatus = 'P' AND year(o_orderdate) = 1997 AND o_orderpriority = '2-HIGH') AS BIGINT) AS failed,
+       CAST(count(*) FILTER (NOT (o_orderstatus = 'P' AND year(o_orderdate) = 1997 AND o_orderpriority = '2-HIGH')) AS BIGINT) AS usable
+FROM orders""")
+def page_quarantine(spark, sf):
+    scanned = pages.scan_pages(spark, f"{_cached_orders(spark, sf)}/{pages.EXPORTED.format(endpoint='players')}",
+                               multiline=False)
+    return scanned.agg(F.count_if(pages.has_errors(F.col("errors"))).alias("failed"),
+                       F.count_if(~pages.has_errors(F.col("errors"))).alias("usable"))
+
+
+@query("csv_json_roundtrip", """
+SELECT s_suppkey, s_name, s_acctbal, n_name, n_regionkey, CAST(coalesce(k, 0) AS BIGINT) AS customers
+FROM supplier JOIN nation ON n_nationkey = s_nationkey
+LEFT JOIN (SELECT c_nationkey, count(*) AS k FROM customer GROUP BY ALL) ON c_nationkey = s_nationkey""")
+def csv_json_roundtrip(spark, sf):
+    """Suppliers through CSV, nations through partitioned Parquet, customers through JSON."""
+    path = scratch_dir(spark, "roundtrip")
+    tables.write_csv(table(spark, sf, "supplier"), f"{path}/supplier")
+    tables.write_table(table(spark, sf, "nation"), f"{path}/nation", ["n_regionkey"])
+    table(spark, sf, "customer").write.json(f"{path}/customer")
+    supplier = tables.read_csv(spark, f"{path}/supplier",
+                               "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE")
+    nation = tables.read_table(spark, f"{path}/nation", "n_nationkey INT, n_name STRING, n_regionkey INT")
+    customer = spark.read.json(f"{path}/customer", schema="c_custkey BIGINT, c_nationkey INT")
+    counts = customer.groupBy("c_nationkey").agg(F.count("*").alias("customers"))
+    return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")) \
+        .join(counts, F.col("s_nationkey") == F.col("c_nationkey"), "left").select(
+        "s_suppkey", "s_name", "s_acctbal", "n_name", "n_regionkey", F.coalesce("customers", F.lit(0)).alias("customers"))

@@ -51,21 +51,22 @@ def average_rank() -> Column:
 
 
 def pct_rank(df: DataFrame, groups: Sequence[str], columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
-    """Add average-tie percentile ranks within ``groups``; null values and groups stay null."""
+    """Add average-tie percentile ranks within ``groups``; null values and groups stay null.
+
+    ``df`` is read once per column and once for the result: pass a stored table when it is
+    expensive. Per column only the groups and that column are read.
+    """
     outputs = columns if isinstance(columns, Mapping) else {c: f"{c}_pct" for c in columns}
-    long = df.dropna(subset=list(groups)).select(*groups, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("__metric"), F.col(c).cast("double").alias("__x")) for c in outputs
-    ])).alias("e")).select(*groups, "e.*").dropna(subset=["__x"])
-    counts = long.groupBy(*groups, "__metric", "__x").agg(F.count("*").alias("n"))
-    ranks = value_positions(counts, [*groups, "__metric"], "__x").select(
-        *groups, "__metric", "__x", (average_rank() / F.col("total")).alias("__pct"))
     out = df
     for source, target in outputs.items():
-        one = ranks.filter(F.col("__metric") == source).select(
-            *[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)], "__x", F.col("__pct").alias(target))
+        counts = df.dropna(subset=[*groups, source]).select(*groups, F.col(source).cast("double").alias("__x")) \
+            .groupBy(*groups, "__x").agg(F.count("*").alias("n"))
+        ranks = value_positions(counts, groups, "__x").select(
+            *[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)], "__x",
+            (average_rank() / F.col("total")).alias(target))
         condition = [F.col(source).cast("double") == F.col("__x")]
         condition += [F.col(g) == F.col(f"__g{i}") for i, g in enumerate(groups)]
-        out = out.join(one, condition, "left").drop("__x", *[f"__g{i}" for i in range(len(groups))])
+        out = out.join(ranks, condition, "left").drop("__x", *[f"__g{i}" for i in range(len(groups))])
     return out
 
 
@@ -92,8 +93,8 @@ def exact_quantile(df: DataFrame, groups: Sequence[str], value: str, q: float =
 def spearman(df: DataFrame, groups: Sequence[str], a: str, b: str, alias: str = "spearman") -> DataFrame:
     """Rank correlation per group, ties averaged; null where a side is constant."""
     pairs = df.dropna(subset=[a, b]).select(
-        *groups, F.col(a).cast("double").alias("__a"), F.col(b).cast("double").alias("__b2"),
-    ).groupBy(*groups, "__a", "__b2").agg(F.count("*").alias("w"))
+        *groups, F.col(a).cast("double").alias("__first"), F.col(b).cast("double").alias("__second"),
+    ).groupBy(*groups, "__first", "__second").agg(F.count("*").alias("w"))
 
     def scaled_ranks(column: str, name: str) -> DataFrame:
         counts = pairs.groupBy(*groups, column).agg(F.sum("w").alias("n"))
@@ -104,7 +105,7 @@ def spearman(df: DataFrame, groups: Sequence[str], a: str, b: str, alias: str =
             F.col(column).alias(f"__{name}x"), centred.alias(name))
 
     ranked = pairs
-    for column, name in (("__a", "ra"), ("__b2", "rb")):
+    for column, name in (("__first", "ra"), ("__second", "rb")):
         condition = [F.col(column) == F.col(f"__{name}x")]
         condition += [F.col(g).eqNullSafe(F.col(f"__{name}{i}")) for i, g in enumerate(groups)]
         ranked = ranked.join(scaled_ranks(column, name), condition)

@@ -65,6 +65,31 @@ def best_similar(left: DataFrame, right: DataFrame, threshold: float = config.FU
         .groupBy("block", "lname").agg(best).select("block", "lname", "best.id", "best.score")
 
 
+def exact_tiers(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, full: str, last: str,
+                block: str, order_cols: Sequence[str]) -> DataFrame:
+    """Left rows with ``__full_id`` (last duplicate wins) and ``__last_id`` (first wins).
+
+    Rows without a block cannot match; they stay out of the joins so that they do not pile
+    up in one shuffle partition.
+    """
+    by_full = exact_ids(right, [full, block], right_id, order_cols, "last", "__full_id")
+    by_last = exact_ids(right, [last, block], right_id, order_cols, "first", "__last_id")
+    people = left.select(left_id, full, last, block)
+    blocked = people.filter(F.col(block).isNotNull())
+    joined = blocked.join(by_full, [full, block], "left").join(by_last, [last, block], "left")
+    types = dict(joined.dtypes)
+    blank = {c: F.lit(None).cast(types[c]) for c in ("__full_id", "__last_id")}
+    return joined.unionByName(people.filter(F.col(block).isNull()).withColumns(blank))
+
+
+def method_of(*tiers: tuple[str, str]) -> Column:
+    """Name of the first tier whose id column is set, else ``unmatched``."""
+    method = F.lit("unmatched")
+    for column, name in reversed(tiers):
+        method = F.when(F.col(column).isNotNull(), name).otherwise(method)
+    return method
+
+
 def resolve(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, full: str, last: str, block: str,
             order_cols: Sequence[str], output_id: str = "matched_id", threshold: float = config.FUZZY_THRESHOLD,
             direct_limit: int = DIRECT_BLOCK_NAMES) -> DataFrame:
@@ -75,33 +100,26 @@ def resolve(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, f
     keys resolve to the last id for the full-name tiers and the first id for the last-name tier.
     """
     right = right.dropna(subset=[block])
-    order = order_struct(order_cols)
-    by_full = exact_ids(right, [full, block], right_id, order_cols, "last", "__full_id")
-    by_last = exact_ids(right, [last, block], right_id, order_cols, "first", "__last_id")
-
-    people = left.select(left_id, full, last, block)
-    # A null key cannot match; kept out of the joins so it does not pile up in one partition.
-    blocked, unblocked = people.filter(F.col(block).isNotNull()), people.filter(F.col(block).isNull())
-    exact = blocked.join(by_full, [full, block], "left").join(by_last, [last, block], "left")
-
-    pending = exact.filter("__full_id IS NULL AND __last_id IS NULL").select(
+    exact = exact_tiers(left, right, left_id=left_id, right_id=right_id, full=full, last=last, block=block,
+                        order_cols=order_cols)
+    pending = exact.filter("__full_id IS NULL AND __last_id IS NULL").dropna(subset=[block, full]).select(
         F.col(block).alias("block"), F.col(full).alias("lname"))
+    order = order_struct(order_cols)
     candidates = right.dropna(subset=[full]).groupBy(F.col(block).alias("block"), F.col(full).alias("rname")).agg(
         F.max_by(right_id, order).alias("id"), F.min(order).alias("ord"))
     similar = best_similar(pending, candidates, threshold, direct_limit).select(
         F.col("block").alias(block), F.col("lname").alias(full), F.col("id").alias("__near_id"))
 
-    resolved = exact.join(similar, [full, block], "left").select(
-        left_id,
-        F.coalesce("__full_id", "__last_id", "__near_id").alias(output_id),
-        F.when(F.col("__full_id").isNotNull(), "exact_full")
-        .when(F.col("__last_id").isNotNull(), "exact_last")
-        .when(F.col("__near_id").isNotNull(), "fuzzy")
-        .otherwise("unmatched").alias("match_method"),
-    )
-    id_type = dict(resolved.dtypes)[output_id]
-    return resolved.unionByName(unblocked.select(
-        left_id, F.lit(None).cast(id_type).alias(output_id), F.lit("unmatched").alias("match_method")))
+    # Only names that are still open look for a similar one, so the join is on those rows.
+    done = exact.filter("__full_id IS NOT NULL OR __last_id IS NOT NULL OR " f"`{block}` IS NULL")
+    still_open = exact.filter("__full_id IS NULL AND __last_id IS NULL").dropna(subset=[block])
+    near_type = dict(right.dtypes)[right_id]
+    tiers = still_open.join(similar, [full, block], "left").unionByName(
+        done.withColumn("__near_id", F.lit(None).cast(near_type)))
+    return tiers.select(
+        left_id, F.coalesce("__full_id", "__last_id", "__near_id").alias(output_id),
+        method_of(("__full_id", "exact_full"), ("__last_id", "exact_last"), ("__near_id", "fuzzy"))
+        .alias("match_method"))
 
 
 def match_rate(crosswalk: DataFrame, output_id: str = "matched_id") -> DataFrame:

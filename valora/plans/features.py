@@ -1,7 +1,8 @@
 """Feature stages 1 to 5, each one row per player and season.
 
-All stages are projections and small joins around one roll-up of the joined rows; the
-roll-up is passed along so that a chain of stages computes it once.
+All stages are projections and small joins around one roll-up of the joined rows. Stages
+that read the roll-up several times (ranks, changes) store it once in the shared folder;
+``rolled`` passes a stored roll-up to several stages.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from valora.operators.asof import asof_backward
 from valora.operators.ranks import pct_rank
 from valora.operators.relational import period_delta
 from valora.operators.rollup import WeightedMean, primary_member, rollup
+from valora.session import materialize
 
 KEY = ["api_player_id", "season"]
 BASE = ["api_player_id", "season", "tm_player_id", "market_value_in_eur"]
@@ -38,6 +40,10 @@ def aggregate_multi_club(joined: DataFrame, order_cols: Sequence[str | Column] =
     return rolled.select(*[c for c in rolled.columns if c != "primary"], "primary.*")
 
 
+def stored_rollup(joined: DataFrame, order_cols: Sequence[str | Column] = ("rec_ord",)) -> DataFrame:
+    return materialize(aggregate_multi_club(joined, order_cols), "rollup")
+
+
 def with_age(df: DataFrame) -> DataFrame:
     return df.withColumn("age", age_at_season_end(F.col("dob"), F.col("season")))
 
@@ -126,7 +132,7 @@ def build_stage3(joined: DataFrame, valuations: DataFrame | None = None,
                  with_delta: bool = True, rank_groups: Sequence[str] = ("pos_FWD",)) -> DataFrame:
     """Age squared, percentile ranks, changes against the previous season and, when
     valuations are given, the value history."""
-    rolled = aggregate_multi_club(joined, order_cols) if rolled is None else rolled
+    rolled = stored_rollup(joined, order_cols) if rolled is None else rolled
     return _stage3(joined, rolled, valuations, with_delta, rank_groups)
 
 
@@ -146,7 +152,7 @@ def build_stage4(joined: DataFrame, order_cols: Sequence[str | Column] = ("rec_o
 
     The team mean holds the player's own value; ``exclude_self`` leaves it out.
     """
-    rolled = aggregate_multi_club(joined, order_cols) if rolled is None else rolled
+    rolled = stored_rollup(joined, order_cols) if rolled is None else rolled
     minutes = F.col("minutes")
     extra = {
         "goal_involvement_p90": per90(F.col("goals") + F.col("assists"), minutes),

@@ -29,6 +29,7 @@ RECORD = (
 # ``errors`` is an empty list or an object, so it is kept as text.
 PLAYER_PAGE = f"errors STRING, paging STRUCT<total: INT>, response ARRAY<{RECORD}>"
 TEAM_PAGE = "errors STRING, response ARRAY<STRUCT<team: STRUCT<id: BIGINT>>>"
+EXPORTED = "cached={endpoint}_*.json"
 REQUEST_KEYS = ("league", "page", "season", "team")
 
 
@@ -137,16 +138,20 @@ def player_records(pages: DataFrame, owners: DataFrame, season_order: Sequence[i
 
 def load_statistics(spark: SparkSession, directory: str, seasons: Sequence[int] | None = None,
                     league_ids: Sequence[int] | None = None, multiline: bool = True,
-                    fixed_teams: Mapping[int, Sequence[int]] | None = None) -> DataFrame:
-    """All cached player records of the seasons and leagues in one distributed scan."""
+                    fixed_teams: Mapping[int, Sequence[int]] | None = None,
+                    files: str = "{endpoint}_*.json") -> DataFrame:
+    """All cached player records of the seasons and leagues in one distributed scan.
+
+    ``files`` is the name pattern of one endpoint; exports of ``write_pages`` use ``EXPORTED``.
+    """
     seasons = list(seasons or config.DEFAULT_SEASONS)
     league_ids = list(league_ids or [config.DEFAULT_LEAGUE])
     fixed = {config.DEFAULT_LEAGUE: config.DEFAULT_LEAGUE_TEAMS} if fixed_teams is None else fixed_teams
     team_pages = None
     if any(league not in fixed for league in league_ids):
-        team_pages = scan_pages(spark, f"{directory}/teams_*.json", TEAM_PAGE, multiline)
+        team_pages = scan_pages(spark, f"{directory}/{files.format(endpoint='teams')}", TEAM_PAGE, multiline)
     owners = league_teams(spark, league_ids, seasons, team_pages, fixed)
-    pages = scan_pages(spark, f"{directory}/players_*.json", PLAYER_PAGE, multiline)
+    pages = scan_pages(spark, f"{directory}/{files.format(endpoint='players')}", PLAYER_PAGE, multiline)
     pages = pages.drop("league").filter(F.col("season").isin(seasons))
     return player_records(pages, owners, seasons)
 
@@ -157,4 +162,5 @@ def write_pages(pages: DataFrame, path: str) -> None:
     Rebalancing groups the rows of a request into few files and splits a request that
     holds a large share of them.
     """
-    pages.hint("rebalance", "request").withColumnRenamed("request", "cached").write.partitionBy("cached").json(path)
+    pages.hint("rebalance", "request").withColumnRenamed("request", "cached").write \
+        .mode("append").partitionBy("cached").json(path)
