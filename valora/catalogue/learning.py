@@ -1 +1,101 @@
-"""Pending."""
+"""Models on the driver tables. Linear fits with one feature have a closed form in SQL; tree
+ensembles run on all rows with few trees and are checked by quality floors in the tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from valora.catalogue.registry import ROW_ORDER, performances, query, rounded, table
+from valora.plans import explain, features, models
+
+LIGHT = {"RandomForest": {"numTrees": 10, "maxDepth": 5}, "GBT": {"maxIter": 5}}
+
+
+def _stage1(spark, sf):
+    return features.build_stage1(performances(spark, sf), ROW_ORDER)
+
+
+def _line(spark, sf):
+    line = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice",
+                                               F.col("l_extendedprice").alias("y"), "l_quantity")
+    return models.assemble(line.withColumn("x", F.nullif("l_quantity", F.lit(1.0))), ["x"])
+
+
+_LINE_SQL = """
+l AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice AS y, coalesce(nullif(l_quantity, 1), 0) AS x FROM lineitem)"""
+
+
+@query("linear_fit", f"""
+WITH {_LINE_SQL}, c AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM l)
+SELECT l_orderkey, l_linenumber, l_suppkey, round(a * x + b, 4) AS prediction FROM l, c""")
+def linear_fit(spark, sf):
+    data = _line(spark, sf)
+    fitted = models.estimator("LinearRegression", data, "y").fit(data)
+    return rounded(fitted.transform(data), 4, "prediction").select("l_orderkey", "l_linenumber", "l_suppkey", "prediction")
+
+
+@query("ridge_fit", f"""
+WITH {_LINE_SQL}, c AS (SELECT covar_pop(y, x) / var_pop(x) * count(*) / (count(*) + 10.0::DOUBLE) AS a, avg(x) AS mx, avg(y) AS my FROM l)
+SELECT l_orderkey, l_linenumber, l_suppkey, round(my + a * (x - mx), 4) AS prediction FROM l, c""")
+def ridge_fit(spark, sf):
+    data = _line(spark, sf)
+    fitted = models.estimator("Ridge", data, "y").fit(data)
+    return rounded(fitted.transform(data), 4, "prediction").select("l_orderkey", "l_linenumber", "l_suppkey", "prediction")
+
+
+@query("oof_predictions", """
+WITH f AS (SELECT CAST(o_orderkey % 5 AS INTEGER) AS fold, o_totalprice AS y, CAST(o_custkey AS DOUBLE) AS x FROM orders),
+s AS (SELECT k.fold, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM f JOIN (SELECT DISTINCT fold FROM f) k ON f.fold <> k.fold
+      GROUP BY k.fold)
+SELECT fold, count(*) AS n, round(avg(a * x + b), 2) AS mean_prediction FROM f JOIN s USING (fold) GROUP BY fold""")
+def oof_predictions(spark, sf):
+    orders = table(spark, sf, "orders").select(
+        (F.col("o_orderkey") % 5).cast("int").alias("fold"), F.col("o_totalprice").alias("y"), "o_custkey")
+    data = models.assemble(orders, ["o_custkey"])
+    scored = models.oof_predictions(data, lambda part: models.estimator("LinearRegression", part, "y").fit(part), fold="fold")
+    return scored.groupBy("fold").agg(F.count("*").alias("n"), F.round(F.avg("y_pred"), 2).alias("mean_prediction"))
+
+
+@query("fold_assignment")
+def fold_assignment(spark, sf):
+    fold = models.fold_of(["o_orderkey"], 5)
+    return table(spark, sf, "orders").groupBy(fold.alias("fold")).agg(F.count("*").alias("n"))
+
+
+@query("global_models")
+def global_models(spark, sf):
+    return models.train_global(_stage1(spark, sf), "stage1", tuned=False, overrides=LIGHT)
+
+
+@query("position_models")
+def position_models(spark, sf):
+    return models.train_position_aware(_stage1(spark, sf), "stage1", tuned=False,
+                                       models=["Ridge", "RandomForest"], overrides=LIGHT)
+
+
+@query("tuned_fit")
+def tuned_fit(spark, sf):
+    return models.train_global(_stage1(spark, sf), "stage1", tuned=True, models=["RandomForest"],
+                               overrides={"RandomForest": {"numTrees": 3}}, draws=2)
+
+
+@query("stacked_fit")
+def stacked_fit(spark, sf):
+    return models.train_stacked(_stage1(spark, sf), "stage1", tuned=False, overrides={
+        "RandomForest": {"numTrees": 5, "maxDepth": 5}, "GBT": {"maxIter": 3}}, positions=False)
+
+
+@query("scored_values")
+def scored_values(spark, sf):
+    """Forest on the earlier seasons, euros predicted for the latest."""
+    from valora.operators.relational import latest_split
+    data = _stage1(spark, sf)
+    columns = models.feature_columns(data)
+    train, test = latest_split(data)
+    model = models.fit_forest(train, columns, LIGHT)
+    return models.score(model, test, columns).select("api_player_id", "season", "market_value_in_eur", "predicted_eur")
+
+
+@query("shap_importance")
+def shap_importance(spark, sf):
+    return explain.shap_importance(_stage1(spark, sf), "global", 15, LIGHT)
