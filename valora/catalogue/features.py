@@ -9,6 +9,7 @@ from valora.functions.dates import age_at_season_end
 from valora.functions.numeric import lookup, one_hot, one_hot_label, per90, ratio
 from valora.operators import ranks, relational, rollup
 from valora.plans import features as stages
+from valora.session import materialize
 
 
 def _rolled(spark, sf):
@@ -19,10 +20,10 @@ def _rolled(spark, sf):
 WITH {PERFORMANCES_SQL}
 SELECT id AS api_player_id, season, firstname, lastname, dob, value AS market_value_in_eur,
        line AS goals, qty AS minutes, yellow AS yellow_cards, red AS red_cards, pen AS penalty_goals,
-       tax AS assists, round(accuracy, 9) AS passes_accuracy, round(rating, 9) AS rating
+       tax AS assists, round(accuracy, 12) AS passes_accuracy, round(rating, 12) AS rating
 FROM rolled""")
 def multi_club_rollup(spark, sf):
-    return rounded(_rolled(spark, sf), 9, "passes_accuracy", "rating").select(
+    return rounded(_rolled(spark, sf), 12, "passes_accuracy", "rating").select(
         "api_player_id", "season", "firstname", "lastname", "dob", "market_value_in_eur", "goals", "minutes",
         "yellow_cards", "red_cards", "penalty_goals", "assists", "passes_accuracy", "rating")
 
@@ -87,7 +88,7 @@ def pct_rank_avg(spark, sf):
     q = line.groupBy("l_partkey", F.year("l_shipdate").alias("season")).agg(
         F.sum("l_quantity").alias("qty"),
         F.when(F.sum("l_tax") > 0.1, F.sum("l_linenumber") / F.sum("l_quantity")).alias("rate"))
-    ranked = ranks.pct_rank(q, ["season"], ["qty", "rate"])
+    ranked = ranks.pct_rank(materialize(q, "rates"), ["season"], ["qty", "rate"])
     return rounded(ranked, 9, "rate", "qty_pct", "rate_pct")
 
 
@@ -172,9 +173,9 @@ SELECT b.id AS api_player_id, b.season, b.id AS tm_player_id, b.value AS market_
   {", ".join(f"round(({e}) / (b.qty / 90.0::DOUBLE), 9) AS {c}_p90".replace("line", "b.line").replace("tax", "b.tax")
              .replace("(qty)", "(b.qty)").replace("disc", "b.disc").replace("drib_ok", "b.drib_ok").replace("pen", "b.pen")
              for c, e in _P90.items())},
-  round(b.accuracy, 9) AS passes_accuracy, round(b.line / b.qty::DOUBLE, 9) AS duels_won_pct,
+  round(b.accuracy, 12) AS passes_accuracy, round(b.line / b.qty::DOUBLE, 9) AS duels_won_pct,
   round(b.line / b.qty::DOUBLE, 9) AS shot_accuracy,
-  round(b.drib_ok / CAST(nullif(b.tax, 0) AS DOUBLE), 9) AS dribble_success_pct, round(b.rating, 9) AS rating,
+  round(b.drib_ok / CAST(nullif(b.tax, 0) AS DOUBLE), 9) AS dribble_success_pct, round(b.rating, 12) AS rating,
   CASE WHEN b.pos = 'DEF' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "pos_DEF", b.fwd AS "pos_FWD",
   CASE WHEN b.pos = 'MID' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "pos_MID",
   round(ln(1 + b.value), 9) AS log_market_value, round(b.age * b.age, 9) AS age_sq,
@@ -198,7 +199,8 @@ def stage_features(spark, sf):
     df = stages.build_stage5(performances(spark, sf), ROW_ORDER, league_ids=range(5))
     floats = [f.name for f in df.schema.fields if f.dataType.simpleString() == "double"
               and f.name not in ("market_value_in_eur", "age") and not f.name.startswith(("pos_", "league_"))]
-    return rounded(df, 9, *floats)
+    fine = ["passes_accuracy", "rating"]  # exact binary fractions tie at fewer digits
+    return rounded(rounded(df, 9, *[c for c in floats if c not in fine]), 12, *fine)
 
 
 @query("rate_leaders", """
@@ -216,7 +218,8 @@ def rate_leaders(spark, sf):
         line.withColumn("season", F.year("l_shipdate")), ["l_partkey", "season"], [],
         ["l_linenumber", "l_quantity"], [], ["l_orderkey"]).select(
         "l_partkey", "season", F.col("l_linenumber").alias("goals"), F.col("l_quantity").alias("minutes"))
-    rates = rolled.withColumn("goals_p90", per90(F.col("goals"), F.col("minutes")))
+    # Stored once: the ranks read the rates twice, the raw rows only once.
+    rates = materialize(rolled.withColumn("goals_p90", per90(F.col("goals"), F.col("minutes"))), "rates")
     top = relational.top_k(ranks.pct_rank(rates, ["season"], ["goals_p90"]), 25, "goals_p90_pct",
                            ["season", "l_partkey"])
     return rounded(top, 9, "goals_p90_pct").withColumn("goals_p90", F.round("goals_p90", 9))

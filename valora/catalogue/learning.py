@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from valora.catalogue.registry import ROW_ORDER, performances, query, rounded, table
+from valora.operators.relational import latest_split
 from valora.plans import explain, features, models
+from valora.session import materialize
 
 LIGHT = {"RandomForest": {"numTrees": 10, "maxDepth": 5}, "GBT": {"maxIter": 5}}
 
@@ -88,8 +90,7 @@ def stacked_fit(spark, sf):
 @query("scored_values")
 def scored_values(spark, sf):
     """Forest on the earlier seasons, euros predicted for the latest."""
-    from valora.operators.relational import latest_split
-    data = _stage1(spark, sf)
+    data = materialize(_stage1(spark, sf), "stage1")
     columns = models.feature_columns(data)
     train, test = latest_split(data)
     model = models.fit_forest(train, columns, LIGHT)

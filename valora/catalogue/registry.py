@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from valora.session import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -70,7 +72,7 @@ def performances(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") != "N", F.col("l_discount") * 10).alias("rating"),
         *[F.col(c).alias(f"o{i + 1}") for i, c in enumerate(LINE_ORDER)],
     )
-    return rows.join(people, "l_partkey").join(league, "l_suppkey", "left").select(
+    return spread(rows).join(people, "l_partkey").join(league, "l_suppkey", "left").select(
         F.col("l_partkey").alias("api_player_id"), F.col("l_suppkey").alias("team_id"),
         F.col("l_partkey").alias("tm_player_id"), F.lit("").alias("nationality"),
         *[c for c in [*rows.columns, *people.columns, "league_id"] if c not in ("l_partkey", "l_suppkey")])

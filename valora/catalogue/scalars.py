@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from valora.catalogue.registry import query, table
 from valora.functions import dates, labels, numeric, text
 from valora.operators import relational
+from valora.session import spread
 
 _NORMALIZED = """trim(regexp_replace(regexp_replace(lower(strip_accents(
   replace(replace(replace({c}, 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae'))), '[^a-z\\s]', '', 'g'), '\\s+', ' ', 'g'))"""
@@ -14,7 +15,7 @@ _NORMALIZED = """trim(regexp_replace(regexp_replace(lower(strip_accents(
 
 @query("normalize_text", f"SELECT doc_id, {_NORMALIZED.format(c='text')} AS normalized FROM documents")
 def normalize_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.normalize_name(F.col("text")).alias("normalized"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", text.normalize_name(F.col("text")).alias("normalized"))
 
 
 @query("season_label", """
@@ -78,7 +79,7 @@ def filter_suite(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_orderkey", F.nullif("o_custkey", F.lit(11).cast("long")).alias("custkey"), "o_totalprice", "o_orderstatus",
         "o_orderdate")
-    kept = orders.dropna(subset=["custkey"]).filter(
+    kept = orders.transform(relational.known, "custkey").filter(
         (F.col("o_totalprice") > 100000) & (F.year("o_orderdate") < 2001) & F.col("o_orderstatus").isin("F", "P")
     ).filter("NOT (o_orderstatus = 'P' AND o_totalprice > 450000)")
     return relational.large_groups(kept, ["custkey"], 3).select(

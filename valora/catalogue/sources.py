@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from valora.catalogue.registry import query, table
 from valora.functions.numeric import parse_number
-from valora.session import scratch_dir
+from valora.session import scratch_dir, spread
 from valora.sources import pages, tables
 
 
@@ -19,7 +19,7 @@ SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, e.pos, e.league, e.
 WHERE e.league = 1""")
 def json_explode(spark, sf):
     """Nested entries through JSON text, filtered inside the array, then one row per entry."""
-    line = table(spark, sf, "lineitem")
+    line = spread(table(spark, sf, "lineitem"))
 
     def entry(pos, league, amount):
         return F.struct(F.lit(pos).alias("pos"), F.struct(league.cast("int").alias("id")).alias("league"),
@@ -30,10 +30,11 @@ def json_explode(spark, sf):
                          entry(2, F.lit(1), F.col("l_discount")))
     schema = "ARRAY<STRUCT<pos: INT, league: STRUCT<id: INT>, games: STRUCT<amount: DOUBLE>>>"
     keys = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
-    packed = line.select(*keys, F.from_json(F.to_json(statistics), schema).alias("statistics"))
-    mine = packed.filter(pages.has_league(F.col("statistics"), F.lit(1))).select(
-        *keys, pages.only_league(F.col("statistics"), F.lit(1)).alias("statistics"))
-    return mine.select(*keys, F.posexplode("statistics").alias("i", "s")).select(
+    packed = line.select(*keys, F.to_json(statistics).alias("text"))
+    parsed = packed.select(*keys, F.from_json("text", schema).alias("statistics"))
+    mine = parsed.select(*keys, pages.only_league(F.col("statistics"), F.lit(1)).alias("statistics"))
+    # The inner form would infer "array not empty" and parse the text again to test it.
+    return mine.select(*keys, F.posexplode_outer("statistics").alias("i", "s")).filter("s IS NOT NULL").select(
         *keys, "s.pos", F.col("s.league.id").alias("league"), F.col("s.games.amount").alias("amount"))
 
 
@@ -73,7 +74,7 @@ def _team_pages(spark):
 
 def _cached_orders(spark, sf) -> str:
     path = scratch_dir(spark, "pages")
-    pages.write_pages(_response_pages(table(spark, sf, "orders")), path)
+    pages.write_pages(_response_pages(spread(table(spark, sf, "orders"))), path)
     pages.write_pages(_team_pages(spark), path)
     return path
 

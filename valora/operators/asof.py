@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from valora.functions.dates import season_day
+from valora.operators.relational import known
 
 
 def _interval(date: Column, shift: int, month: int, day: int) -> Column:
@@ -26,16 +27,16 @@ def _interval(date: Column, shift: int, month: int, day: int) -> Column:
 def _timeline(values: DataFrame, probes: DataFrame, *, key: str, date: str, value: str, season: str,
               ties: Sequence[str], shift: int, month: int, day: int, forward: bool) -> DataFrame:
     """One row per key and season: edge rows of the interval and whether it is probed."""
-    known = values.dropna(subset=[key, date, value]).withColumn(date, F.col(date).cast("date"))
+    present = values.transform(known, key, date, value).withColumn(date, F.col(date).cast("date"))
     days = F.unix_date(F.col(date))
     hit = F.struct(F.col(date).alias("date"), F.col(value).alias("value"))
     rank = [F.col(t) for t in ties]
-    dated = known.select(
+    dated = present.select(
         F.col(key), _interval(F.col(date), shift, month, day).alias(season), F.lit(False).alias("probe"),
         hit.alias("hit"), F.struct((-days).alias("d"), *rank).alias("latest"),
         F.struct(days.alias("d"), *rank).alias("earliest"),
     )
-    asked = probes.dropna(subset=[key, season]).select(
+    asked = probes.transform(known, key, season).select(
         F.col(key), F.col(season).cast("int").alias(season), F.lit(True).alias("probe"),
     )
     edges = [F.max("probe").alias("probe"), F.min_by("hit", "latest").alias("last_hit")]

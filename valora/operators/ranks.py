@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from valora.operators.relational import known
+
 _STEPS_PER_OCTAVE = 2048
 _OFFSET = 1100 * _STEPS_PER_OCTAVE  # above the magnitude of the smallest double exponent
 
@@ -27,7 +29,9 @@ def magnitude_bucket(x: Column) -> Column:
 def value_positions(counts: DataFrame, groups: Sequence[str], value: str, n: str = "n") -> DataFrame:
     """Add ``below`` (rows with a smaller value in the group) and ``total`` to a table of
     distinct (group, value) counts."""
-    bucketed = counts.withColumn("__b", magnitude_bucket(F.col(value)))
+    # The explicit null test equals the one the join below implies, so that both readers of
+    # the counts have the same plan and share one exchange.
+    bucketed = counts.withColumn("__b", magnitude_bucket(F.col(value))).transform(known, "__b")
     per_bucket = bucketed.groupBy(*groups, "__b").agg(F.sum(n).alias("__m"))
     by_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     running = by_group.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,7 +63,7 @@ def pct_rank(df: DataFrame, groups: Sequence[str], columns: Sequence[str] | Mapp
     outputs = columns if isinstance(columns, Mapping) else {c: f"{c}_pct" for c in columns}
     out = df
     for source, target in outputs.items():
-        counts = df.dropna(subset=[*groups, source]).select(*groups, F.col(source).cast("double").alias("__x")) \
+        counts = df.transform(known, *groups, source).select(*groups, F.col(source).cast("double").alias("__x")) \
             .groupBy(*groups, "__x").agg(F.count("*").alias("n"))
         ranks = value_positions(counts, groups, "__x").select(
             *[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)], "__x",
@@ -73,7 +77,7 @@ def pct_rank(df: DataFrame, groups: Sequence[str], columns: Sequence[str] | Mapp
 def exact_quantile(df: DataFrame, groups: Sequence[str], value: str, q: float = 0.5,
                    alias: str = "median") -> DataFrame:
     """Exact interpolated quantile per group from value positions."""
-    counts = df.dropna(subset=[value]).select(*groups, F.col(value).cast("double").alias("__x")) \
+    counts = df.transform(known, value).select(*groups, F.col(value).cast("double").alias("__x")) \
         .groupBy(*groups, "__x").agg(F.count("*").alias("n"))
     placed = value_positions(counts, groups, "__x")
     at = (F.col("total") - 1) * F.lit(float(q))
@@ -92,7 +96,7 @@ def exact_quantile(df: DataFrame, groups: Sequence[str], value: str, q: float =
 
 def spearman(df: DataFrame, groups: Sequence[str], a: str, b: str, alias: str = "spearman") -> DataFrame:
     """Rank correlation per group, ties averaged; null where a side is constant."""
-    pairs = df.dropna(subset=[a, b]).select(
+    pairs = df.transform(known, a, b).select(
         *groups, F.col(a).cast("double").alias("__first"), F.col(b).cast("double").alias("__second"),
     ).groupBy(*groups, "__first", "__second").agg(F.count("*").alias("w"))
 

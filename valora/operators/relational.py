@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,6 +19,12 @@ def columns_with(df: DataFrame, prefix: str | None = None, suffix: str | None =
     ]
 
 
+def known(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows without a null in the columns. Plain null tests, unlike ``dropna``, reach the scan
+    and are recognised when a join implies them, which keeps shared subplans equal."""
+    return df.filter(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
+
+
 def order_struct(order_cols: Sequence[str | Column]) -> Column:
     return F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_cols])
 
@@ -68,11 +75,11 @@ def attach(df: DataFrame, table: DataFrame, on: Sequence[str], columns: Sequence
     """Left equi-join. Null keys never match and are not sent to one shuffle partition."""
     right = table if columns is None else table.select(*on, *columns)
     added = [c for c in right.columns if c not in on]
-    known = df.dropna(subset=list(on))
-    unknown = df.filter(" OR ".join(f"`{k}` IS NULL" for k in on))
+    with_key = df.transform(known, *on)
+    without = df.filter(" OR ".join(f"`{k}` IS NULL" for k in on))
     types = dict(right.dtypes)
-    padded = unknown.withColumns({c: F.lit(None).cast(types[c]) for c in added})
-    return known.join(right, list(on), "left").select(*df.columns, *added).unionByName(padded)
+    padded = without.withColumns({c: F.lit(None).cast(types[c]) for c in added})
+    return with_key.join(right, list(on), "left").select(*df.columns, *added).unionByName(padded)
 
 
 def previous_period(df: DataFrame, keys: Sequence[str], period: str, columns: Sequence[str],

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from valora import config
 from valora.functions.similarity import MIN_THRESHOLD, signature_udf, token_set_similarity
-from valora.operators.relational import order_struct
+from valora.operators.relational import known, order_struct
+from valora.session import materialize
 
 # Right names per block up to which a left name is compared with each of them.
 DIRECT_BLOCK_NAMES = 64
@@ -22,7 +23,7 @@ def exact_ids(right: DataFrame, keys: Sequence[str], id_column: str, order_cols:
               keep: str = "last", alias: str | None = None) -> DataFrame:
     """One id per key of the right side: the first or last of its duplicates in order."""
     pick = {"first": F.min_by, "last": F.max_by}[keep]
-    return right.dropna(subset=list(keys)).groupBy(*keys).agg(
+    return right.transform(known, *keys).groupBy(*keys).agg(
         pick(id_column, order_struct(order_cols)).alias(alias or id_column))
 
 
@@ -99,20 +100,21 @@ def resolve(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, f
     names and the ``block``. Returns ``left_id, output_id, match_method``. Duplicate right
     keys resolve to the last id for the full-name tiers and the first id for the last-name tier.
     """
-    right = right.dropna(subset=[block])
-    exact = exact_tiers(left, right, left_id=left_id, right_id=right_id, full=full, last=last, block=block,
-                        order_cols=order_cols)
-    pending = exact.filter("__full_id IS NULL AND __last_id IS NULL").dropna(subset=[block, full]).select(
+    right = right.transform(known, block)
+    # Stored: the tiers are read for the open names and again for the result.
+    exact = materialize(exact_tiers(left, right, left_id=left_id, right_id=right_id, full=full, last=last,
+                                    block=block, order_cols=order_cols), "exact-tiers")
+    still_open = exact.filter("__full_id IS NULL AND __last_id IS NULL").transform(known, block)
+    pending = still_open.transform(known, full).select(
         F.col(block).alias("block"), F.col(full).alias("lname"))
     order = order_struct(order_cols)
-    candidates = right.dropna(subset=[full]).groupBy(F.col(block).alias("block"), F.col(full).alias("rname")).agg(
+    candidates = right.transform(known, full).groupBy(F.col(block).alias("block"), F.col(full).alias("rname")).agg(
         F.max_by(right_id, order).alias("id"), F.min(order).alias("ord"))
     similar = best_similar(pending, candidates, threshold, direct_limit).select(
         F.col("block").alias(block), F.col("lname").alias(full), F.col("id").alias("__near_id"))
 
     # Only names that are still open look for a similar one, so the join is on those rows.
     done = exact.filter("__full_id IS NOT NULL OR __last_id IS NOT NULL OR " f"`{block}` IS NULL")
-    still_open = exact.filter("__full_id IS NULL AND __last_id IS NULL").dropna(subset=[block])
     near_type = dict(right.dtypes)[right_id]
     tiers = still_open.join(similar, [full, block], "left").unionByName(
         done.withColumn("__near_id", F.lit(None).cast(near_type)))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from valora.operators.relational import order_struct
+from valora.operators.relational import known, order_struct
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ def rollup(df: DataFrame, keys: Sequence[str], first: Sequence[str], sums: Seque
     Every part has a partial form, so a hot key costs one row per map task in the shuffle.
     """
     order = order_struct(order_cols)
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(
+    return df.transform(known, *keys).groupBy(*keys).agg(
         *[first_non_null(c, order) for c in first],
         *[F.sum(c).alias(c) for c in sums],
         *[m.column() for m in means],

@@ -7,12 +7,14 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from valora.operators.relational import known
+
 from valora.operators.ranks import exact_quantile
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value, most frequent first; null is not counted."""
-    return df.dropna(subset=[column]).groupBy(column).agg(F.count("*").alias("n")) \
+    return df.transform(known, column).groupBy(column).agg(F.count("*").alias("n")) \
         .orderBy(F.desc("n"), column)
 
 
@@ -48,13 +50,13 @@ def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
 
 def histogram(df: DataFrame, value: str, bins: int, groups: Sequence[str] = ()) -> DataFrame:
     """Counts of equal-width bins between minimum and maximum, per group if asked."""
-    known = df.dropna(subset=[value, *groups]).select(*groups, F.col(value).cast("double").alias("__v"))
+    present = df.transform(known, value, *groups).select(*groups, F.col(value).cast("double").alias("__v"))
     if groups:
-        bounds = known.groupBy(*groups).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-        ranged = known.join(bounds, list(groups))
+        bounds = present.groupBy(*groups).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+        ranged = present.join(bounds, list(groups))
     else:
-        ranged = known.withColumns({"__lo": known.agg(F.min("__v")).scalar(),
-                                    "__hi": known.agg(F.max("__v")).scalar()})
+        ranged = present.withColumns({"__lo": present.agg(F.min("__v")).scalar(),
+                                    "__hi": present.agg(F.max("__v")).scalar()})
     binned = bin_of(F.col("__v"), F.col("__lo"), F.col("__hi"), bins)
     return ranged.groupBy(*groups, binned.alias("bin")).agg(
         F.count("*").alias("n"),

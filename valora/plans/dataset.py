@@ -9,7 +9,7 @@ from valora.functions.dates import parse_date
 from valora.functions.numeric import parse_number
 from valora.functions.text import full_name, normalize_name
 from valora.operators.asof import asof_nearest
-from valora.operators.relational import attach, first_per_key, keep_other_than, semi_filter
+from valora.operators.relational import attach, first_per_key, keep_other_than, known, semi_filter
 from valora.operators.resolve import resolve
 from valora.sources.tables import MarketTables
 
@@ -58,7 +58,7 @@ def flatten_players(records: DataFrame, dedup: bool = False) -> DataFrame:
 def build_crosswalk(rows: DataFrame, market_players: DataFrame,
                     threshold: float = config.FUZZY_THRESHOLD) -> DataFrame:
     """``api_player_id, tm_player_id, match_method``, one row per player of the flat rows."""
-    people = first_per_key(rows.dropna(subset=["api_player_id"]), ["api_player_id"], ["rec_ord"],
+    people = first_per_key(rows.transform(known, "api_player_id"), ["api_player_id"], ["rec_ord"],
                            ["full_name_norm", "last_name_norm", "dob"])
     market = market_players.select(
         "player_id", normalize_name(F.col("name")).alias("full_name_norm"),
@@ -74,15 +74,15 @@ def build_joined_dataset(rows: DataFrame, market: MarketTables, crosswalk: DataF
     a value are dropped."""
     if crosswalk is None:
         crosswalk = build_crosswalk(rows, market.players)
-    known = crosswalk.dropna(subset=["tm_player_id"])
-    tagged = attach(rows, known, ["api_player_id"], ["tm_player_id"])
+    matched = crosswalk.transform(known, "tm_player_id")
+    tagged = attach(rows, matched, ["api_player_id"], ["tm_player_id"])
     tagged = keep_other_than(tagged, "position", config.EXCLUDED_POSITION)
 
     values = market.valuations.select(F.col("player_id").alias("tm_player_id"), "date", "market_value_in_eur")
-    values = semi_filter(values, known, {"tm_player_id": "tm_player_id"})
-    probes = tagged.dropna(subset=["tm_player_id"]).select("tm_player_id", "season").distinct()
+    values = semi_filter(values, matched, {"tm_player_id": "tm_player_id"})
+    probes = tagged.transform(known, "tm_player_id").select("tm_player_id", "season").distinct()
     snapped = asof_nearest(values, probes, key="tm_player_id", date="date", value="market_value_in_eur",
                            season="season", ties=["market_value_in_eur"], direction=direction,
                            tolerance_days=tolerance_days).drop("date")
-    return tagged.join(snapped, ["tm_player_id", "season"]).dropna(subset=["market_value_in_eur"]) \
+    return tagged.join(snapped, ["tm_player_id", "season"]).transform(known, "market_value_in_eur") \
         .select(*rows.columns, "tm_player_id", "market_value_in_eur")

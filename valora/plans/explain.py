@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from valora import config
 from valora.operators.relational import columns_with, latest_split
 from valora.plans.models import LABEL, feature_columns, fit_forest
-from valora.session import scratch_dir
+from valora.session import materialize, scratch_dir
 
 MAX_DEPTH = 12  # table size per leaf is 2^depth
 
@@ -173,6 +173,7 @@ def shap_importance(df: DataFrame, position: str = "global", top_n: int = 15, ov
         if f"pos_{position}" not in columns_with(df, prefix="pos_"):
             raise ValueError(f"unknown position {position!r}")
         df = df.filter(F.col(f"pos_{position}") == 1.0)
+    df = materialize(df.select(*features, *[c for c in (LABEL, "season") if c not in features]), "explain")
     train, test = latest_split(df)
     latest = df.agg(F.max("season")).scalar()
     n_train, n_test = df.agg(F.count_if(F.col("season") < latest), F.count_if(F.col("season") == latest)).first()

@@ -16,7 +16,7 @@ from valora.functions.dates import age_at_season_end
 from valora.functions.numeric import clip_lower, indicator, lookup, one_hot, per90, ratio
 from valora.operators.asof import asof_backward
 from valora.operators.ranks import pct_rank
-from valora.operators.relational import period_delta
+from valora.operators.relational import known, period_delta
 from valora.operators.rollup import WeightedMean, primary_member, rollup
 from valora.session import materialize
 
@@ -63,7 +63,7 @@ def _finish(df: DataFrame, features: Sequence[str], carry: Sequence[str] = ()) -
     return df.select(
         *BASE, *features, *[c.alias(n) for n, c in positions.items()],
         F.log1p("market_value_in_eur").alias("log_market_value"), *carry,
-    ).dropna(subset=["log_market_value", "age", "minutes"])
+    ).transform(known, "log_market_value", "age", "minutes")
 
 
 def build_stage1(joined: DataFrame, order_cols: Sequence[str | Column] = ("rec_ord",),
@@ -104,11 +104,11 @@ def build_stage2(joined: DataFrame, order_cols: Sequence[str | Column] = ("rec_o
 def value_history(df: DataFrame, valuations: DataFrame) -> DataFrame:
     """Value known at the season start and its growth over the year before."""
     values = valuations.select(F.col("player_id").alias("tm_player_id"), "date", "market_value_in_eur")
-    probes = df.dropna(subset=["tm_player_id"]).select("tm_player_id", "season").distinct()
+    probes = df.transform(known, "tm_player_id").select("tm_player_id", "season").distinct()
     snaps = asof_backward(values, probes, key="tm_player_id", date="date", value="market_value_in_eur",
                           season="season", outputs={"__now": 0, "__before": -1}, ties=["market_value_in_eur"])
-    known = df.join(snaps, ["tm_player_id", "season"], "left")
-    return known.select(
+    dated = df.join(snaps, ["tm_player_id", "season"], "left")
+    return dated.select(
         *df.columns, F.log1p("__now").alias("log_tm_prev_value"),
         (F.log1p("__now") - F.log1p("__before")).alias("tm_value_trend"))
 
@@ -138,7 +138,7 @@ def build_stage3(joined: DataFrame, valuations: DataFrame | None = None,
 
 def team_quality(joined: DataFrame, exclude_self: bool = False) -> DataFrame:
     """Mean value of a team's player rows per season; sum and count allow leaving one out."""
-    return joined.dropna(subset=["team_id", "season"]).groupBy("team_id", "season").agg(
+    return joined.transform(known, "team_id", "season").groupBy("team_id", "season").agg(
         F.avg("market_value_in_eur").alias("team_avg_value"),
         F.sum("market_value_in_eur").alias("__team_sum"), F.count("market_value_in_eur").alias("__team_n"))
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from valora.operators.relational import known
+
 from valora.operators.ranks import spearman
 
 METRICS = ["rmse_log", "mae_log", "r2_log", "spearman_log", "rmse_eur", "mae_eur"]
@@ -19,15 +21,15 @@ def regression_metrics(df: DataFrame, groups: Sequence[str], truth: str = "y_tru
     y, p = F.col(truth).cast("double"), F.col(prediction).cast("double")
     error = y - p
     eur = F.expm1(y) - F.expm1(p)
-    known = df.dropna(subset=[truth, prediction])
-    sums = known.groupBy(*groups).agg(
+    measured = df.transform(known, truth, prediction)
+    sums = measured.groupBy(*groups).agg(
         F.count("*").alias(count),
         F.sqrt(F.avg(error * error)).alias("rmse_log"), F.avg(F.abs(error)).alias("mae_log"),
         F.sum(error * error).alias("__sse"), (F.var_pop(y) * F.count("*")).alias("__sst"),
         F.sqrt(F.avg(eur * eur)).alias("rmse_eur"), F.avg(F.abs(eur)).alias("mae_eur"))
     sse, sst = F.col("__sse"), F.col("__sst")
     r2 = F.when(F.col(count) >= 2, F.when(sst > 0, 1 - sse / sst).when(sse == 0, 1.0).otherwise(0.0))
-    ranked = spearman(known, groups, truth, prediction, "spearman_log")
+    ranked = spearman(measured, groups, truth, prediction, "spearman_log")
     sums = sums.withColumn("r2_log", r2)
     if not groups:
         return sums.select(count, "rmse_log", "mae_log", "r2_log", ranked.scalar().alias("spearman_log"),

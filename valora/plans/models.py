@@ -20,7 +20,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from valora import config
 from valora.operators.relational import columns_with, latest_split
@@ -106,8 +106,9 @@ def tune(name: str, train: DataFrame, label: str = LABEL, draws: int = config.SE
 def run_fits(tasks: Sequence[Callable[[], DataFrame]], parallelism: int = CONCURRENT_FITS) -> list[DataFrame]:
     if parallelism <= 1 or len(tasks) <= 1:
         return [task() for task in tasks]
+    spark = SparkSession.getActiveSession()
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(lambda task: inheritable_thread_target(task)(), tasks))
+        return list(pool.map(lambda task: inheritable_thread_target(spark)(task)(), tasks))
 
 
 def oof_predictions(df: DataFrame, fit: Callable[[DataFrame], Model], folds: int = config.CV_FOLDS,
