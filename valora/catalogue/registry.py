@@ -51,12 +51,12 @@ def performances(spark: SparkSession, sf_dir: str) -> DataFrame:
     league = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")) \
         .select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_regionkey").alias("league_id"))
     people = part.select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("firstname"),
-        F.col("p_brand").alias("lastname"), raw_position.alias("position"),
+        F.col("p_partkey").alias("l_partkey"), *[F.coalesce(c, F.lit("")).alias(n) for n, c in (
+            ("firstname", F.col("p_name")), ("lastname", F.col("p_brand")), ("position", raw_position))],
         F.date_add(F.lit("1972-01-01").cast("date"), F.col("p_size") * 211).alias("dob"))
-    whole = lambda c: F.round(F.col(c) * 100).cast("int")
+    whole = lambda c: F.rint(F.col(c) * 100).cast("int")
     quantity, line = F.col("l_quantity").cast("int"), F.col("l_linenumber")
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
         F.col("l_partkey"), F.col("l_suppkey"), F.year("l_shipdate").alias("season"),
         F.col("l_extendedprice").alias("market_value_in_eur"),
         line.alias("appearances"), quantity.alias("minutes"), line.alias("goals"), whole("l_tax").alias("assists"),
@@ -72,7 +72,7 @@ def performances(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") != "N", F.col("l_discount") * 10).alias("rating"),
         *[F.col(c).alias(f"o{i + 1}") for i, c in enumerate(LINE_ORDER)],
     )
-    return spread(rows).join(people, "l_partkey").join(league, "l_suppkey", "left").select(
+    return rows.join(people, "l_partkey").join(league, "l_suppkey", "left").select(
         F.col("l_partkey").alias("api_player_id"), F.col("l_suppkey").alias("team_id"),
         F.col("l_partkey").alias("tm_player_id"), F.lit("").alias("nationality"),
         *[c for c in [*rows.columns, *people.columns, "league_id"] if c not in ("l_partkey", "l_suppkey")])

@@ -15,7 +15,7 @@ _NORMALIZED = """trim(regexp_replace(regexp_replace(lower(strip_accents(
 
 @query("normalize_text", f"SELECT doc_id, {_NORMALIZED.format(c='text')} AS normalized FROM documents")
 def normalize_text(spark, sf):
-    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", text.normalize_name(F.col("text")).alias("normalized"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select("doc_id", text.normalize_name(F.col("text")).alias("normalized"))
 
 
 @query("season_label", """

@@ -19,7 +19,7 @@ SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, e.pos, e.league, e.
 WHERE e.league = 1""")
 def json_explode(spark, sf):
     """Nested entries through JSON text, filtered inside the array, then one row per entry."""
-    line = spread(table(spark, sf, "lineitem"))
+    line = spread(table(spark, sf, "lineitem"), "l_orderkey")
 
     def entry(pos, league, amount):
         return F.struct(F.lit(pos).alias("pos"), F.struct(league.cast("int").alias("id")).alias("league"),
@@ -74,7 +74,7 @@ def _team_pages(spark):
 
 def _cached_orders(spark, sf) -> str:
     path = scratch_dir(spark, "pages")
-    pages.write_pages(_response_pages(spread(table(spark, sf, "orders"))), path)
+    pages.write_pages(_response_pages(spread(table(spark, sf, "orders"), "o_orderkey")), path)
     pages.write_pages(_team_pages(spark), path)
     return path
 

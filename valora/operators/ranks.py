@@ -26,26 +26,33 @@ def magnitude_bucket(x: Column) -> Column:
     return F.when(x == 0, F.lit(0).cast("long")).when(x > 0, size).otherwise(-size)
 
 
-def value_positions(counts: DataFrame, groups: Sequence[str], value: str, n: str = "n") -> DataFrame:
+def value_positions(counts: DataFrame, groups: Sequence[str], value: str, n: str = "n",
+                    buckets: Column | None = None) -> DataFrame:
     """Add ``below`` (rows with a smaller value in the group) and ``total`` to a table of
-    distinct (group, value) counts."""
-    # The explicit null test equals the one the join below implies, so that both readers of
-    # the counts have the same plan and share one exchange.
-    bucketed = counts.withColumn("__b", magnitude_bucket(F.col(value))).transform(known, "__b")
+    distinct (group, value) counts.
+
+    ``buckets`` restricts the result to buckets that fulfil a condition on ``base`` (rows in
+    lower buckets), ``inside`` (rows in the bucket) and ``total``.
+    """
+    bucketed = counts.withColumn("__b", magnitude_bucket(F.col(value)))
     per_bucket = bucketed.groupBy(*groups, "__b").agg(F.sum(n).alias("__m"))
     by_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     running = by_group.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         *[F.col(g).alias(f"__k{i}") for i, g in enumerate(groups)], F.col("__b").alias("__kb"),
-        F.coalesce(F.sum("__m").over(running), F.lit(0)).alias("__base"),
+        F.coalesce(F.sum("__m").over(running), F.lit(0)).alias("base"), F.col("__m").alias("inside"),
         F.sum("__m").over(by_group).alias("total"),
     )
-    # Null-safe on the group columns, which also holds for a null group.
-    condition = [F.col("__b") == F.col("__kb")]
+    if buckets is not None:
+        offsets = offsets.filter(buckets)
+    # Null-safe equality holds for a null group, and implies no null test on the bucket: the
+    # optimizer would push one into one reader of the counts, which then could not share
+    # its exchange with the others.
+    condition = [F.col("__b").eqNullSafe(F.col("__kb"))]
     condition += [F.col(g).eqNullSafe(F.col(f"__k{i}")) for i, g in enumerate(groups)]
     inside = Window.partitionBy(*groups, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     placed = bucketed.join(offsets, condition).withColumn(
-        "below", F.col("__base") + F.coalesce(F.sum(n).over(inside), F.lit(0)))
+        "below", F.col("base") + F.coalesce(F.sum(n).over(inside), F.lit(0)))
     return placed.select(*groups, value, n, "below", "total")
 
 
@@ -54,6 +61,12 @@ def average_rank() -> Column:
     return F.col("below") + (F.col("n") + 1) / 2
 
 
+def value_counts(df: DataFrame, groups: Sequence[str], value: str, alias: str = "__x") -> DataFrame:
+    """Rows per (group, value) as ``n``; null values are left out."""
+    return df.select(*groups, F.col(value).cast("double").alias(alias)).transform(known, alias) \
+        .groupBy(*groups, alias).agg(F.count("*").alias("n"))
+
+
 def pct_rank(df: DataFrame, groups: Sequence[str], columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """Add average-tie percentile ranks within ``groups``; null values and groups stay null.
 
@@ -63,8 +76,7 @@ def pct_rank(df: DataFrame, groups: Sequence[str], columns: Sequence[str] | Mapp
     outputs = columns if isinstance(columns, Mapping) else {c: f"{c}_pct" for c in columns}
     out = df
     for source, target in outputs.items():
-        counts = df.transform(known, *groups, source).select(*groups, F.col(source).cast("double").alias("__x")) \
-            .groupBy(*groups, "__x").agg(F.count("*").alias("n"))
+        counts = value_counts(df.transform(known, *groups), groups, source)
         ranks = value_positions(counts, groups, "__x").select(
             *[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)], "__x",
             (average_rank() / F.col("total")).alias(target))
@@ -74,32 +86,38 @@ def pct_rank(df: DataFrame, groups: Sequence[str], columns: Sequence[str] | Mapp
     return out
 
 
-def exact_quantile(df: DataFrame, groups: Sequence[str], value: str, q: float = 0.5,
-                   alias: str = "median") -> DataFrame:
-    """Exact interpolated quantile per group from value positions."""
-    counts = df.transform(known, value).select(*groups, F.col(value).cast("double").alias("__x")) \
-        .groupBy(*groups, "__x").agg(F.count("*").alias("n"))
-    placed = value_positions(counts, groups, "__x")
+def quantile_of_counts(counts: DataFrame, groups: Sequence[str], q: float = 0.5, alias: str = "median",
+                       value: str = "__x") -> DataFrame:
+    """Exact interpolated quantile per group from (group, value) counts."""
     at = (F.col("total") - 1) * F.lit(float(q))
     low, high = F.floor(at), F.ceil(at)
 
-    def covers(position: Column) -> Column:
-        return (F.col("below") <= position) & (position < F.col("below") + F.col("n"))
+    def covers(position: Column, start: str = "below", size: str = "n") -> Column:
+        return (F.col(start) <= position) & (position < F.col(start) + F.col(size))
 
+    # Only the one or two buckets around the position need ranks of single values.
+    near = covers(low, "base", "inside") | covers(high, "base", "inside")
+    placed = value_positions(counts, groups, value, buckets=near)
     picked = placed.filter(covers(low) | covers(high)).groupBy(*groups).agg(
-        F.max(F.when(covers(low), F.col("__x"))).alias("lo"),
-        F.max(F.when(covers(high), F.col("__x"))).alias("hi"),
+        F.max(F.when(covers(low), F.col(value))).alias("lo"),
+        F.max(F.when(covers(high), F.col(value))).alias("hi"),
         F.max(at - low).alias("part"),
     )
     return picked.select(*groups, (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias(alias))
 
 
-def spearman(df: DataFrame, groups: Sequence[str], a: str, b: str, alias: str = "spearman") -> DataFrame:
-    """Rank correlation per group, ties averaged; null where a side is constant."""
-    pairs = df.transform(known, a, b).select(
-        *groups, F.col(a).cast("double").alias("__first"), F.col(b).cast("double").alias("__second"),
-    ).groupBy(*groups, "__first", "__second").agg(F.count("*").alias("w"))
+def exact_quantile(df: DataFrame, groups: Sequence[str], value: str, q: float = 0.5,
+                   alias: str = "median") -> DataFrame:
+    return quantile_of_counts(value_counts(df, groups, value), groups, q, alias)
+
+
+def value_pairs(df: DataFrame, groups: Sequence[str], a: str, b: str) -> DataFrame:
+    """Rows per (group, a, b) as ``first, second, w``; pairs with a null are left out."""
+    pairs = df.select(*groups, F.col(a).cast("double").alias("first"), F.col(b).cast("double").alias("second"))
+    return pairs.transform(known, "first", "second").groupBy(*groups, "first", "second").agg(F.count("*").alias("w"))
+
 
+def spearman_of_pairs(pairs: DataFrame, groups: Sequence[str], alias: str = "spearman") -> DataFrame:
     def scaled_ranks(column: str, name: str) -> DataFrame:
         counts = pairs.groupBy(*groups, column).agg(F.sum("w").alias("n"))
         # Centred and scaled to [-1/2, 1/2]: sums of squares keep their precision.
@@ -109,7 +127,7 @@ def spearman(df: DataFrame, groups: Sequence[str], a: str, b: str, alias: str =
             F.col(column).alias(f"__{name}x"), centred.alias(name))
 
     ranked = pairs
-    for column, name in (("__first", "ra"), ("__second", "rb")):
+    for column, name in (("first", "ra"), ("second", "rb")):
         condition = [F.col(column) == F.col(f"__{name}x")]
         condition += [F.col(g).eqNullSafe(F.col(f"__{name}{i}")) for i, g in enumerate(groups)]
         ranked = ranked.join(scaled_ranks(column, name), condition)
@@ -118,3 +136,8 @@ def spearman(df: DataFrame, groups: Sequence[str], a: str, b: str, alias: str =
         F.sum(w * ra * rb).alias("ab"), F.sum(w * ra * ra).alias("aa"), F.sum(w * rb * rb).alias("bb"))
     score = F.when((F.col("aa") > 0) & (F.col("bb") > 0), F.col("ab") / F.sqrt(F.col("aa") * F.col("bb")))
     return sums.select(*groups, score.alias(alias))
+
+
+def spearman(df: DataFrame, groups: Sequence[str], a: str, b: str, alias: str = "spearman") -> DataFrame:
+    """Rank correlation per group, ties averaged; null where a side is constant."""
+    return spearman_of_pairs(value_pairs(df, groups, a, b), groups, alias)

@@ -45,7 +45,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
 
 def semi_filter(df: DataFrame, ids: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``ids``; ``on`` maps left to right names."""
-    right = ids.select(*[F.col(r).alias(f"__{l}") for l, r in on.items()])
+    # Distinct ids: a key that fills the id table must not gather its rows in one task.
+    right = ids.select(*[F.col(r).alias(f"__{l}") for l, r in on.items()]).distinct()
     condition = [F.col(l) == F.col(f"__{l}") for l in on]
     return df.join(right, condition, "left_semi")
 
@@ -82,6 +83,14 @@ def attach(df: DataFrame, table: DataFrame, on: Sequence[str], columns: Sequence
     return with_key.join(right, list(on), "left").select(*df.columns, *added).unionByName(padded)
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join two aggregates of one frame on their group columns. A null group meets itself, and
+    no null test is pushed into one side only, so both keep sharing the exchange below."""
+    renamed = right.withColumnsRenamed({k: f"__join_{k}" for k in keys})
+    condition = [F.col(k).eqNullSafe(F.col(f"__join_{k}")) for k in keys]
+    return left.join(renamed, condition, how).drop(*[f"__join_{k}" for k in keys])
+
+
 def previous_period(df: DataFrame, keys: Sequence[str], period: str, columns: Sequence[str],
                     suffix: str = "_prev") -> DataFrame:
     """Value of the directly preceding period by a shifted self join; a gap gives null.

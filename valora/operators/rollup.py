@@ -41,8 +41,18 @@ def rollup(df: DataFrame, keys: Sequence[str], first: Sequence[str], sums: Seque
     """First values, null-aware sums and weighted means in a single aggregate.
 
     Every part has a partial form, so a hot key costs one row per map task in the shuffle.
+    Columns the schema declares free of nulls all come from the first row and share one
+    ordering buffer; the others each carry their own.
     """
     order = order_struct(order_cols)
+    whole = [c for c in first if not df.schema[c].nullable]
+    if len(whole) > 1:
+        head = F.min_by(F.struct(*whole), order).alias("__head")
+        extra_names = [*sums, *[m.value for m in means]]
+        rolled = rollup(df, keys, [c for c in first if c not in whole], sums, means, order_cols, [head, *extra])
+        added = [c for c in rolled.columns if c not in (*keys, *first, *extra_names, "__head")]
+        return rolled.select(*keys, *[F.col(f"__head.{c}").alias(c) if c in whole else c for c in first],
+                             *extra_names, *added)
     return df.transform(known, *keys).groupBy(*keys).agg(
         *[first_non_null(c, order) for c in first],
         *[F.sum(c).alias(c) for c in sums],

@@ -7,9 +7,9 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from valora.operators.relational import known
 
-from valora.operators.ranks import exact_quantile
+from valora.operators import ranks
+from valora.operators.relational import join_groups, known
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -20,11 +20,14 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def group_stats(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     """Exact median, mean and maximum per group."""
-    basic = df.groupBy(*groups).agg(F.avg(value).alias("mean"), F.max(value).alias("max"))
+    # All three come from the (group, value) counts, so the rows are read and shuffled once.
+    counts = ranks.value_counts(df, groups, value)
+    n, x = F.col("n"), F.col("__x")
+    basic = counts.groupBy(*groups).agg((F.sum(x * n) / F.sum("n")).alias("mean"), F.max(x).alias("max"))
+    median = ranks.quantile_of_counts(counts, groups)
     if not groups:
-        return basic.withColumn("median", exact_quantile(df, [], value).scalar())
-    return basic.join(exact_quantile(df, groups, value), list(groups), "left") \
-        .select(*groups, "median", "mean", "max")
+        return basic.withColumn("median", median.scalar()).select("median", "mean", "max")
+    return join_groups(basic, median, groups).select(*groups, "median", "mean", "max")
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from valora.operators.relational import known
-
-from valora.operators.ranks import spearman
+from valora.operators.ranks import spearman_of_pairs, value_pairs
+from valora.operators.relational import join_groups
 
 METRICS = ["rmse_log", "mae_log", "r2_log", "spearman_log", "rmse_eur", "mae_eur"]
 RESULT_KEYS = ["model", "stage", "position"]
@@ -18,23 +17,26 @@ def regression_metrics(df: DataFrame, groups: Sequence[str], truth: str = "y_tru
                        count: str = "n_samples") -> DataFrame:
     """Six metrics per group. R² is null below two rows; a constant target gives 1 for a
     perfect prediction and 0 otherwise. Spearman is null where a side is constant."""
-    y, p = F.col(truth).cast("double"), F.col(prediction).cast("double")
-    error = y - p
-    eur = F.expm1(y) - F.expm1(p)
-    measured = df.transform(known, truth, prediction)
-    sums = measured.groupBy(*groups).agg(
-        F.count("*").alias(count),
-        F.sqrt(F.avg(error * error)).alias("rmse_log"), F.avg(F.abs(error)).alias("mae_log"),
-        F.sum(error * error).alias("__sse"), (F.var_pop(y) * F.count("*")).alias("__sst"),
-        F.sqrt(F.avg(eur * eur)).alias("rmse_eur"), F.avg(F.abs(eur)).alias("mae_eur"))
+    # Everything is a function of the (truth, prediction) pair counts: predictions are
+    # computed, read and shuffled once.
+    pairs = value_pairs(df, groups, truth, prediction)
+    y, p, w = F.col("first"), F.col("second"), F.col("w")
+    error, eur = y - p, F.expm1(y) - F.expm1(p)
+    n = F.sum("w")
+    sums = pairs.groupBy(*groups).agg(
+        n.alias(count),
+        F.sqrt(F.sum(w * error * error) / n).alias("rmse_log"), (F.sum(w * F.abs(error)) / n).alias("mae_log"),
+        F.sum(w * error * error).alias("__sse"),
+        F.when(F.min(y) < F.max(y), F.sum(w * y * y) - F.sum(w * y) * F.sum(w * y) / n).otherwise(0.0).alias("__sst"),
+        F.sqrt(F.sum(w * eur * eur) / n).alias("rmse_eur"), (F.sum(w * F.abs(eur)) / n).alias("mae_eur"))
     sse, sst = F.col("__sse"), F.col("__sst")
     r2 = F.when(F.col(count) >= 2, F.when(sst > 0, 1 - sse / sst).when(sse == 0, 1.0).otherwise(0.0))
-    ranked = spearman(measured, groups, truth, prediction, "spearman_log")
+    ranked = spearman_of_pairs(pairs, groups, "spearman_log")
     sums = sums.withColumn("r2_log", r2)
     if not groups:
         return sums.select(count, "rmse_log", "mae_log", "r2_log", ranked.scalar().alias("spearman_log"),
                            "rmse_eur", "mae_eur")
-    return sums.join(ranked, list(groups), "left").select(*groups, count, *METRICS)
+    return join_groups(sums, ranked, groups).select(*groups, count, *METRICS)
 
 
 def results_table(results: DataFrame) -> DataFrame:
