@@ -103,10 +103,10 @@ def tune(name: str, train: DataFrame, label: str = LABEL, draws: int = config.SE
     return base.copy(grid[best])
 
 
-def run_fits(tasks: Sequence[Callable[[], DataFrame]], parallelism: int = CONCURRENT_FITS) -> list[DataFrame]:
+def run_fits(spark: SparkSession, tasks: Sequence[Callable[[], DataFrame]],
+             parallelism: int = CONCURRENT_FITS) -> list[DataFrame]:
     if parallelism <= 1 or len(tasks) <= 1:
         return [task() for task in tasks]
-    spark = SparkSession.getActiveSession()
     with ThreadPoolExecutor(parallelism) as pool:
         return list(pool.map(lambda task: inheritable_thread_target(spark)(task)(), tasks))
 
@@ -118,7 +118,7 @@ def oof_predictions(df: DataFrame, fit: Callable[[DataFrame], Model], folds: int
         model = fit(df.filter(F.col(fold) != i))
         return model.transform(df.filter(F.col(fold) == i)).withColumnRenamed("prediction", output)
 
-    return reduce(DataFrame.unionByName, run_fits([lambda i=i: one(i) for i in range(folds)]))
+    return reduce(DataFrame.unionByName, run_fits(df.sparkSession, [lambda i=i: one(i) for i in range(folds)]))
 
 
 def _fit(name: str, train: DataFrame, tuned: bool, overrides: Overrides | None, draws: int) -> Model:
@@ -164,7 +164,7 @@ def train_global(df: DataFrame, stage: str, tuned: bool = True, models: Sequence
     out-of-fold predictions when there is only one season."""
     data = _stored_vectors(df, f"{stage}-global")
     seasons = data.agg(F.countDistinct("season")).first()[0]
-    return _evaluate(run_fits([
+    return _evaluate(run_fits(df.sparkSession, [
         lambda m=m: _predictions(data, seasons, m, stage, "global", tuned, overrides, draws) for m in models]))
 
 
@@ -178,7 +178,7 @@ def train_position_aware(df: DataFrame, stage: str, tuned: bool = True, models:
         for label, (part, seasons) in _groups(data, ["DEF", "MID", "FWD"]).items() for m in models]
     if not tasks:
         raise ValueError(f"no position group has {config.MIN_GROUP_ROWS} rows")
-    return _evaluate(run_fits(tasks))
+    return _evaluate(run_fits(df.sparkSession, tasks))
 
 
 def stacked_predictions(data: DataFrame, stage: str, position: str, tuned: bool = True,
@@ -194,7 +194,7 @@ def stacked_predictions(data: DataFrame, stage: str, position: str, tuned: bool
         scored = chosen.fit(train).transform(test).withColumnRenamed("prediction", column).select(*KEY, column)
         return oof, scored
 
-    (rf_oof, rf), (gbt_oof, gbt) = run_fits([lambda c=c: base(c) for c in bases], parallelism=2)
+    (rf_oof, rf), (gbt_oof, gbt) = run_fits(data.sparkSession, [lambda c=c: base(c) for c in bases], parallelism=2)
     blend = list(bases)
     meta_train = assemble(train.select(*KEY, LABEL).join(rf_oof, list(KEY)).join(gbt_oof, list(KEY)), blend)
     meta_train = materialize(meta_train.select(LABEL, "features"), f"{stage}-{position}-meta")
