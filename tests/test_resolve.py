@@ -101,3 +101,22 @@ def test_match_rate(spark):
     assert (row.total, row.matched, row.exact_full, row.exact_last, row.fuzzy, row.unmatched) == (3, 2, 1, 0, 1, 1)
     assert row.match_pct == pytest.approx(200 / 3)
     assert resolve.match_rate(df.limit(0)).first().match_pct == 0.0
+
+
+def test_one_large_block_of_random_names_equals_brute_force(spark):
+    """Pairs of every kind (edits, moved, dropped and added words) in one oversized block."""
+    from test_text import random_pair
+    r = random.Random(23)
+    pairs = [random_pair(r) for _ in range(350)]
+    lefts = sorted({" ".join(a.split()) for a, _ in pairs})
+    rights = sorted({" ".join(b.split()) for _, b in pairs if b.split()})
+    rdf = spark.createDataFrame([(i, n, "one", i) for i, n in enumerate(rights)], "id BIGINT, rname STRING, block STRING, ord INT")
+    ldf = spark.createDataFrame([(n, "one") for n in lefts], "lname STRING, block STRING")
+    for threshold in (70.0, 80.0, 92.0):
+        got = {x.lname: (x.id, round(x.score, 9)) for x in resolve.best_similar(ldf, rdf, threshold, 0).collect()}
+        expected = {}
+        for name in lefts:
+            score, i = max((token_set_score(name, n), -i) for i, n in enumerate(rights))
+            if score >= threshold:
+                expected[name] = (-i, round(score, 9))
+        assert got == expected and len(expected) > 100

@@ -10,10 +10,11 @@ when ``I`` is not empty, ``I`` vs each of them. Similarity of strings x, y is
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Column, functions as F, types as T
 
 
 def lcs_length(x: str, y: str) -> int:
@@ -33,8 +34,13 @@ def _indel_score(distance: int, total: int) -> float:
     return 100.0 - 100.0 * distance / total if total else 100.0
 
 
+@lru_cache(maxsize=1 << 16)
+def _tokens(name: str | None) -> frozenset[str]:
+    return frozenset((name or "").split())
+
+
 def token_set_score(a: str | None, b: str | None) -> float:
-    tokens_a, tokens_b = set((a or "").split()), set((b or "").split())
+    tokens_a, tokens_b = _tokens(a), _tokens(b)
     if not tokens_a or not tokens_b:
         return 0.0
     shared = tokens_a & tokens_b
@@ -61,6 +67,7 @@ def token_set_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 # Below this score two similar names need not share enough bigrams to be found by keys.
 MIN_THRESHOLD = 200 / 3
+BIGRAM_CHANNEL = "3|"
 
 
 def signature_keys(name: str, threshold: float) -> tuple[list[str], list[str]]:
@@ -104,7 +111,7 @@ def signature_keys(name: str, threshold: float) -> tuple[list[str], list[str]]:
 
     minimum = math.ceil(joined * (3 * c - 2) / (2 - c) + 1 - 1e-9)
     grams = _ranked_bigrams(tokens)[: joined + 1 - minimum + 2]
-    pairs = ["3|" + a + b for a, b in combinations(grams, 2)]
+    pairs = [BIGRAM_CHANNEL + a + b for a, b in combinations(grams, 2)]
     left = ["1|" + k for k in own] + ["2|" + k for k in all_keys] + pairs
     right = ["1|" + k for k in all_keys] + ["2|" + k for k in own] + pairs
     return left, right
@@ -126,11 +133,61 @@ def _ranked_bigrams(tokens: list[str]) -> list[str]:
     return [f"{g}{n}" for g, n in sorted(grams)]
 
 
+def profile(name: str) -> tuple[int, int, int, int, int]:
+    """Length of the joined token set and bit sets of its letters and bigrams.
+
+    Letters: bit ``k`` of a letter says that it occurs more than ``k`` times (up to four).
+    Bigrams, numbered per repeat, are hashed to one bit each.
+    """
+    tokens = sorted(set(name.split()))
+    letters, seen = [0, 0], {}
+    for char in "".join(tokens):
+        slot = ord(char) % 26
+        count = seen[slot] = seen.get(slot, 0) + 1
+        if count <= 4:
+            letters[slot // 13] |= 1 << (slot % 13 * 4 + count - 1)
+    grams = [0, 0]
+    for gram in _ranked_bigrams(tokens):
+        bit = sum(ord(c) * 31**i for i, c in enumerate(gram)) * 2654435761 % (1 << 32) % 126
+        grams[bit // 63] |= 1 << (bit % 63)
+    return len(" ".join(tokens)), *letters, *grams
+
+
+PROFILE = ["length", "letters_a", "letters_b", "grams_a", "grams_b"]
+SIGNATURE = ("keys ARRAY<STRING>, length INT, letters_a BIGINT, letters_b BIGINT, "
+             "grams_a BIGINT, grams_b BIGINT")
+
+
 def signature_udf(threshold: float, side: int):
-    """Arrow UDF giving the left (0) or right (1) keys of each name."""
+    """Arrow UDF giving the left (0) or right (1) keys of each name and its profile."""
+
+    @F.pandas_udf(SIGNATURE)
+    def signature(names: pd.Series) -> pd.DataFrame:
+        rows = [(list(dict.fromkeys(signature_keys(n, threshold)[side])), *profile(n)) for n in names]
+        return pd.DataFrame(rows, columns=["keys", *PROFILE])
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def keys(names: pd.Series) -> pd.Series:
-        return names.map(lambda n: list(dict.fromkeys(signature_keys(n, threshold)[side])))
+    return signature
 
-    return keys
+
+def may_be_similar(left: str, right: str, threshold: float) -> Column:
+    """Necessary condition on two profiles for channel 3, a few integer operations.
+
+    With ``d`` the largest indel distance that reaches the threshold: lengths differ by at most ``d``,
+    letter counts differ by at most ``d`` in total, and each side has at most
+    ``length + 1 - shared`` bigrams the other lacks, where ``shared`` is the bound of the keys.
+    Hashed or capped bits only hide differences, so no qualifying pair is refused.
+    """
+    def part(side: str, name: str) -> Column:
+        return F.col(f"{side}.{name}")
+
+    def lacking(a: str, b: str) -> Column:
+        return sum((F.bit_count(part(a, g).bitwiseAND(F.bitwise_not(part(b, g)))) for g in ("grams_a", "grams_b")),
+                   F.lit(0))
+
+    c = threshold / 100
+    n, m = part(left, "length"), part(right, "length")
+    distance = (n + m) * (1 - c) + 1e-9
+    shared = (n + m) * (3 * c - 2) / 2 + 1 - 1e-9
+    letters = sum((F.bit_count(part(left, x).bitwiseXOR(part(right, x))) for x in ("letters_a", "letters_b")), F.lit(0))
+    return (F.abs(n - m) <= distance) & (letters <= distance) \
+        & (lacking(left, right) <= n + 1 - shared) & (lacking(right, left) <= m + 1 - shared)

@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from valora import config
-from valora.functions.similarity import MIN_THRESHOLD, signature_udf, token_set_similarity
+from valora.functions.similarity import (
+    BIGRAM_CHANNEL, MIN_THRESHOLD, PROFILE, may_be_similar, signature_udf, token_set_similarity,
+)
 from valora.operators.relational import known, order_struct
 from valora.session import materialize
 
@@ -34,10 +36,22 @@ def exact_match(left: DataFrame, right: DataFrame, keys: Sequence[str], id_colum
 
 
 def _large_block_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """Name pairs of oversized blocks that share a signature key, without duplicates."""
-    probes = left.select("block", "lname", F.explode(signature_udf(threshold, 0)("lname")).alias("key"))
-    index = right.select("block", "rname", F.explode(signature_udf(threshold, 1)("rname")).alias("key"))
-    return probes.join(index, ["block", "key"]).select("block", "lname", "rname").distinct()
+    """Name pairs of oversized blocks that share a signature key, without duplicates.
+
+    Pairs that only share a pair of bigrams must also pass the profile test, which is part of the join
+    condition: a pair that fails is not emitted.
+    """
+    def keyed(names: DataFrame, name: str, side: int, alias: str) -> DataFrame:
+        signed = names.select("block", name, signature_udf(threshold, side)(name).alias("s"))
+        profile = F.struct(*[F.col(f"s.{c}").alias(c) for c in PROFILE]).alias(alias)
+        return signed.select(F.col("block").alias(f"{alias}_block"), name, profile,
+                             F.explode("s.keys").alias(f"{alias}_key"))
+
+    by_letters = F.startswith("l_key", F.lit(BIGRAM_CHANNEL))
+    condition = (F.col("l_block") == F.col("r_block")) & (F.col("l_key") == F.col("r_key")) \
+        & (~by_letters | may_be_similar("l", "r", threshold))
+    pairs = keyed(left, "lname", 0, "l").join(keyed(right, "rname", 1, "r"), condition)
+    return pairs.select(F.col("l_block").alias("block"), "lname", "rname").distinct()
 
 
 def best_similar(left: DataFrame, right: DataFrame, threshold: float = config.FUZZY_THRESHOLD,
