@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from valora import config
 from valora.catalogue.registry import PERFORMANCES_SQL, ROW_ORDER, performances, query, rounded, table
 from valora.functions.dates import age_at_season_end
 from valora.functions.numeric import lookup, one_hot, one_hot_label, per90, ratio
+from valora.functions.text import full_name, normalize_name
 from valora.operators import ranks, relational, rollup
 from valora.plans import features as stages
+from valora.plans.dataset import build_joined_dataset
 from valora.session import materialize
+from valora.sources.tables import MarketTables
 
 
 def _rolled(spark, sf):
@@ -223,3 +227,72 @@ def rate_leaders(spark, sf):
     top = relational.top_k(ranks.pct_rank(rates, ["season"], ["goals_p90"]), 25, "goals_p90_pct",
                            ["season", "l_partkey"])
     return rounded(top, 9, "goals_p90_pct").withColumn("goals_p90", F.round("goals_p90", 9))
+
+
+_DATED_SQL = """
+dated AS (SELECT l_partkey AS id, CAST(l_shipdate AS DATE) AS d, l_extendedprice AS v FROM lineitem)"""
+
+
+def _valuations(spark, sf):
+    """Every line is a dated value of its part."""
+    return table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("player_id"), F.col("l_shipdate").cast("date").alias("date"),
+        F.col("l_extendedprice").alias("market_value_in_eur"))
+
+
+@query("value_history", f"""
+WITH {PERFORMANCES_SQL}, {_DATED_SQL},
+snaps AS (
+  SELECT r.id, r.season, k.shift, d.v FROM rolled r CROSS JOIN (VALUES (0), (-1)) k(shift)
+  JOIN dated d ON d.id = r.id AND d.d <= make_date(r.season + k.shift, 7, 1)
+  QUALIFY row_number() OVER (PARTITION BY r.id, r.season, k.shift ORDER BY d.d DESC, d.v) = 1)
+SELECT r.id AS api_player_id, r.season, round(ln(1 + a.v), 9) AS log_tm_prev_value,
+       round(ln(1 + a.v) - ln(1 + b.v), 9) AS tm_value_trend
+FROM rolled r LEFT JOIN snaps a ON a.id = r.id AND a.season = r.season AND a.shift = 0
+LEFT JOIN snaps b ON b.id = r.id AND b.season = r.season AND b.shift = -1 WHERE r.pos IS NOT NULL""")
+def value_history(spark, sf):
+    df = stages.build_stage3(performances(spark, sf), _valuations(spark, sf), ROW_ORDER, with_delta=False)
+    return rounded(df.select("api_player_id", "season", "log_tm_prev_value", "tm_value_trend"), 9,
+                   "log_tm_prev_value", "tm_value_trend")
+
+
+@query("joined_dataset", f"""
+WITH {_DATED_SQL},
+ids AS (SELECT p_name, p_size, max(p_partkey) AS tm FROM part GROUP BY ALL),
+links AS (SELECT p_partkey AS id, tm FROM part JOIN ids USING (p_name, p_size) WHERE p_type <> 'STANDARD'),
+seasons AS (SELECT DISTINCT tm, CAST(year(l_shipdate) AS INTEGER) AS season FROM lineitem JOIN links ON id = l_partkey),
+snapped AS (
+  SELECT s.tm, s.season, d.v FROM seasons s JOIN dated d ON d.id = s.tm
+  QUALIFY row_number() OVER (PARTITION BY s.tm, s.season
+    ORDER BY abs(date_diff('day', d.d, make_date(s.season + 1, 7, 1))), d.d, d.v) = 1)
+SELECT l_partkey AS api_player_id, season, tm AS tm_player_id, v AS market_value_in_eur, count(*) AS rows_joined,
+       CAST(sum(l_linenumber) AS BIGINT) AS goals
+FROM lineitem JOIN links ON id = l_partkey JOIN snapped USING (tm) WHERE season = year(l_shipdate) GROUP BY ALL""")
+def joined_dataset(spark, sf):
+    """Flat rows, market players and dated values through crosswalk and nearest value."""
+    rows = performances(spark, sf).drop("tm_player_id", "market_value_in_eur").withColumns({
+        "full_name_norm": normalize_name(full_name(F.col("firstname"), F.col("lastname"))),
+        "last_name_norm": normalize_name(F.col("lastname")), "rec_ord": F.struct(*ROW_ORDER)})
+    players = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("player_id"), full_name(F.col("p_name"), F.col("p_brand")).alias("name"),
+        F.col("p_brand").alias("last_name"),
+        F.date_add(F.lit("1972-01-01").cast("date"), F.col("p_size") * 211).alias("date_of_birth"))
+    joined = build_joined_dataset(rows, MarketTables(players, _valuations(spark, sf), None, None))
+    return joined.groupBy("api_player_id", "season", "tm_player_id", "market_value_in_eur").agg(
+        F.count("*").alias("rows_joined"), F.sum("goals").alias("goals"))
+
+
+@query("feature_counts", "SELECT * FROM (VALUES ('stage1', 10), ('stage2', 24), ('stage3', 31), ('stage4', 41), "
+       "('stage5', 46)) t(stage, features), (SELECT count(*) AS n FROM (SELECT DISTINCT l_partkey, year(l_shipdate) "
+       "FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_type NOT IN ('STANDARD', 'PROMO')))")
+def feature_counts(spark, sf):
+    """Rows and number of features of each stage."""
+    rows = performances(spark, sf)
+    rolled = stages.stored_rollup(rows, ROW_ORDER)
+    counts = None
+    for name, build in stages.STAGES.items():
+        built = build(rows, order_cols=ROW_ORDER, rolled=rolled)
+        features = len([c for c in built.columns if c not in config.ID_COLUMNS])
+        one = built.agg(F.count("*").alias("n")).select(F.lit(name).alias("stage"), F.lit(features).alias("features"), "n")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts

@@ -69,6 +69,16 @@ def global_models(spark, sf):
     return models.train_global(_stage1(spark, sf), "stage1", tuned=False, overrides=LIGHT)
 
 
+@query("forest_fit")
+def forest_fit(spark, sf):
+    return models.train_global(_stage1(spark, sf), "stage1", tuned=False, models=["RandomForest"], overrides=LIGHT)
+
+
+@query("gbt_fit")
+def gbt_fit(spark, sf):
+    return models.train_global(_stage1(spark, sf), "stage1", tuned=False, models=["GBT"], overrides=LIGHT)
+
+
 @query("position_models")
 def position_models(spark, sf):
     return models.train_position_aware(_stage1(spark, sf), "stage1", tuned=False,

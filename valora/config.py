@@ -53,6 +53,8 @@ ID_COLUMNS = ["api_player_id", "season", "tm_player_id", "market_value_in_eur",
 SEED = 42
 FUZZY_THRESHOLD = 80.0
 VERDICT_THRESHOLD = 0.20
+WINNER_MODEL = "MODEL"
+WINNER_MARKET = "Transfermarkt"
 MIN_GROUP_ROWS = 30
 MIN_EXPLAIN_TRAIN = 10
 MIN_EXPLAIN_TEST = 5

@@ -1 +1 @@
-"""Composed pipelines: joined data set, feature stages, models, metrics, explanations, reports."""
+"""Composed plans: joined data set, feature stages, models, metrics, explanations, reports."""

@@ -6,13 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from valora import config
 from valora.functions.dates import parse_date, season_label, season_start_year
 from valora.functions.labels import mispricing, verdict_code, verdict_text
 from valora.functions.numeric import parse_number, round_half_even, to_millions
 from valora.functions.text import full_name, matches
 from valora.operators.relational import attach, first_per_key, semi_filter
 
-MODEL, MARKET = "MODEL", "Transfermarkt"
+MODEL, MARKET = config.WINNER_MODEL, config.WINNER_MARKET
 
 
 def with_names(df: DataFrame, joined: DataFrame, order_cols: Sequence[str | Column],
