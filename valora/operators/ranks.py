@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from valora.operators.relational import known
+from valora.session import materialize
 
 _STEPS_PER_OCTAVE = 2048
 _OFFSET = 1100 * _STEPS_PER_OCTAVE  # above the magnitude of the smallest double exponent
@@ -70,8 +71,9 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str, alias: str =
 def pct_rank(df: DataFrame, groups: Sequence[str], columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """Add average-tie percentile ranks within ``groups``; null values and groups stay null.
 
-    ``df`` is read once per column and once for the result: pass a stored table when it is
-    expensive. Per column only the groups and that column are read.
+    ``df`` is read once per column and once for the result, and ranks are joined back by
+    value: store it first when it is expensive or when the values are floating-point sums, whose
+    last bit may change when they are computed again. Per column only the groups and that column are read.
     """
     outputs = columns if isinstance(columns, Mapping) else {c: f"{c}_pct" for c in columns}
     out = df
@@ -140,4 +142,4 @@ def spearman_of_pairs(pairs: DataFrame, groups: Sequence[str], alias: str = "spe
 
 def spearman(df: DataFrame, groups: Sequence[str], a: str, b: str, alias: str = "spearman") -> DataFrame:
     """Rank correlation per group, ties averaged; null where a side is constant."""
-    return spearman_of_pairs(value_pairs(df, groups, a, b), groups, alias)
+    return spearman_of_pairs(materialize(value_pairs(df, groups, a, b), "pairs"), groups, alias)

@@ -72,15 +72,21 @@ def or_semi_filter(df: DataFrame, columns: Sequence[str], ids: DataFrame | Mappi
     return out.filter(hit).drop(*marks)
 
 
-def attach(df: DataFrame, table: DataFrame, on: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """Left equi-join. Null keys never match and are not sent to one shuffle partition."""
-    right = table if columns is None else table.select(*on, *columns)
+def left_join(df: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left equi-join where rows with a null key, which cannot match, are spread over the
+    shuffle partitions by a salt instead of gathering in one."""
+    unknown = reduce(Column.__or__, [F.col(c).isNull() for c in on])
+    salt = F.when(unknown, F.pmod(F.xxhash64(*df.columns), F.lit(4096))).otherwise(F.lit(0).cast("long"))
+    # Always 0, yet no literal: a constant would be folded out of the join keys.
+    zero = F.pmod(F.xxhash64(*on), F.lit(1).cast("long"))
+    joined = df.withColumn("__salt", salt).join(right.withColumn("__salt", zero), [*on, "__salt"], "left")
     added = [c for c in right.columns if c not in on]
-    with_key = df.transform(known, *on)
-    without = df.filter(" OR ".join(f"`{k}` IS NULL" for k in on))
-    types = dict(right.dtypes)
-    padded = without.withColumns({c: F.lit(None).cast(types[c]) for c in added})
-    return with_key.join(right, list(on), "left").select(*df.columns, *added).unionByName(padded)
+    return joined.select(*df.columns, *added)
+
+
+def attach(df: DataFrame, table: DataFrame, on: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """Add the columns of a table with one row per key; null keys never match."""
+    return left_join(df, table if columns is None else table.select(*on, *columns), on)
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -14,7 +14,7 @@ from valora import config
 from valora.functions.similarity import (
     BIGRAM_CHANNEL, MIN_THRESHOLD, PROFILE, may_be_similar, signature_udf, token_set_similarity,
 )
-from valora.operators.relational import known, order_struct
+from valora.operators.relational import known, left_join, order_struct
 from valora.session import materialize
 
 # Right names per block up to which a left name is compared with each of them.
@@ -32,7 +32,7 @@ def exact_ids(right: DataFrame, keys: Sequence[str], id_column: str, order_cols:
 def exact_match(left: DataFrame, right: DataFrame, keys: Sequence[str], id_column: str,
                 order_cols: Sequence[str | Column], keep: str = "last", alias: str | None = None) -> DataFrame:
     """Left equi-join against de-duplicated ids; keys with a null never match."""
-    return left.join(exact_ids(right, keys, id_column, order_cols, keep, alias), list(keys), "left")
+    return left_join(left, exact_ids(right, keys, id_column, order_cols, keep, alias), keys)
 
 
 def _large_block_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -82,19 +82,11 @@ def best_similar(left: DataFrame, right: DataFrame, threshold: float = config.FU
 
 def exact_tiers(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, full: str, last: str,
                 block: str, order_cols: Sequence[str]) -> DataFrame:
-    """Left rows with ``__full_id`` (last duplicate wins) and ``__last_id`` (first wins).
-
-    Rows without a block cannot match; they stay out of the joins so that they do not pile
-    up in one shuffle partition.
-    """
+    """Left rows with ``__full_id`` (last duplicate wins) and ``__last_id`` (first wins)."""
     by_full = exact_ids(right, [full, block], right_id, order_cols, "last", "__full_id")
     by_last = exact_ids(right, [last, block], right_id, order_cols, "first", "__last_id")
     people = left.select(left_id, full, last, block)
-    blocked = people.filter(F.col(block).isNotNull())
-    joined = blocked.join(by_full, [full, block], "left").join(by_last, [last, block], "left")
-    types = dict(joined.dtypes)
-    blank = {c: F.lit(None).cast(types[c]) for c in ("__full_id", "__last_id")}
-    return joined.unionByName(people.filter(F.col(block).isNull()).withColumns(blank))
+    return left_join(left_join(people, by_full, [full, block]), by_last, [last, block])
 
 
 def method_of(*tiers: tuple[str, str]) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from valora.operators.ranks import spearman_of_pairs, value_pairs
 from valora.operators.relational import join_groups
+from valora.session import materialize
 
 METRICS = ["rmse_log", "mae_log", "r2_log", "spearman_log", "rmse_eur", "mae_eur"]
 RESULT_KEYS = ["model", "stage", "position"]
@@ -19,7 +20,8 @@ def regression_metrics(df: DataFrame, groups: Sequence[str], truth: str = "y_tru
     perfect prediction and 0 otherwise. Spearman is null where a side is constant."""
     # Everything is a function of the (truth, prediction) pair counts: predictions are
     # computed, read and shuffled once.
-    pairs = value_pairs(df, groups, truth, prediction)
+    # Stored: ranks are joined back by value, so no reader may see a recomputed prediction.
+    pairs = materialize(value_pairs(df, groups, truth, prediction), "pairs")
     y, p, w = F.col("first"), F.col("second"), F.col("w")
     error, eur = y - p, F.expm1(y) - F.expm1(p)
     n = F.sum("w")
