@@ -37,10 +37,10 @@ def corr_matrix(spark, sf):
 @query("histogram", """
 WITH b AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders)
 SELECT CAST(least(40, floor((o_totalprice - lo) / ((hi - lo) / 40)) + 1) AS INTEGER) AS bin, count(*) AS n,
-       round(min(lo + (hi - lo) / 40 * (least(40, floor((o_totalprice - lo) / ((hi - lo) / 40)) + 1) - 1)), 4) AS bin_start
+       round(min(lo + (hi - lo) / 40 * (least(40, floor((o_totalprice - lo) / ((hi - lo) / 40)) + 1) - 1)), 6) AS bin_start
 FROM orders, b GROUP BY 1""")
 def histogram(spark, sf):
-    return rounded(stats.histogram(table(spark, sf, "orders"), "o_totalprice", 40), 4, "bin_start")
+    return rounded(stats.histogram(table(spark, sf, "orders"), "o_totalprice", 40), 6, "bin_start")
 
 
 @query("histogram_by_group", """
