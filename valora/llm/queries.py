@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from valora.llm import decontaminate
+from valora.llm import decontaminate, jaccard
 from valora.llm.registry import query, table
 
 
@@ -15,3 +15,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         F.coalesce(decontaminate.is_contaminated(F.col("n_hit"), F.col("n_words")), F.lit(False)).alias("contaminated"))
+
+
+@query("op10_ngram_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: distinct 3-word shingles and the smallest doc_id linked to it at a Jaccard similarity of 0.9."""
+    found = jaccard.similarity_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
