@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from valora.llm import decontaminate, jaccard
+from valora.llm import decontaminate, jaccard, linededup
 from valora.llm.registry import query, table
 
 
@@ -22,3 +22,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: distinct 3-word shingles and the smallest doc_id linked to it at a Jaccard similarity of 0.9."""
     found = jaccard.similarity_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+
+
+@query("op2_line_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the lines left of it once later copies of repeated runs are gone."""
+    documents = table(spark, sf_dir, "documents")
+    left = linededup.without_later_copies(documents.withColumn("before", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")))
+    return left.select("doc_id", F.col("before").alias("n_lines"), F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
