@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from valora.llm import decontaminate, jaccard, linededup
+from valora.llm import bpe, decontaminate, jaccard, linededup
 from valora.llm.registry import query, table
 
 
@@ -30,3 +30,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     left = linededup.without_later_copies(documents.withColumn("before", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")))
     return left.select("doc_id", F.col("before").alias("n_lines"), F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("op1_byte_level_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number of ids, and digests of the ids and of the bytes they decode to."""
+    from public_tokenizers import path
+    ranks = path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks).select("doc_id", "ids")
+    return bpe.decode(ids, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
