@@ -23,29 +23,27 @@ WINDOW, GRAM = 13, 5
 MOST_FINGERPRINTS, MOST_WINDOWS = 500_000, 50_000
 
 
-def gram_hashes(words: Column, n: Column, gram: int) -> Column:
-    return F.when(n >= gram, F.transform(F.sequence(F.lit(0), n - gram),
-                                         lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(gram)]))) \
-        .otherwise(F.array().cast("array<bigint>"))
-
-
 def with_winnowed(df: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Add ``n``, ``grams`` (hash by position) and ``picked``: the positions that are least in some run of grams.
 
-    All positions of equal least hashes are picked, so the choice depends on the run alone.
+    A gram's last four bits are its position modulo 16, so that the least of a run tells where it stands; a run has 16 grams at most.
+    Equal grams may then be picked at different places on the two sides, but always inside the shared window.
     """
     run = window - gram + 1
-    last = F.col("n_grams") - run
-    df = df.withColumn("n", F.size("words")).withColumn("grams", gram_hashes(F.col("words"), F.col("n"), gram)) \
-        .withColumn("n_grams", F.size("grams"))
-    df = df.withColumn("least", F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.array_min(F.slice("grams", i + 1, F.lit(run))))).otherwise(F.array().cast("array<bigint>")))
+    if not 1 <= run <= 16:
+        raise ValueError("window - gram + 1 must be from 1 to 16")
+    words, n = F.col("words"), F.col("n")
+    marked = lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(gram)]).bitwiseOR(F.lit(15)).bitwiseXOR((i % 16).cast("long"))
+    df = df.withColumn("n", F.size("words")).withColumn("grams", F.when(n >= gram, F.transform(F.sequence(F.lit(0), n - gram), marked))
+                                                        .otherwise(F.array().cast("array<bigint>")))
+    least = lambda i: i + F.pmod(15 - F.array_min(F.slice("grams", i + 1, F.lit(run))).bitwiseAND(F.lit(15)).cast("int") - i, F.lit(16))
     # Every column that a lambda reads is also read outside of it, else Spark would compute it anew for each element.
-    first, last = (lambda p: F.greatest(p - (run - 1), F.lit(0))), F.size("least") - 1
-    return df.withColumn("picked", F.when(F.size("least") > 0, F.filter(
-        F.sequence(F.lit(0), F.col("n_grams") - 1),
-        lambda p: F.array_max(F.slice("least", first(p) + 1, F.least(p, last) - first(p) + 1)) == F.get("grams", p)))
-        .otherwise(F.array().cast("array<int>")))
+    return df.withColumn("picked", F.when(F.size("grams") >= run, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("grams") - run), least)))
+                         .otherwise(F.array().cast("array<int>")))
+
+
+def print_at(p: Column) -> Column:
+    return F.shiftright(F.get("grams", p), 4)
 
 
 def item_windows(items: DataFrame, window: int) -> DataFrame:
@@ -68,14 +66,14 @@ def windows_of(docs: DataFrame, items: DataFrame, window: int, gram: int) -> Dat
     """One ``head`` row per document, and one for each place (start, length, window_text) of a
     document that may be a window of an item: all those that hold a fingerprint shared with an item."""
     sought = broadcast_if_small(
-        items.filter(F.col("n") >= window).select(F.explode(F.transform("picked", lambda p: F.get("grams", p))).alias("sought")).distinct(),
+        items.filter(F.col("n") >= window).select(F.explode(F.transform("picked", print_at)).alias("sought")).distinct(),
         MOST_FINGERPRINTS)
     reach = window - gram
     around = lambda p: F.greatest(p - reach, F.lit(0))
     head = F.struct(F.col("h1").alias("print"), F.lit(-1).alias("place"), F.lit(0).alias("from"),
                     F.array().cast("array<string>").alias("near"))
     places = F.transform("picked", lambda p: F.struct(
-        F.get("grams", p).alias("print"), p.alias("place"), around(p).alias("from"),
+        print_at(p).alias("print"), p.alias("place"), around(p).alias("from"),
         F.slice("words", around(p) + 1, F.lit(window + reach)).alias("near")))
     met = docs.select("doc", "h1", "h2", "n", F.explode(F.concat(F.array(head), places)).alias("x")).select("doc", "h1", "h2", "n", "x.*") \
         .join(sought, F.col("print") == F.col("sought"), "left").filter("sought IS NOT NULL OR place < 0").drop("sought", "print")
