@@ -18,7 +18,7 @@ by ``similarity_components`` and kept by ``one_of_each_group``. Shingles and set
 
 from __future__ import annotations
 
-from math import comb, exp
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -83,8 +83,9 @@ class Bands:
             return 0, 0, False
         spare = (apart + 1) // 2
         whole = apart + 1 + spare
-        empty = exp(-self.lows[band] / whole)
-        crowded = empty * sum(comb(whole, k) * empty ** k * (1 - empty) ** (whole - k) for k in range(spare + 1, min(whole, spare + 6) + 1))
+        empty = -self.lows[band] / whole  # logarithm of the share of sets for which a segment is empty
+        chance = lambda k: exp(lgamma(whole + 1) - lgamma(k + 1) - lgamma(whole - k + 1) + k * empty + (whole - k) * log(1 - exp(empty)))
+        crowded = exp(empty) * sum(chance(k) for k in range(spare + 1, min(whole, spare + 6) + 1))
         if whole + COST_SETS * crowded > small + apart:
             return (apart + 2) // 2, 0, True
         return whole, spare, False
