@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from valora.llm import bpe, decontaminate, jaccard, linededup
+from valora.llm import bpe, decontaminate, jaccard, linededup, toxicity
 from valora.llm.registry import query, table
 
 
@@ -41,3 +41,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, ranks).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: a toxicity score learned from the rows that are not held out."""
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"), learn=~toxicity.held_out())
+    return toxicity.score(documents.select("doc_id", "text"), model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
