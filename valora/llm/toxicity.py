@@ -37,6 +37,8 @@ BEGINNINGS = (6, 5, 4)
 SHRINK, STRONGEST = 3.0, 2
 #: A word is judged by its longest feature that is in so many labelled rows.
 EVIDENCE = 4
+#: Toxic rows that must be credited to a feature.
+CREDIT = 3
 #: A feature's shrunken share of toxic rows, at least.
 LEAST_RATE = 0.75
 CHUNK_ROWS = 1000
@@ -214,7 +216,26 @@ def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
         excess = np.log(rate / (1 - rate)) - np.log(share / (1 - share))
     seen = max(2, int((toxic + other > 0).sum()))
     weights = np.where((own > share) & (ratio > np.log(seen)) & (rate > LEAST_RATE), np.nan_to_num(excess), 0.0)
-    weights = np.append(np.where(toxic + other < EVIDENCE, np.nan, weights), np.nan)
+    # Words that stand in the same few toxic rows as a well-known one are its company: each toxic row is credited to the feature that is in most
+    # of them, and features with little credit are unknown.
+    support = sc.broadcast(np.append(np.where(weights > 0, toxic, 0), 0).astype(np.int32))
+
+    def credit(batches):
+        reader, rank, total = Reader(characters.value), support.value, np.zeros(BUCKETS + 1, np.int64)
+        for batch in batches:
+            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if label > 0:
+                    found = reader.features(text).reshape(-1)
+                    if len(found) and rank[best := found[np.argmax(rank[found])]] > 0:
+                        total[best] += 1
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found])], names=["feature", "credit"])
+
+    credits = np.zeros(BUCKETS)
+    table = rows.filter("label > 0").mapInArrow(credit, "feature int, credit bigint").groupBy("feature").agg(F.sum("credit").alias("credit")).toArrow()
+    credits[table.column("feature").to_numpy()] = table.column("credit").to_numpy()
+    unknown = (toxic + other < EVIDENCE) | (weights > 0) & (credits < CREDIT)
+    weights = np.append(np.where(unknown, np.nan, weights), np.nan)
     return Model(characters, sc.broadcast(weights.astype(np.float32)), share)
 
 
