@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from valora.llm import bpe, decontaminate, jaccard, linededup, toxicity
+from valora.llm import bpe, decontaminate, jaccard, linededup, secretscan, toxicity
 from valora.llm.registry import query, table
 
 
@@ -50,3 +50,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(documents, table(spark, sf_dir, "labels"), learn=~toxicity.held_out())
     return toxicity.score(documents.select("doc_id", "text"), model).select(
         "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op3_secret_scans")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: secrets by kind, a digest of the base spans, and all spans."""
+    found = secretscan.secrets(table(spark, sf_dir, "documents"))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin(*[r.kind for r in secretscan.BASE_RULES]))
+    return found.select("doc_id", number("assign"), number("access"), number("hex"),
+                        F.sha2(secretscan.written(base), 256).alias("base_sha256"), secretscan.written(F.col("spans")).alias("spans"))
