@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from valora.llm import bpe, decontaminate, jaccard, linededup, secretscan, toxicity
+from valora.llm import bpe, decontaminate, jaccard, linededup, quality, secretscan, toxicity
 from valora.llm.registry import query, table
 
 
@@ -60,3 +60,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*[r.kind for r in secretscan.BASE_RULES]))
     return found.select("doc_id", number("assign"), number("access"), number("hex"),
                         F.sha2(secretscan.written(base), 256).alias("base_sha256"), secretscan.written(F.col("spans")).alias("spans"))
+
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the base statistics, whether the base rule fails and whether the certified rules keep it."""
+    found = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
