@@ -32,8 +32,13 @@ from valora.session import materialize
 MOST_NODES = 1_000_000
 #: Number of sets for which the cost of a scheme's crowded signatures is weighed against its number of signatures.
 COST_SETS = 1_000_000
+#: Segments beyond those that the pigeonhole needs, as a share of them.
+SPARE = 0.25
+#: Bits of a sketch.
+SKETCH = 1024
 #: Odd multipliers; fixed values.
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+PARITY = np.uint64(0x2545F4914F6CDD1D)
 PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)
 
 
@@ -59,10 +64,10 @@ def shingles(text: str | None, size: int, memo: Memo) -> np.ndarray:
 
 
 class Bands:
-    """Size bands and their schemes for a threshold of ``percent`` / 100."""
+    """Size bands and their schemes for a threshold of ``percent`` / 100; ``spare`` segments more for each that is needed."""
 
-    def __init__(self, percent: int):
-        self.percent, self.lows, self.highs, self.schemes = percent, [1], [], {}
+    def __init__(self, percent: int, spare: float):
+        self.percent, self.spare, self.lows, self.highs, self.schemes = percent, spare, [1], [], {}
 
     def band(self, n: int) -> int:
         while not self.highs or self.highs[-1] < n:
@@ -81,7 +86,7 @@ class Bands:
         apart = (100 - self.percent) * (small + small * 100 // self.percent) // (100 + self.percent)
         if not apart:
             return 0, 0, False
-        spare = (apart + 1) // 2
+        spare = int((apart + 1) * self.spare)
         whole = apart + 1 + spare
         empty = -self.lows[band] / whole  # logarithm of the share of sets for which a segment is empty
         chance = lambda k: exp(lgamma(whole + 1) - lgamma(k + 1) - lgamma(whole - k + 1) + k * empty + (whole - k) * log(1 - exp(empty)))
@@ -96,7 +101,7 @@ class Bands:
         segments, _, neighbours = self.scheme(band)
         if not segments:
             return np.empty(0, np.uint64)
-        base = np.uint64(digest64(b"%d/%d" % (self.percent, band)))
+        base = np.uint64(digest64(b"%d/%d/%d" % (self.percent, band, segments)))
         place = (mixed(s + base) % np.uint64(segments)).astype(np.int64)
         value = mixed(s ^ base)
         sums = np.zeros(segments, np.uint64)
@@ -116,10 +121,15 @@ def node_of(s: np.ndarray) -> int | None:
     return int(mixed(np.add.reduce(mixed(s + np.uint64(7)), keepdims=True) + np.uint64(len(s))).view(np.int64)[0]) if len(s) else None
 
 
-def signer(size: int, percent: int):
+def sketch_of(s: np.ndarray) -> np.ndarray:
+    """Parities of a set's shingles over hash buckets: two sets' sketches differ in no more bits than the sets in shingles."""
+    return np.packbits(np.bincount((mixed(s + PARITY) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1).view(np.uint64)
+
+
+def signer(size: int, percent: int, spare: float):
     """(id, text) batches to (id, n, node, band, own, below). A task signs equal sets once."""
     def run(batches):
-        memo, bands, seen = Memo(digest64), Bands(percent), set()
+        memo, bands, seen = Memo(digest64), Bands(percent, spare), set()
         for batch in batches:
             sets = [shingles(t, size, memo) for t in batch.column(1).to_pylist()]
             nodes, numbers, own, below, none = [node_of(s) for s in sets], [], [], [], np.empty(0, np.uint64)
@@ -137,42 +147,40 @@ def signer(size: int, percent: int):
     return run
 
 
-def lister(size: int):
-    """(text) batches to (node, shingles)."""
+def lister(size: int, value=lambda s: s, name: str = "shingles"):
+    """(text) batches to (node, value of its set), by default the shingles themselves."""
     def run(batches):
         memo = Memo(digest64)
         for batch in batches:
             for part in range(0, batch.num_rows, 500):
                 sets = [s for t in batch.column(0).slice(part, 500).to_pylist() if len(s := shingles(t, size, memo))]
-                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), signed(sets)], names=["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), signed([value(s) for s in sets])], names=["node", name])
     return run
 
 
+def texts_of(nodes: DataFrame, documents: DataFrame, text_col: str, members: DataFrame) -> DataFrame:
+    """(key, text) of one text for each node; other texts of equal hash come along."""
+    one = members.join(broadcast_if_small(nodes, MOST_NODES), "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
+    return documents.select(F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text")) \
+        .join(broadcast_if_small(one.select("key").distinct(), MOST_NODES), "key", "left_semi")
+
+
 def linked(pairs: DataFrame, documents: DataFrame, text_col: str, members: DataFrame, size: int, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose sets are similar enough, by the sets themselves."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    one = members.join(broadcast_if_small(nodes, MOST_NODES), "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
-    texts = documents.withColumn("key", F.xxhash64(text_col)).join(broadcast_if_small(one.select("key").distinct(), MOST_NODES), "key", "left_semi") \
-        .select("key", text_col).dropDuplicates(["key", text_col]).select(text_col)
-    sets = materialize(texts.mapInArrow(lister(size), "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "sets")
+    nodes = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
+    sets = texts_of(nodes, documents, text_col, members).select("text").mapInArrow(lister(size), "node bigint, shingles array<bigint>")
+    sets = materialize(sets.dropDuplicates(["node"]), "sets")
     return pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a") \
         .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b") \
         .withColumn("common", F.size(F.array_intersect("x", "y"))) \
         .filter(F.col("common").cast("long") * 100 >= (F.size("x") + F.size("y") - F.col("common")).cast("long") * percent).select("a", "b")
 
 
-def similarity_components(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 90) -> DataFrame:
-    """(id_col, key, group, n_shingles, component): ``component`` is the smallest id reachable over links of similarity ``percent`` / 100
-    or more, the document's own included; ``key`` is a hash of the text, ``group`` a number of the component, null for empty sets."""
-    docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kinds = dict(docs.dtypes)
-    signed_docs = materialize(docs.withColumn("key", F.xxhash64("text")).select(F.struct("id", "key").alias("id"), "text").mapInArrow(
-        signer(shingle, percent), f"id struct<id: {kinds['id']}, key: bigint>, n bigint, node bigint, band int, own array<bigint>, below array<bigint>"), "signatures")
-    members = signed_docs.select("id.id", "id.key", "n", "node")
-    bands, longest = Bands(percent), signed_docs.agg(F.max("n")).first()[0] or 0
-    top = bands.band(longest) if longest else 0
-    # By scheme: how many signatures may be left out; -1: none of them.
-    spare = F.array(*[F.lit(-1 if scheme[2] else scheme[1]) for scheme in map(bands.scheme, range(top + 1))] or [F.lit(0)])
+def shared_signatures(signed_docs: DataFrame, bands: Bands, longest: int) -> DataFrame:
+    """(signature, node, n, cost, asks) of the signatures that several nodes hold. ``asks``: the signature is among the rarest of its node's
+    scheme, of which two similar sets must have one in common."""
+    # By scheme: how many signatures may be left out.
+    spare = F.array(*[F.lit(scheme[1]) for scheme in map(bands.scheme, range(bands.band(max(longest, 1)) + 1))])
     entries = signed_docs.select("node", F.explode(F.array(
         F.struct(F.col("band").alias("scheme"), F.col("n"), F.col("own").alias("signatures")),
         F.struct((F.col("band") - 1).alias("scheme"), F.col("n"), F.col("below").alias("signatures")))).alias("x")) \
@@ -181,29 +189,49 @@ def similarity_components(documents: DataFrame, *, id_col: str = "doc_id", text_
     crowd = entries.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).filter("low <> high")
     shared = entries.join(crowd.select("signature", "size"), "signature").dropDuplicates(["signature", "node"])
     shared = shared.withColumn("scheme", F.floor(F.col("tag") / F.lit(2**40)).cast("int")).withColumn("n", F.col("tag") % F.lit(2**40)).drop("tag")
-    # A set must look up all but ``spare`` of a scheme's segments; those that it shares with none count as looked up.
+    # Segments that a node shares with none count among its rarest.
     own = Window.partitionBy("node", "scheme")
-    shared = shared.withColumn("cost", F.sum("size").over(own)).withColumn("held", F.count("*").over(own)) \
+    return shared.withColumn("cost", F.sum("size").over(own)).withColumn("held", F.count("*").over(own)) \
         .withColumn("rank", F.row_number().over(own.orderBy("size", "signature"))) \
-        .withColumn("asks", F.col("rank") <= F.col("held") - F.greatest(F.get(spare, F.col("scheme")), F.lit(0))) \
-        .select("signature", "node", "n", "cost", "asks")
-    shared = materialize(shared, "shared")
-    near = lambda a, b: (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
+        .select("signature", "node", "n", "cost", (F.col("rank") <= F.col("held") - F.get(spare, F.col("scheme"))).alias("asks"))
+
+
+def undecided(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``shared``, with ``component``, whose signature's group spans several components."""
+    placed = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    return placed.join(several.select("signature"), "signature", "left_semi")
+
+
+def similarity_components(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 90) -> DataFrame:
+    """(id_col, key, group, n_shingles, component): ``component`` is the smallest id reachable over links of similarity ``percent`` / 100
+    or more, the document's own included; ``key`` is a hash of the text, ``group`` a number of the component, null for empty sets."""
+    docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind, signs = dict(docs.dtypes)["id"], "n bigint, node bigint, band int, own array<bigint>, below array<bigint>"
+    signed_docs = materialize(docs.select(F.struct("id", F.xxhash64("text").alias("key")).alias("id"), "text").mapInArrow(
+        signer(shingle, percent, SPARE), f"id struct<id: {kind}, key: bigint>, {signs}"), "signatures")
+    members = signed_docs.select("id.id", "id.key", "n", "node")
+    longest = signed_docs.agg(F.max("n")).first()[0] or 0
+    near = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    # First each signature's group against its most typical member, that with the most crowded signatures.
+    shared = materialize(shared_signatures(signed_docs, Bands(percent, SPARE), longest), "shared")
     heads = shared.groupBy("signature").agg(F.max(F.struct("cost", "node", "n")).alias("head"))
-    pairs = shared.filter("asks").join(heads, "signature").filter(F.col("node") != F.col("head.node")).filter(near(F.col("n"), F.col("head.n"))) \
+    pairs = shared.join(heads, "signature").filter(F.col("node") != F.col("head.node")).filter(near(F.col("n"), F.col("head.n"))) \
         .select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct()
     links = materialize(linked(materialize(pairs, "pairs"), documents, text_col, members, shingle, percent), "links")
     found = components(links)
-    # Pairs across components: in each signature's group all but its largest component meet the whole group.
-    placed = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_groups = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    placed = materialize(placed.join(mixed_groups.select("signature"), "signature", "left_semi"), "placed")
-    largest = placed.groupBy("signature", "component").count().groupBy("signature").agg(F.max(F.struct("count", "component")).alias("largest"))
-    rest = placed.join(largest.select("signature", F.col("largest.component").alias("main")), "signature").filter("component <> main").drop("main")
-    x, y = rest.alias("x"), placed.alias("y")
-    before = F.struct("x.cost", "x.node") < F.struct("y.cost", "y.node")
+    # Then all pairs across components: all but a group's largest component meet the group, on signatures that both ask for.
+    asking = materialize(undecided(shared, found).filter("asks").select("signature", "node", "component", "n"), "undecided")
+    nodes = materialize(asking.select("node").distinct(), "nodes")
+    sketches = texts_of(nodes, documents, text_col, members).select("text").mapInArrow(lister(shingle, sketch_of, "sketch"), "node bigint, sketch array<bigint>").dropDuplicates(["node"])
+    finer = asking.join(materialize(sketches, "sketches"), "node")
+    largest = finer.groupBy("signature", "component").count().groupBy("signature").agg(F.max(F.struct("count", "component")).alias("largest"))
+    rest = finer.join(largest.select("signature", F.col("largest.component").alias("main")), "signature").filter("component <> main")
+    x, y = rest.alias("x"), finer.alias("y")
+    # What two sketches differ in is a lower bound of what the sets differ in.
+    apart = F.aggregate(F.zip_with("x.sketch", "y.sketch", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, bits: total + bits)
     across = x.join(y, (F.col("x.signature") == F.col("y.signature")) & (F.col("x.component") != F.col("y.component")) & near(F.col("x.n"), F.col("y.n"))
-                    & F.when(before, F.col("x.asks")).otherwise(F.col("y.asks"))) \
+                    & (apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))) \
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     more = linked(materialize(across, "pairs"), documents, text_col, members, shingle, percent)
     found = components(links.union(more))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from valora.llm import bpe, decontaminate, jaccard, linededup, quality, secretscan, toxicity
+from valora.llm import bpe, decontaminate, jaccard, licenses, linededup, quality, secretscan, toxicity, wordpiece
 from valora.llm.registry import query, table
 
 
@@ -67,3 +67,24 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the base statistics, whether the base rule fails and whether the certified rules keep it."""
     found = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op5_license_scans")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: places of the base phrases, and the labels of phrases and of covered templates."""
+    found = licenses.license_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts, base = F.transform("phrases", lambda x: x["start"]), F.transform("phrases", lambda x: x["label"])
+    every = F.concat(base, F.transform("spans", lambda x: x["label"]))
+    listed = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    best = F.coalesce(F.array_max(F.transform("spans", lambda x: x["cover"])), F.lit(0.0))
+    return found.select("doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+                        F.array_max(starts).alias("last_word"), listed(base).alias("base_labels"), listed(every).alias("labels"),
+                        F.when(F.size("phrases") > 0, F.lit(1.0)).otherwise(best).alias("score"))
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: words, greedy word pieces and words that the vocabulary cannot spell."""
+    from public_tokenizers import path
+    initial, further = wordpiece.sentence_pieces(path("piece_bpe_32k.model"))
+    return wordpiece.piece_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), initial, further).drop("text")
