@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from valora.llm import bpe, decontaminate, jaccard, licenses, linededup, quality, secretscan, toxicity, wordpiece
+from valora.llm import bpe, decontaminate, htmltext, jaccard, licenses, linededup, quality, secretscan, toxicity, wordpiece
 from valora.llm.registry import query, table
 
 
@@ -88,3 +88,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
     initial, further = wordpiece.sentence_pieces(path("piece_bpe_32k.model"))
     return wordpiece.piece_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), initial, further).drop("text")
+
+
+@query("op8_html_extraction")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: its main text and the text's length in code points."""
+    return htmltext.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
