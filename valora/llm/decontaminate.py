@@ -90,9 +90,10 @@ def short_windows_of(docs: DataFrame, items: DataFrame, lengths: list[int], wind
     """The same rows for items below a window's length; ``lengths`` are theirs, fewer than ``window`` numbers."""
     sought = broadcast_if_small(items.filter(F.col("n").between(1, window - 1)).select(
         F.xxhash64(F.array_join("words", " ")).alias("sought"), F.col("n").alias("length")).distinct(), MOST_FINGERPRINTS)
-    each = F.concat(*[F.when(F.col("n") >= k, F.transform(F.sequence(F.lit(1), F.col("n") - k + 1), lambda i, k=k: F.struct(
-        (i - 1).alias("start"), F.lit(k).alias("length"), F.array_join(F.slice("words", i, F.lit(k)), " ").alias("window_text"))))
-        .otherwise(F.array().cast("array<struct<start:int,length:int,window_text:string>>")) for k in lengths])
+    stretch = lambda k: lambda i: F.struct(
+        (i - 1).alias("start"), F.lit(k).alias("length"), F.array_join(F.slice("words", i, F.lit(k)), " ").alias("window_text"))
+    each = F.concat(*[F.when(F.col("n") >= k, F.transform(F.sequence(F.lit(1), F.col("n") - k + 1), stretch(k)))
+                      .otherwise(F.array().cast("array<struct<start:int,length:int,window_text:string>>")) for k in lengths])
     places = docs.select("doc", "h1", "h2", "n", F.lit(False).alias("head"), F.explode(each).alias("x")).select("doc", "h1", "h2", "n", "head", "x.*")
     return places.withColumn("sought", F.xxhash64("window_text")).join(sought, ["sought", "length"], "left_semi").drop("sought") \
         .select("doc", "h1", "h2", "n", "head", "start", "length", "window_text")
@@ -133,6 +134,6 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
 def decontaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     found = contamination(documents, benchmark, id_col=id_col, text_col=text_col, **options)
-    bad = materialize(found.filter(is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col(id_col).alias("bad_id"), F.col("h1").alias("bad_h1"), F.col("h2").alias("bad_h2")).distinct(), "contaminated")
+    bad = materialize(found.filter(is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col(id_col).alias("__bad_id"), F.col("h1").alias("__bad_h1"), F.col("h2").alias("__bad_h2")).distinct(), "contaminated")
     h1, h2 = text_key(text_of(text_col))
-    return documents.join(broadcast_if_small(bad, MOST_FINGERPRINTS), F.col(id_col).eqNullSafe(F.col("bad_id")) & (h1 == F.col("bad_h1")) & (h2 == F.col("bad_h2")), "left_anti")
+    return documents.join(broadcast_if_small(bad, MOST_FINGERPRINTS), F.col(id_col).eqNullSafe(F.col("__bad_id")) & (h1 == F.col("__bad_h1")) & (h2 == F.col("__bad_h2")), "left_anti")

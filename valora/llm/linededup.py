@@ -103,10 +103,10 @@ def later_copies(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
 def without_later_copies(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with all their columns, each text without the lines that are later copies."""
     copies = later_copies(documents, id_col=id_col, text_col=text_col, min_words=min_words)
-    gone = copies.groupBy("id", "key").agg(F.flatten(F.collect_set(F.sequence("first", "last"))).alias("gone"))
-    gone = materialize(gone.select(F.col("id").alias("gone_id"), F.col("key").alias("gone_key"), "gone"), "gone")
+    gone = copies.groupBy("id", "key").agg(F.flatten(F.collect_set(F.sequence("first", "last"))).alias("__gone"))
+    gone = materialize(gone.select(F.col("id").alias("__gone_id"), F.col("key").alias("__gone_key"), "__gone"), "gone")
     lines = F.split(F.col(text_col), "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    joined = documents.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("gone_id")) & (F.xxhash64(text_col) == F.col("gone_key")), "left")
-    return joined.withColumn(text_col, F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))).drop("gone_id", "gone_key", "gone")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
+    joined = documents.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__gone_id")) & (F.xxhash64(text_col) == F.col("__gone_key")), "left")
+    return joined.withColumn(text_col, F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(
+        F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))).drop("__gone_id", "__gone_key", "__gone")

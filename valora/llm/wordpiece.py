@@ -64,7 +64,7 @@ class Automaton:
                 if node == UNKNOWN:
                     return UNKNOWN
             node = nodes[node][c]
-        while node != 1:
+        while node != 1 and word:
             total += popped[node]
             node = fail[node]
             if node == UNKNOWN:
