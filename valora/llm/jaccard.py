@@ -247,6 +247,6 @@ def one_of_each_group(documents: DataFrame, *, id_col: str = "doc_id", text_col:
     found = materialize(similarity_components(documents, id_col=id_col, text_col=text_col, **options).filter("group IS NOT NULL")
                         .select(F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), "key").alias("row"), "group"), "groups")
     first = found.groupBy("group").agg(F.min("row").alias("first"))
-    lost = found.join(first, "group").filter("row <> first").select(F.col("row.id").alias("lost_id"), F.col("row.key").alias("lost_key")).distinct()
+    lost = found.join(first, "group").filter("row <> first").select(F.col("row.id").alias("__lost_id"), F.col("row.key").alias("__lost_key")).distinct()
     lost = broadcast_if_small(materialize(lost, "lost"), MOST_NODES)
-    return documents.join(lost, F.col(id_col).eqNullSafe(F.col("lost_id")) & (F.xxhash64(text_col) == F.col("lost_key")), "left_anti")
+    return documents.join(lost, F.col(id_col).eqNullSafe(F.col("__lost_id")) & (F.xxhash64(text_col) == F.col("__lost_key")), "left_anti")
