@@ -18,6 +18,7 @@ from re import _constants as kind, _parser as parser
 from pyspark.sql import Column, DataFrame, functions as F
 
 from valora.llm.common import broadcast_if_small, text_key, text_of
+from valora.session import materialize
 
 #: Most candidate texts (about 60 bytes each) that are broadcast.
 MOST_CANDIDATES = 1_000_000
@@ -152,7 +153,7 @@ def secrets(documents: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RU
     sets = spark.createDataFrame([(r.kind, f"{r.kind}/{i}", t, len(s)) for r in indexed for i, s in enumerate(sorted(queries[r.kind], key=sorted)) for t in sorted(s)],
                                  "kind string, demand string, trigram string, needs int")
     met = postings.join(F.broadcast(sets), "trigram").groupBy("h1", "h2", "kind", "demand").agg(F.countDistinct("trigram").alias("met"), F.first("needs").alias("needs")).filter("met = needs")
-    candidates = met.groupBy("h1", "h2").agg(F.collect_set("kind").alias("kinds"))
+    candidates = materialize(met.groupBy("h1", "h2").agg(F.collect_set("kind").alias("kinds")), "candidates")
     hashed = docs.select("id", "text", *text_key(F.col("text")))
     joined = hashed.join(broadcast_if_small(candidates, MOST_CANDIDATES), ["h1", "h2"], "left")
     sought = F.concat(always, *[F.when(F.array_contains("kinds", r.kind), spans_of(F.col("text"), r)).otherwise(nothing) for r in indexed])
