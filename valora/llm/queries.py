@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from valora.llm import bpe, decontaminate, htmltext, jaccard, licenses, linededup, quality, secretscan, toxicity, wordpiece
+from valora.llm import bpe, decontaminate, htmltext, jaccard, licenses, linededup, oracles, quality, secretscan, toxicity, wordpiece
 from valora.llm.registry import query, table
 
 
-@query("op4_benchmark_decontamination")
+@query("op4_benchmark_decontamination", oracles.CONTAMINATION)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: words, words hit, items hit and whether it counts as contaminated."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -17,7 +17,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(decontaminate.is_contaminated(F.col("n_hit"), F.col("n_words")), F.lit(False)).alias("contaminated"))
 
 
-@query("op10_ngram_jaccard_join")
+@query("op10_ngram_jaccard_join", oracles.COMPONENTS)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: distinct 3-word shingles and the smallest doc_id linked to it at a Jaccard similarity of 0.9."""
     found = jaccard.similarity_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
@@ -62,7 +62,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(secretscan.written(base), 256).alias("base_sha256"), secretscan.written(F.col("spans")).alias("spans"))
 
 
-@query("op6_quality_rules")
+@query("op6_quality_rules", oracles.QUALITY)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the base statistics, whether the base rule fails and whether the certified rules keep it."""
     found = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
