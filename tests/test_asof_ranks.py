@@ -127,3 +127,19 @@ def test_corr_matrix_pairwise_nulls(spark):
     expected = frame.corr()
     for r in stats.corr_matrix(df, ["a", "b", "c"]).collect():
         assert r["corr"] == pytest.approx(expected.loc[r.x, r.y])
+
+
+def test_ranks_of_infinity_and_nan(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = spark.createDataFrame([(x,) for x in (0.5, nan, 1.0, inf, 2.0, -inf, None, 1e308, -1e308)], "x double")
+    got = {str(r.x): r.x_pct for r in ranks.pct_rank(rows, [], ["x"]).collect()}
+    order = ["-inf", "-1e+308", "0.5", "1.0", "2.0", "1e+308", "inf", "nan"]
+    assert got == {**{k: (i + 1) / 8 for i, k in enumerate(order)}, "None": None}
+
+
+@pytest.mark.parametrize("expression", ["1.7e9 + id", "1e9 + id / 1000", "pow(10, id / 5000 - 10)", "cast(id as double)"])
+def test_no_bucket_holds_many_values(spark, expression):
+    values = spark.range(100_000).selectExpr(f"{expression} AS x")
+    low, high = values.agg(F.min("x"), F.max("x")).first()
+    largest = values.groupBy(ranks.linear_bucket(F.col("x"), F.lit(low), F.lit(high)), ranks.magnitude_bucket(F.col("x"))).count().agg(F.max("count")).first()[0]
+    assert largest <= 1000

@@ -105,10 +105,11 @@ def test_single_season_uses_out_of_fold(table1):
     assert row.n_samples == 150
 
 
-def test_position_models_skip_small_groups(table1):
+def test_position_models_report_small_groups(table1):
     few = table1.filter("pos_MID = 0 OR api_player_id < 20")
     rows = models.train_position_aware(few, "stage1", tuned=False, models=["Ridge"]).collect()
-    assert {r.position for r in rows} == {"DEF", "FWD"}
+    assert {r.position: r.r2_log is None for r in rows} == {"DEF": False, "FWD": False, "MID": True}
+    assert next(r.n_samples for r in rows if r.position == "MID") < 30
 
 
 def test_stacked(table1):

@@ -35,11 +35,23 @@ def cache(tmp_path):
 def test_cached_pages(spark, cache):
     got = pages.load_statistics(spark, cache, [2022], [39, 140])
     rows = got.select("player.id", "season", "league_id", F.size("statistics").alias("n"), "rec_ord").orderBy("rec_ord").collect()
-    assert [(r.id, r.league_id) for r in rows] == [(1, 39), (2, 39), (3, 39), (11, 39), (15, 39), (16, 140)]
+    assert [(r.id, r.league_id) for r in rows] == [(1, 39), (2, 39), (3, 39), (4, 39), (11, 39), (15, 39), (16, 140)]
     assert all(r.season == 2022 and r.n == 1 for r in rows)
     assert [r.id for r in pages.load_statistics(spark, cache, [2021, 2022]).select("player.id", "rec_ord").orderBy("rec_ord").collect()][:2] == [17, 1]
 
 
+def test_page_cap_is_an_argument(spark, cache):
+    got = pages.load_statistics(spark, cache, [2022], [39, 140], page_cap=3)
+    assert [r.id for r in got.select("player.id", "rec_ord").orderBy("rec_ord").collect()] == [1, 2, 3, 11, 15, 16]
+
+
+def test_pages_stay_when_the_first_one_failed(spark, cache, tmp_path):
+    for page in (2, 3):
+        dump(tmp_path, f"players_page-{page}_season-2022_team-35.json", [], 3, [record(30 + page, "F", "L", "1999-01-01")])
+    got = pages.load_statistics(spark, cache, [2022], [39, 140])
+    assert {32, 33} <= {r.id for r in got.select("player.id").collect()}
+
+
 def test_error_pages_are_set_aside(spark, cache):
     usable, failed = pages.split_errors(pages.scan_pages(spark, f"{cache}/players_*.json"))
     assert [(r.team, r.page, r.season) for r in failed.collect()] == [(35, 1, 2022)]

@@ -46,7 +46,6 @@ DEFAULT_SEASONS = [2022, 2023, 2024]
 DEFAULT_LEAGUE_TEAMS = [
     33, 34, 35, 36, 39, 40, 41, 42, 45, 46, 47, 48, 49, 50, 51, 52, 55, 57, 62, 65, 66, 1359,
 ]
-PAGE_CAP = 3
 
 ID_COLUMNS = ["api_player_id", "season", "tm_player_id", "market_value_in_eur", "log_market_value"]
 

@@ -2,10 +2,13 @@
 
 A rank over a group that holds a large share of all rows must not sort the group in one
 task. Values are first counted per (group, value), which collapses repeats before the
-shuffle. Distinct values are then placed in magnitude buckets by a monotone function of the value
-alone, bucket totals are prefix-summed per group, and a second window ranks inside each
-(group, bucket). The bucket function needs no sampling, so a recomputed task gives the same
-buckets.
+shuffle. Distinct values are then placed in buckets by a monotone function of the value: equal steps
+of the range of all finite values, and inside them steps of magnitude, so that neither values far from zero nor
+values over many orders of magnitude share a bucket. Bucket totals are prefix-summed per group (one row per bucket
+and group, so without groups a single task sees at most the distinct buckets), and a second window ranks inside each
+(group, bucket). No sampling is involved, so a recomputed task gives the same buckets.
+
+Infinities are the least and the greatest values, NaN is above them, nulls have no rank.
 """
 
 from __future__ import annotations
@@ -19,12 +22,27 @@ from valora.session import materialize
 
 _STEPS_PER_OCTAVE = 2048
 _OFFSET = 1100 * _STEPS_PER_OCTAVE  # above the magnitude of the smallest double exponent
+_BEYOND = 4 * _OFFSET  # bucket of infinity
+_LINEAR_STEPS = 2 ** 20
+
+
+def is_finite(x: Column) -> Column:
+    return ~F.isnan(x) & (F.abs(x) < float("inf"))
 
 
 def magnitude_bucket(x: Column) -> Column:
     """Monotone bucket number: logarithmic steps of 0.03 % on both sides of zero."""
     size = F.floor(F.log2(F.abs(x)) * _STEPS_PER_OCTAVE) + _OFFSET
-    return F.when(x == 0, F.lit(0).cast("long")).when(x > 0, size).otherwise(-size)
+    return F.when(F.isnan(x), F.lit(_BEYOND + 1).cast("long")).when(F.abs(x) == float("inf"), F.signum(x).cast("long") * _BEYOND) \
+        .when(x == 0, F.lit(0).cast("long")).when(x > 0, size).otherwise(-size)
+
+
+def linear_bucket(x: Column, low: Column, high: Column) -> Column:
+    """Monotone bucket number: equal steps from ``low`` to ``high``; halves keep the difference of large bounds finite."""
+    width = high / 2 - low / 2
+    step = F.floor(F.when(width > 0, (x / 2 - low / 2) / width * _LINEAR_STEPS).otherwise(0.0))
+    return F.when(is_finite(x), F.coalesce(step, F.lit(0).cast("long"))) \
+        .otherwise(F.when(F.isnan(x) | (x > 0), F.lit(_LINEAR_STEPS + 1)).otherwise(F.lit(-1)).cast("long"))
 
 
 def value_positions(counts: DataFrame, groups: Sequence[str], value: str, n: str = "n",
@@ -35,7 +53,9 @@ def value_positions(counts: DataFrame, groups: Sequence[str], value: str, n: str
     ``buckets`` restricts the result to buckets that fulfil a condition on ``base`` (rows in
     lower buckets), ``inside`` (rows in the bucket) and ``total``.
     """
-    bucketed = counts.withColumn("__b", magnitude_bucket(F.col(value)))
+    finite = counts.filter(is_finite(F.col(value)))
+    low, high = (finite.agg(f(value)).scalar() for f in (F.min, F.max))
+    bucketed = counts.withColumn("__b", F.struct(linear_bucket(F.col(value), low, high).alias("step"), magnitude_bucket(F.col(value)).alias("size")))
     per_bucket = bucketed.groupBy(*groups, "__b").agg(F.sum(n).alias("__m"))
     by_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     running = by_group.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)

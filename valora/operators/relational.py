@@ -22,7 +22,7 @@ def columns_with(df: DataFrame, prefix: str | None = None, suffix: str | None =
 def known(df: DataFrame, *columns: str) -> DataFrame:
     """Rows without a null in the columns. Plain null tests, unlike ``dropna``, reach the scan
     and are recognised when a join implies them, which keeps shared subplans equal."""
-    return df.filter(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
+    return df.filter(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])) if columns else df
 
 
 def order_struct(order_cols: Sequence[str | Column]) -> Column:
@@ -73,16 +73,15 @@ def or_semi_filter(df: DataFrame, columns: Sequence[str], ids: DataFrame | Mappi
 
 
 def left_join(df: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left equi-join where rows with a null key, which cannot match, are spread over the
-    shuffle partitions by a salt instead of gathering in one."""
-    unknown = reduce(Column.__or__, [F.col(c).isNull() for c in on])
-    # The split number is the same when a task runs again, and cheap whatever the columns are.
-    salt = F.when(unknown, F.spark_partition_id().cast("long")).otherwise(F.lit(0).cast("long"))
-    # Always 0, yet no literal: a constant would be folded out of the join keys.
-    zero = F.pmod(F.xxhash64(*on), F.lit(1).cast("long"))
-    joined = df.withColumn("__salt", salt).join(right.withColumn("__salt", zero), [*on, "__salt"], "left")
+    """Left equi-join where rows with a null key, which cannot match, stay out of the shuffle
+    instead of gathering in one task. The key alone is joined on, so a side that is partitioned by it is not shuffled again."""
     added = [c for c in right.columns if c not in on]
-    return joined.select(*df.columns, *added)
+    nullable = [c for c in on if df.schema[c].nullable]
+    if not nullable:
+        return df.join(right, list(on), "left").select(*df.columns, *added)
+    matched = df.transform(known, *nullable).join(right, list(on), "left").select(*df.columns, *added)
+    unknown = reduce(Column.__or__, [F.col(c).isNull() for c in nullable])
+    return matched.unionByName(df.filter(unknown).select(*df.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in added]))
 
 
 def attach(df: DataFrame, table: DataFrame, on: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:

@@ -54,6 +54,8 @@ def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
 def histogram(df: DataFrame, value: str, bins: int, groups: Sequence[str] = ()) -> DataFrame:
     """Counts of equal-width bins between minimum and maximum, per group if asked."""
     present = df.transform(known, value, *groups).select(*groups, F.col(value).cast("double").alias("__v"))
+    # Counted per value before anything is shuffled by group.
+    present = present.groupBy(*groups, "__v").agg(F.count("*").alias("__n"))
     if groups:
         bounds = present.groupBy(*groups).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
         ranged = present.join(bounds, list(groups))
@@ -62,5 +64,5 @@ def histogram(df: DataFrame, value: str, bins: int, groups: Sequence[str] = ())
                                     "__hi": present.agg(F.max("__v")).scalar()})
     binned = bin_of(F.col("__v"), F.col("__lo"), F.col("__hi"), bins)
     return ranged.groupBy(*groups, binned.alias("bin")).agg(
-        F.count("*").alias("n"),
+        F.sum("__n").alias("n"),
         F.min(F.col("__lo") + (F.col("__hi") - F.col("__lo")) / bins * (binned - 1)).alias("bin_start"))

@@ -145,13 +145,23 @@ def _predictions(data: DataFrame, seasons: int, name: str, stage: str, position:
                          *KEY, F.col(LABEL).alias("y_true"), "y_pred")
 
 
-def _groups(data: DataFrame, labels: Sequence[str]) -> dict[str, tuple[DataFrame, int]]:
-    """Position subsets with enough rows and their number of seasons, from one aggregate."""
+def _groups(data: DataFrame, labels: Sequence[str]) -> tuple[dict[str, tuple[DataFrame, int]], dict[str, int]]:
+    """Position subsets with enough rows and their number of seasons, and the sizes of the others, from one aggregate."""
     member = {label: F.col(f"pos_{label}") == 1.0 for label in labels}
     sizes = data.agg(*[c for label, m in member.items() for c in (
         F.count_if(m).alias(f"n_{label}"), F.countDistinct(F.when(m, F.col("season"))).alias(f"s_{label}"))]).first()
-    return {label: (data.filter(m), sizes[f"s_{label}"]) for label, m in member.items()
-            if sizes[f"n_{label}"] >= config.MIN_GROUP_ROWS}
+    large = {label: (data.filter(m), sizes[f"s_{label}"]) for label, m in member.items()
+             if sizes[f"n_{label}"] >= config.MIN_GROUP_ROWS}
+    return large, {label: sizes[f"n_{label}"] for label in labels if label not in large}
+
+
+def _with_small(results: DataFrame, small: dict[str, int], models: Sequence[str], stage: str) -> DataFrame:
+    """Groups too small for a model are reported by their size, without metrics."""
+    if not small:
+        return results
+    rows = [(m, stage, label, n) for label, n in small.items() for m in models]
+    listed = results.sparkSession.createDataFrame(rows, "model string, stage string, position string, n_samples long")
+    return results.unionByName(listed, allowMissingColumns=True)
 
 
 def _evaluate(predictions: Sequence[DataFrame]) -> DataFrame:
@@ -170,15 +180,16 @@ def train_global(df: DataFrame, stage: str, tuned: bool = True, models: Sequence
 
 def train_position_aware(df: DataFrame, stage: str, tuned: bool = True, models: Sequence[str] = BASE_MODELS,
                          overrides: Overrides | None = None, draws: int = config.SEARCH_DRAWS) -> DataFrame:
-    """Results of separate models per position group; small groups are skipped."""
+    """Results of separate models per position group; small groups have their size and no metrics."""
     data = _stored_vectors(df, f"{stage}-positions")
+    large, small = _groups(data, ["DEF", "MID", "FWD"])
     tasks = [
         lambda m=m, label=label, part=part, seasons=seasons:
             _predictions(part, seasons, m, stage, label, tuned, overrides, draws)
-        for label, (part, seasons) in _groups(data, ["DEF", "MID", "FWD"]).items() for m in models]
+        for label, (part, seasons) in large.items() for m in models]
     if not tasks:
         raise ValueError(f"no position group has {config.MIN_GROUP_ROWS} rows")
-    return _evaluate(run_fits(df.sparkSession, tasks))
+    return _with_small(_evaluate(run_fits(df.sparkSession, tasks)), small, models, stage)
 
 
 def stacked_predictions(data: DataFrame, stage: str, position: str, tuned: bool = True,
@@ -213,11 +224,13 @@ def train_stacked(df: DataFrame, stage: str, tuned: bool = True, overrides: Over
     if seasons < 2 or n < config.MIN_GROUP_ROWS:
         raise ValueError("stacking needs at least two seasons and "
                          f"{config.MIN_GROUP_ROWS} rows, got {seasons} and {n}")
-    subsets = {"global": data}
+    subsets, small = {"global": data}, {}
     if positions:
-        subsets |= {label: part for label, (part, s) in _groups(data, ["DEF", "MID", "FWD"]).items() if s >= 2}
-    return _evaluate([stacked_predictions(part, stage, label, tuned, overrides, draws)
-                      for label, part in subsets.items()])
+        large, small = _groups(data, ["DEF", "MID", "FWD"])
+        subsets |= {label: part for label, (part, s) in large.items() if s >= 2}
+    results = _evaluate([stacked_predictions(part, stage, label, tuned, overrides, draws)
+                         for label, part in subsets.items()])
+    return _with_small(results, small, [STACKED], stage)
 
 
 def score(model: Model, df: DataFrame, features: Sequence[str]) -> DataFrame:

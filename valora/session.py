@@ -49,16 +49,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Use all task slots for row-wise heavy work on an input that has fewer splits than slots.
-
-    Inputs of a realistic size have more splits than slots and are returned unchanged.
-    Hashing on ``by`` is cheaper than dealing rows out, which sorts them to be repeatable.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots, *by) if df.rdd.getNumPartitions() < slots else df
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage through a Parquet table in the shared folder.
 

@@ -29,7 +29,7 @@ RECORD = (
 # ``errors`` is an empty list or an object, so it is kept as text.
 PLAYER_PAGE = f"errors STRING, paging STRUCT<total: INT>, response ARRAY<{RECORD}>"
 TEAM_PAGE = "errors STRING, response ARRAY<STRUCT<team: STRUCT<id: BIGINT>>>"
-EXPORTED = "cached={endpoint}_*.json"
+EXPORTED = "endpoint={endpoint}"
 REQUEST_KEYS = ("league", "page", "season", "team")
 
 
@@ -55,12 +55,12 @@ def scan_pages(spark: SparkSession, path: str, schema: str = PLAYER_PAGE, multil
     """Pages with the request parameters of their path as columns.
 
     ``multiline`` reads one document per file; otherwise one document per line, which
-    Spark can split and which suits large exports.
+    Spark can split and which suits large exports; these name their request themselves.
     """
-    pages = spark.read.json(path, schema=schema, multiLine=multiline)
+    pages = spark.read.json(path, schema=f"{schema}, request STRING", multiLine=multiline)
     fields = T.StructType.fromDDL(schema).fieldNames()
     in_path = F.regexp_extract("_metadata.file_path", r"([a-z]+_[^/=]*-\d+\.json)", 1)
-    scanned = pages.select(*fields, in_path.alias("request"))
+    scanned = pages.select(*fields, F.coalesce("request", in_path).alias("request"))
     return scanned.withColumns(request_params(F.col("request")))
 
 
@@ -74,12 +74,15 @@ def split_errors(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pages.filter(~bad), pages.filter(bad)
 
 
-def cap_pages(pages: DataFrame, cap: int = config.PAGE_CAP) -> DataFrame:
-    """Pages up to the total the first page announces, at most ``cap`` per team and season."""
+def cap_pages(pages: DataFrame, cap: int | None = None) -> DataFrame:
+    """Pages up to the total the first page announces, at most ``cap`` per team and season if a quota sets one.
+
+    Where the first page is missing or announces nothing, the pages that exist stay.
+    """
     announced = pages.filter(F.col("page") == 1).groupBy("team", "season").agg(F.max("paging.total").alias("__total"))
-    limit = F.least(F.coalesce("__total", F.lit(1)), F.lit(cap))
-    return pages.filter(F.col("page") <= cap).join(announced, ["team", "season"]) \
-        .filter(F.col("page") <= limit).drop("__total")
+    allowed = pages if cap is None else pages.filter(F.col("page") <= cap)
+    return allowed.join(announced, ["team", "season"], "left") \
+        .filter(F.col("__total").isNull() | (F.col("page") <= F.col("__total"))).drop("__total")
 
 
 def league_teams(spark: SparkSession, league_ids: Sequence[int], seasons: Sequence[int],
@@ -116,7 +119,8 @@ def only_league(statistics: Column, league: Column) -> Column:
     return F.filter(statistics, lambda s: s["league"]["id"] == league)
 
 
-def player_records(pages: DataFrame, owners: DataFrame, season_order: Sequence[int] | None = None) -> DataFrame:
+def player_records(pages: DataFrame, owners: DataFrame, season_order: Sequence[int] | None = None,
+                   page_cap: int | None = None) -> DataFrame:
     """One row per player record with its statistics trimmed to the league that listed the team.
 
     ``rec_ord`` reproduces the order in which the source would be walked: seasons, leagues,
@@ -125,7 +129,7 @@ def player_records(pages: DataFrame, owners: DataFrame, season_order: Sequence[i
     season_idx = F.col("season") if season_order is None else F.array_position(
         F.array(*[F.lit(s) for s in season_order]), F.col("season")).cast("int")
     usable = split_errors(pages)[0]
-    owned = cap_pages(usable).join(owners, ["team", "season"])
+    owned = cap_pages(usable, page_cap).join(owners, ["team", "season"])
     records = owned.select(
         "season", F.col("league").alias("league_id"), season_idx.alias("season_idx"), "league_idx", "team_idx",
         "page", F.posexplode("response").alias("pos", "record"))
@@ -139,7 +143,7 @@ def player_records(pages: DataFrame, owners: DataFrame, season_order: Sequence[i
 def load_statistics(spark: SparkSession, directory: str, seasons: Sequence[int] | None = None,
                     league_ids: Sequence[int] | None = None, multiline: bool = True,
                     fixed_teams: Mapping[int, Sequence[int]] | None = None,
-                    files: str = "{endpoint}_*.json") -> DataFrame:
+                    files: str = "{endpoint}_*.json", page_cap: int | None = None) -> DataFrame:
     """All cached player records of the seasons and leagues in one distributed scan.
 
     ``files`` is the name pattern of one endpoint; exports of ``write_pages`` use ``EXPORTED``.
@@ -153,14 +157,15 @@ def load_statistics(spark: SparkSession, directory: str, seasons: Sequence[int]
     owners = league_teams(spark, league_ids, seasons, team_pages, fixed)
     pages = scan_pages(spark, f"{directory}/{files.format(endpoint='players')}", PLAYER_PAGE, multiline)
     pages = pages.drop("league").filter(F.col("season").isin(seasons))
-    return player_records(pages, owners, seasons)
+    return player_records(pages, owners, seasons, page_cap)
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Response pages as JSON lines below one directory per ``request`` name.
+    """Response pages as JSON lines that name their request, below one directory per endpoint and season.
 
-    Rebalancing groups the rows of a request into few files and splits a request that
+    Rebalancing groups the rows of a season into few files and splits a season that
     holds a large share of them.
     """
-    pages.hint("rebalance", "request").withColumnRenamed("request", "cached").write \
-        .mode("append").partitionBy("cached").json(path)
+    keyed = pages.withColumn("endpoint", F.regexp_extract("request", r"^([a-z]+)_", 1)) \
+        .withColumn("season", request_params(F.col("request"))["season"])
+    keyed.hint("rebalance", "endpoint", "season").write.mode("append").partitionBy("endpoint", "season").json(path)
