@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,13 +50,37 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Paths of the tables that each open ``scratch_tables`` block has written, the innermost last.
+_scopes: list[list[str]] = []
+
+
+def materialize(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """Cut lineage through a Parquet table in the shared folder.
 
     Unlike executor-local storage the table survives the loss of executors, and
-    unlike a cached frame it can be read by several later jobs without keeping memory.
+    unlike a cached frame it can be read by several later jobs without keeping memory. Inside ``scratch_tables``
+    it goes with the block, or if it is ``kept`` with the block around it.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
+    if len(_scopes) > kept:
+        _scopes[-1 - kept].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Tables stored inside the block are removed when it ends, but for those that are ``kept``: what leaves the block may read no others."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any file system that Spark writes to."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
