@@ -19,7 +19,8 @@ HEADLINE = [
     "rate_leaders", "multi_club_rollup", "per90_rates", "pct_rank_avg", "season_delta", "asof_nearest", "asof_backward",
     "team_quality", "stage_features", "resolve_cascade", "exact_match", "or_semi_filter", "normalize_text", "json_explode",
     "paged_scan", "regression_metrics", "spearman_rank", "group_stats", "corr_matrix", "histogram", "fee_benchmark",
-    "undervalued", "lookup_verdict", "ridge_fit", "scored_values", "shap_importance",
+    "undervalued", "lookup_verdict", "ridge_fit", "scored_values", "shap_importance", "joined_dataset", "value_history", "forest_fit", "gbt_fit",
+    "forest_stump", "boosting_stump", "shap_additivity",
 ]
 
 

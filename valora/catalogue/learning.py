@@ -110,3 +110,58 @@ def scored_values(spark, sf):
 @query("shap_importance")
 def shap_importance(spark, sf):
     return explain.shap_importance(_stage1(spark, sf), "global", 15, LIGHT)
+
+
+_LATEST_SQL = """
+WITH s AS (SELECT DISTINCT l_partkey AS api_player_id, CAST(year(l_shipdate) AS INTEGER) AS season FROM lineitem
+           JOIN part ON p_partkey = l_partkey WHERE p_type NOT IN ('STANDARD', 'PROMO'))
+SELECT api_player_id, season, true AS adds_up FROM s WHERE season = (SELECT max(season) FROM s)"""
+
+
+@query("shap_additivity", _LATEST_SQL)
+def shap_additivity(spark, sf):
+    """Per row of the latest season: whether base value and attributions sum to the forest's prediction."""
+    data = materialize(_stage1(spark, sf), "stage1")
+    columns = models.feature_columns(data)
+    train, test = latest_split(data)
+    model = models.fit_forest(train, columns, {"RandomForest": {"numTrees": 10}})
+    keys = ["api_player_id", "season"]
+    parts = explain.row_attributions(model, test, keys, columns)
+    total = F.col("base_value") + F.aggregate("attributions", F.lit(0.0), lambda a, b: a + b)
+    scored = models.score(model, test, columns).select(*keys, "predicted_log")
+    return parts.select(*keys, total.alias("total")).join(scored, keys).select(*keys, (F.abs(F.col("total") - F.col("predicted_log")) < 1e-6).alias("adds_up"))
+
+
+_SPLITS_SQL = """
+r AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice AS y, l_quantity AS x FROM lineitem),
+v AS (SELECT x, count(*) AS n, sum({y}) AS s FROM {rows} GROUP BY x),
+c AS (SELECT x, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(n) OVER () AS all_n, sum(s) OVER () AS all_s FROM v WINDOW w AS (ORDER BY x)),
+best AS (SELECT x AS cut, s / n AS low, (all_s - s) / (all_n - n) AS high FROM c WHERE n < all_n
+         ORDER BY s * s / n + (all_s - s) * (all_s - s) / (all_n - n) DESC LIMIT 1)"""
+
+
+def _stump_rows(spark, sf):
+    line = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_extendedprice").alias("y"), F.col("l_quantity").alias("x"))
+    return models.assemble(line, ["x"])
+
+
+@query("forest_stump", f"""
+WITH {_SPLITS_SQL.format(y='y', rows='r')}
+SELECT l_orderkey, l_linenumber, l_suppkey, round(CASE WHEN x <= cut THEN low ELSE high END, 4) AS prediction FROM r, best""")
+def forest_stump(spark, sf):
+    """The exact form of the forest: one tree, one split, all rows, so the split of least squared error."""
+    data = _stump_rows(spark, sf)
+    forest = models.estimator("RandomForest", data, "y", {"RandomForest": {
+        "numTrees": 1, "maxDepth": 1, "minInstancesPerNode": 1, "maxBins": 64}}).setBootstrap(False)
+    return rounded(forest.fit(data).transform(data), 4, "prediction").select("l_orderkey", "l_linenumber", "l_suppkey", "prediction")
+
+
+@query("boosting_stump", f"""
+WITH {_SPLITS_SQL.format(y='y', rows='r')}
+SELECT l_orderkey, l_linenumber, l_suppkey, round(CASE WHEN x <= cut THEN low ELSE high END, 4) AS prediction FROM r, best""")
+def boosting_stump(spark, sf):
+    """The exact form of boosting: its first round is the split of least squared error."""
+    data = _stump_rows(spark, sf)
+    boosting = models.estimator("GBT", data, "y", {"GBT": {
+        "maxIter": 1, "maxDepth": 1, "subsamplingRate": 1.0, "featureSubsetStrategy": "all", "maxBins": 64}})
+    return rounded(boosting.fit(data).transform(data), 4, "prediction").select("l_orderkey", "l_linenumber", "l_suppkey", "prediction")

@@ -3,9 +3,9 @@
 The path-dependent value of a feature subset S at a leaf is
 ``value * prod_f (o_f if f in S else z_f)``: ``o_f`` says whether the row meets all conditions
 the path puts on feature f, ``z_f`` is the share of training rows that followed them. The
-Shapley values of this product game have a closed form over elementary symmetric polynomials
-(Lundberg et al. 2018). A path has at most ``depth`` features, so a tree's attributions for all
-``2^depth`` outcomes are tabulated once per batch and rows look them up.
+Shapley value of feature i in this product game is ``value * (o_i - z_i)`` times the integral over t from 0 to 1 of
+``prod_{f != i} (t * o_f + (1 - t) * z_f)``, a polynomial whose degree is below the path's number of features, so that a Gauss-Legendre
+rule with half as many nodes gives it exactly. Paths may be of any length.
 
 Only the trees travel to the executors: their size is bounded by number of trees times
 ``2^(depth + 1)`` nodes, whatever the number of rows.
@@ -14,7 +14,6 @@ Only the trees travel to the executors: their size is bounded by number of trees
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -26,8 +25,6 @@ from valora.operators.relational import columns_with, latest_split
 from valora.plans.models import LABEL, feature_columns, fit_forest
 from valora.session import materialize, scratch_dir
 
-MAX_DEPTH = 12  # table size per leaf is 2^depth
-
 
 def forest_nodes(model: Model, df: DataFrame) -> list[pd.DataFrame]:
     """Node table of every tree, indexed by node id, read from the saved model."""
@@ -63,8 +60,6 @@ def compile_tree(tree: pd.DataFrame, n_features: int) -> dict[str, np.ndarray]:
     """Leaf arrays padded to the longest path; padding is a feature that changes nothing."""
     leaves = _leaf_paths(tree)
     depth = max((len(p) for _, p in leaves), default=0)
-    if depth > MAX_DEPTH:
-        raise ValueError(f"paths over {MAX_DEPTH} distinct features are too long to tabulate")
     shape = (len(leaves), depth)
     out = {"feature": np.full(shape, n_features), "low": np.full(shape, -np.inf), "high": np.full(shape, np.inf),
            "share": np.ones(shape), "value": np.array([v for v, _ in leaves])}
@@ -78,28 +73,20 @@ def expected_value(tree: dict[str, np.ndarray]) -> float:
     return float((tree["value"] * tree["share"].prod(axis=1)).sum())
 
 
-def _attribution_table(tree: dict[str, np.ndarray]) -> np.ndarray:
-    """Attribution of each path feature for every leaf and every pattern of met conditions."""
+def _attributions(tree: dict[str, np.ndarray], met: np.ndarray) -> np.ndarray:
+    """Attribution (row, leaf, path feature) where ``met`` says which conditions each row meets."""
     share = tree["share"]
-    leaves, depth = share.shape
-    patterns = (np.arange(2**depth)[:, None] >> np.arange(depth)) & 1
-    table = np.empty((leaves, 2**depth, depth))
-    for i in range(depth):
-        poly = np.ones((leaves, 2**depth, 1))
-        for j in range(depth):
-            if j == i:
-                continue
-            grown = np.zeros((*poly.shape[:2], poly.shape[2] + 1))
-            grown[:, :, :-1] = poly * share[:, None, j, None]
-            grown[:, :, 1:] += poly * patterns[None, :, j, None]
-            poly = grown
-        weights = np.array([factorial(k) * factorial(depth - 1 - k) / factorial(depth) for k in range(depth)])
-        table[:, :, i] = (poly @ weights) * (patterns[None, :, i] - share[:, None, i])
-    return table * tree["value"][:, None, None]
-
-
-def shap_values(trees: Sequence[dict[str, np.ndarray]], x: np.ndarray, rows: int = 512) -> np.ndarray:
-    """Attributions (row, feature) of the mean of the trees."""
+    nodes, weights = np.polynomial.legendre.leggauss(share.shape[1] // 2 + 1)
+    total = np.zeros(met.shape)
+    for t, weight in zip((nodes + 1) / 2, weights / 2):
+        # Inside (0, 1) no factor is zero, so a feature's own one can be divided out.
+        factors = t * met + (1 - t) * share
+        total += weight * factors.prod(axis=2, keepdims=True) / factors
+    return total * (met - share) * tree["value"][:, None]
+
+
+def shap_values(trees: Sequence[dict[str, np.ndarray]], x: np.ndarray, cells: int = 1_000_000) -> np.ndarray:
+    """Attributions (row, feature) of the mean of the trees, in batches of ``cells`` numbers."""
     n, n_features = x.shape
     padded = np.hstack([x, np.zeros((n, 1))])
     total = np.zeros((n, n_features + 1))
@@ -107,18 +94,14 @@ def shap_values(trees: Sequence[dict[str, np.ndarray]], x: np.ndarray, rows: int
         leaves, depth = tree["share"].shape
         if depth == 0:
             continue
-        table = _attribution_table(tree).reshape(-1, depth)
-        base = np.arange(leaves) * 2**depth
-        flat_feature = tree["feature"].ravel()
         # Sums per feature as a product with a 0/1 matrix instead of scattered adds.
         scatter = np.zeros((leaves * depth, n_features + 1))
-        scatter[np.arange(leaves * depth), flat_feature] = 1.0
-        bit = 1 << np.arange(depth)
+        scatter[np.arange(leaves * depth), tree["feature"].ravel()] = 1.0
+        rows = max(1, cells // (leaves * depth))
         for start in range(0, n, rows):
             value = padded[start:start + rows][:, tree["feature"]]
             met = (value > tree["low"]) & (value <= tree["high"])
-            pattern = (met * bit).sum(axis=2) + base
-            total[start:start + rows] += table[pattern].reshape(len(value), -1) @ scatter
+            total[start:start + rows] += _attributions(tree, met.astype(float)).reshape(len(value), -1) @ scatter
     return total[:, :n_features] / len(trees)
 
 

@@ -58,8 +58,8 @@ def clean_fees(transfers: DataFrame, pivot: int | None = None) -> DataFrame:
 
 
 def transfer_benchmark(transfers: DataFrame, predictions: DataFrame,
-                       target_season_year: int | None = None) -> DataFrame:
-    """Paid transfers of one season next to market and model value, largest fee first.
+                       target_season_year: int | None = None, ordered: bool = True) -> DataFrame:
+    """Paid transfers of one season next to market and model value, largest fee first unless the caller needs no order.
 
     Without a target it is the newest season in which any predicted player was transferred.
     Several predictions of a player give several rows; no overlap gives an empty frame.
@@ -72,10 +72,12 @@ def transfer_benchmark(transfers: DataFrame, predictions: DataFrame,
         window = fees.filter(F.col("season_year") == target_season_year)
     merged = window.join(predictions.select("tm_player_id", "predicted_eur"), "tm_player_id")
     fee, market, model = (to_millions(F.col(c)) for c in ("transfer_fee", "market_value_in_eur", "predicted_eur"))
-    return merged.select(
+    benchmark = merged.select(
         "player_name", "from_club_name", "to_club_name", fee.alias("actual_fee_M"), market.alias("tm_value_M"),
-        model.alias("model_value_M"), F.abs(model - fee).alias("error_model_M"), F.abs(market - fee).alias("error_tm_M"),
-    ).orderBy(F.desc_nulls_last("actual_fee_M"), "player_name", "from_club_name", "to_club_name")
+        model.alias("model_value_M"), F.abs(model - fee).alias("error_model_M"), F.abs(market - fee).alias("error_tm_M"))
+    if not ordered:
+        return benchmark
+    return benchmark.orderBy(F.desc_nulls_last("actual_fee_M"), "player_name", "from_club_name", "to_club_name")
 
 
 def benchmark_winner(benchmark: DataFrame) -> DataFrame:
