@@ -42,16 +42,16 @@ def test_stage1_drops_unmapped_positions_and_missing_values(spark):
                                dict(api_player_id=6, market_value_in_eur=None), dict(api_player_id=7, position="FORWARD")), ["ord"])
     rows = {r.api_player_id: r for r in df.collect()}
     assert set(rows) == {1, 7}
-    assert rows[1].age == 28.5 and (rows[7].pos_DEF, rows[7].pos_FWD, rows[7].pos_MID) == (0.0, 1.0, 0.0)
-    assert rows[1].log_market_value == pytest.approx(np.log1p(5e6))
+    assert rows[1].age == 25.5 and (rows[7].pos_DEF, rows[7].pos_FWD, rows[7].pos_MID) == (0.0, 1.0, 0.0)
+    assert rows[1].log_market_value == pytest.approx(np.log1p(7.5e6))
 
 
 def test_stage2_rates(spark):
     rows = {r.api_player_id: r for r in f.build_stage2(joined(
         spark, {}, dict(api_player_id=2, minutes=0, shots_total=0, duels_total=None, dribbles_attempts=0),
         dict(api_player_id=3, goals=1, penalty_goals=3), dict(api_player_id=4, penalty_goals=None)), ["ord"]).collect()}
-    assert rows[1].goals_p90 == pytest.approx(0.5) and rows[1].np_goals_p90 == pytest.approx(0.4)
-    assert (rows[1].duels_won_pct, rows[1].shot_accuracy, rows[1].dribble_success_pct) == (0.5, 0.4, 0.6)
+    assert rows[1].goals_p90 == pytest.approx(0.5) and rows[1].np_goals_p90 == pytest.approx(5 / 14)
+    assert (rows[1].duels_won_pct, rows[1].shot_accuracy, rows[1].dribble_success_pct) == (0.625, 0.36, 12 / 18)
     assert rows[2].goals_p90 is None and rows[2].shot_accuracy is None and rows[2].duels_won_pct is None
     assert rows[3].np_goals_p90 == 0.0 and rows[4].np_goals_p90 == pytest.approx(0.5)
     assert "np_goals" not in f.build_stage2(joined(spark, {}), ["ord"]).columns
@@ -89,10 +89,10 @@ def test_stage5_age_curve(spark):
     rows = {r.api_player_id: r for r in f.build_stage5(joined(
         spark, {}, dict(api_player_id=2, position="Defender", dob=dt.date(2002, 1, 1)),
         dict(api_player_id=3, position="Midfielder", dob=dt.date(1985, 1, 1), minutes=0)), ["ord"]).collect()}
-    assert rows[1].age_vs_pos_peak == pytest.approx(3.5) and rows[1].years_to_30 == pytest.approx(1.5) and rows[1].is_young == 0.0
+    assert rows[1].age_vs_pos_peak == pytest.approx(0.5) and rows[1].years_to_30 == pytest.approx(4.5) and rows[1].is_young == 0.0
     assert rows[2].age_vs_pos_peak == pytest.approx(21.5 - 28) and rows[2].is_young == 1.0
     assert rows[3].years_to_30 == 0 and rows[3].age_x_goal_inv == 0.0 and rows[3].age_x_minutes == 0.0
-    assert rows[1].age_x_goal_inv == pytest.approx(28.5 * 0.8)
+    assert rows[1].age_x_goal_inv == pytest.approx(25.5 * 11 / 14)
 
 
 @pytest.mark.parametrize("partitions", [1, 17])
