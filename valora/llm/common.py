@@ -8,7 +8,7 @@ import string
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from valora.session import materialize
+from valora.session import materialize, scratch_tables
 
 # The contracts' word patterns, in Java's notation.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -67,6 +67,13 @@ def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return values[index]
 
 
+def slices(batches, rows: int = 500):
+    """The record batches in slices of few rows, so that a task's memory does not grow with Arrow's batches."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def chunks(sizes: list[int], most: int):
     """Ranges of consecutive rows whose sizes sum up to about ``most``; a larger row stands alone."""
     begin, held = 0, 0
@@ -85,21 +92,21 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternates the large-star and small-star steps until the links no longer change. Every step is one
     aggregation and one join on the node, and each round's links are a table, so that lineage stays short.
     """
+    spark = links.sparkSession
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    edges = materialize(edges, "links")
-    before = None
-    while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(
-            F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
-        ).select("e.*").filter("u <> v").distinct()
-        edges = materialize(small, "links")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    member = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return member.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    state, more = None, True
+    with scratch_tables(spark):
+        edges = materialize(edges, "links")
+        while more:
+            both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+            large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+            low = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(low, "u").select(
+                F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
+            ).select("e.*").filter("u <> v").distinct()
+            edges = materialize(small, "links")
+            before, state = state, edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            more = state != before
+        member = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        return materialize(member.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components", kept=True)

@@ -6,10 +6,11 @@ Sizes are cut into bands no wider than ``1 / t``; sets meet under the scheme of
 indexed by the schemes of its own band and the band below. A scheme takes whichever costs less: whole segments, half as many again as needed,
 so that each set may leave out its most crowded ones, or fewer segments with one-deletion neighbourhoods.
 
-Exact copies are one node. Signatures held by one node alone are dropped at once. Of the rest a set looks up only as many
-as the pigeonhole needs, the rarest first. Each signature's group is first compared with one member, its most typical one; what
-is linked through it needs no further comparison, and only pairs across the components found so far are compared
-in full. So a large group of near copies costs one comparison each, and no link between different components is lost.
+Exact copies are one node. Signatures held by one node alone are dropped at once. Each other node is first compared with one that is typical
+of its groups; what is linked through it needs no further comparison. Only pairs across the components found so far remain: they
+meet on signatures that are among the rarest of both, as many as the pigeonhole needs, and where sketches of fixed size do not
+already tell them apart they are compared in full. So a large group of near copies costs a comparison each, and no link between different
+components is lost. What remains quadratic, in sketches only, are the members of one group that are linked with nothing.
 
 Rows: null and empty texts, and texts of white space, have no shingles and are linked with nothing. Texts of fewer words
 than a shingle are one shingle. Rows that repeat an id stay separate rows; a null id is never the smallest. Other columns are ignored
@@ -25,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from valora.llm.common import Memo, broadcast_if_small, components, digest64
-from valora.session import materialize
+from valora.llm.common import broadcast_if_small, components, digest64, Memo, slices
+from valora.session import materialize, scratch_tables
 
 #: Most nodes (8 bytes each) that are broadcast to pick the texts to be verified.
 MOST_NODES = 1_000_000
@@ -130,7 +131,7 @@ def signer(size: int, percent: int, spare: float):
     """(id, text) batches to (id, n, node, band, own, below). A task signs equal sets once."""
     def run(batches):
         memo, bands, seen = Memo(digest64), Bands(percent, spare), set()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(t, size, memo) for t in batch.column(1).to_pylist()]
             nodes, numbers, own, below, none = [node_of(s) for s in sets], [], [], [], np.empty(0, np.uint64)
             for s, node in zip(sets, nodes):
@@ -148,13 +149,17 @@ def signer(size: int, percent: int, spare: float):
 
 
 def lister(size: int, value=lambda s: s, name: str = "shingles"):
-    """(text) batches to (node, value of its set), by default the shingles themselves."""
+    """(text) batches to (node, value of its set), by default the shingles themselves; a task lists equal sets once."""
     def run(batches):
-        memo = Memo(digest64)
-        for batch in batches:
-            for part in range(0, batch.num_rows, 500):
-                sets = [s for t in batch.column(0).slice(part, 500).to_pylist() if len(s := shingles(t, size, memo))]
-                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), signed([value(s) for s in sets])], names=["node", name])
+        memo, seen = Memo(digest64), set()
+        for batch in slices(batches):
+            sets = {}
+            for text in batch.column(0).to_pylist():
+                s = shingles(text, size, memo)
+                if len(s) and (node := node_of(s)) not in seen:
+                    sets[node] = value(s)
+            seen.update(sets)
+            yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), signed(list(sets.values()))], names=["node", name])
     return run
 
 
@@ -186,7 +191,9 @@ def shared_signatures(signed_docs: DataFrame, bands: Bands, longest: int) -> Dat
         F.struct((F.col("band") - 1).alias("scheme"), F.col("n"), F.col("below").alias("signatures")))).alias("x")) \
         .select("node", (F.col("x.scheme").cast("long") * 2**40 + F.col("x.n")).alias("tag"), F.explode("x.signatures").alias("signature")) \
         .repartition("signature")
-    crowd = entries.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).filter("low <> high")
+    # The tag is read here too, although every one is positive: both readers of the entries must have the same columns to share one exchange.
+    crowd = entries.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min("tag").alias("tag"), F.count("*").alias("size")) \
+        .filter("low <> high AND tag >= 0")
     shared = entries.join(crowd.select("signature", "size"), "signature").dropDuplicates(["signature", "node"])
     shared = shared.withColumn("scheme", F.floor(F.col("tag") / F.lit(2**40)).cast("int")).withColumn("n", F.col("tag") % F.lit(2**40)).drop("tag")
     # Segments that a node shares with none count among its rarest.
@@ -206,32 +213,42 @@ def undecided(shared: DataFrame, found: DataFrame) -> DataFrame:
 def similarity_components(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 90) -> DataFrame:
     """(id_col, key, group, n_shingles, component): ``component`` is the smallest id reachable over links of similarity ``percent`` / 100
     or more, the document's own included; ``key`` is a hash of the text, ``group`` a number of the component, null for empty sets."""
+    with scratch_tables(documents.sparkSession):
+        return materialize(found_components(documents, id_col, text_col, shingle, percent), "similarity", kept=True)
+
+
+def found_components(documents: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind, signs = dict(docs.dtypes)["id"], "n bigint, node bigint, band int, own array<bigint>, below array<bigint>"
-    signed_docs = materialize(docs.select(F.struct("id", F.xxhash64("text").alias("key")).alias("id"), "text").mapInArrow(
-        signer(shingle, percent, SPARE), f"id struct<id: {kind}, key: bigint>, {signs}"), "signatures")
-    members = signed_docs.select("id.id", "id.key", "n", "node")
-    longest = signed_docs.agg(F.max("n")).first()[0] or 0
+    with scratch_tables(documents.sparkSession):
+        signed_docs = materialize(docs.select(F.struct("id", F.xxhash64("text").alias("key")).alias("id"), "text").mapInArrow(
+            signer(shingle, percent, SPARE), f"id struct<id: {kind}, key: bigint>, {signs}"), "signatures")
+        members = materialize(signed_docs.select("id.id", "id.key", "n", "node"), "members", kept=True)
+        longest = members.agg(F.max("n")).first()[0] or 0
+        shared = materialize(shared_signatures(signed_docs, Bands(percent, SPARE), longest), "shared", kept=True)
     near = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
-    # First each signature's group against its most typical member, that with the most crowded signatures.
-    shared = materialize(shared_signatures(signed_docs, Bands(percent, SPARE), longest), "shared")
-    heads = shared.groupBy("signature").agg(F.max(F.struct("cost", "node", "n")).alias("head"))
-    pairs = shared.join(heads, "signature").filter(F.col("node") != F.col("head.node")).filter(near(F.col("n"), F.col("head.n"))) \
-        .select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct()
-    links = materialize(linked(materialize(pairs, "pairs"), documents, text_col, members, shingle, percent), "links")
+    # What two sketches differ in is a lower bound of what the sets differ in.
+    differ = lambda p, q: F.aggregate(F.zip_with(p, q, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits)
+    may_link = lambda p, n, q, m: near(n, m) & (differ(p, q) * (100 + percent) <= (n + m) * (100 - percent))
+    nodes = materialize(shared.select("node", "n").distinct(), "nodes")
+    sketches = texts_of(nodes.select("node"), documents, text_col, members).select("text").mapInArrow(lister(shingle, sketch_of, "sketch"), "node bigint, sketch array<bigint>")
+    sketches = materialize(sketches.dropDuplicates(["node"]).join(nodes, "node"), "sketches")
+    # First each node against one other: of the most typical members of its signatures' groups, the one with which it shares most signatures.
+    heads = shared.groupBy("signature").agg(F.max(F.struct("cost", "node")).alias("head")).select("signature", F.col("head.node").alias("head"))
+    votes = shared.join(heads, "signature").filter(F.col("node") != F.col("head")).groupBy("node", "head").agg(F.count("*").alias("votes"))
+    pairs = votes.groupBy("node").agg(F.max(F.struct("votes", "head")).alias("best")).select(F.col("node").alias("a"), F.col("best.head").alias("b"))
+    a, b = (sketches.select(F.col("node").alias(side), F.col("sketch").alias(f"{side}_sketch"), F.col("n").alias(f"{side}_n")) for side in ("a", "b"))
+    pairs = pairs.join(a, "a").join(b, "b").filter(may_link(F.col("a_sketch"), F.col("a_n"), F.col("b_sketch"), F.col("b_n"))).select("a", "b")
+    with scratch_tables(documents.sparkSession):
+        links = materialize(linked(materialize(pairs, "pairs"), documents, text_col, members, shingle, percent), "links", kept=True)
     found = components(links)
     # Then all pairs across components: all but a group's largest component meet the group, on signatures that both ask for.
-    asking = materialize(undecided(shared, found).filter("asks").select("signature", "node", "component", "n"), "undecided")
-    nodes = materialize(asking.select("node").distinct(), "nodes")
-    sketches = texts_of(nodes, documents, text_col, members).select("text").mapInArrow(lister(shingle, sketch_of, "sketch"), "node bigint, sketch array<bigint>").dropDuplicates(["node"])
-    finer = asking.join(materialize(sketches, "sketches"), "node")
-    largest = finer.groupBy("signature", "component").count().groupBy("signature").agg(F.max(F.struct("count", "component")).alias("largest"))
-    rest = finer.join(largest.select("signature", F.col("largest.component").alias("main")), "signature").filter("component <> main")
-    x, y = rest.alias("x"), finer.alias("y")
-    # What two sketches differ in is a lower bound of what the sets differ in.
-    apart = F.aggregate(F.zip_with("x.sketch", "y.sketch", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, bits: total + bits)
-    across = x.join(y, (F.col("x.signature") == F.col("y.signature")) & (F.col("x.component") != F.col("y.component")) & near(F.col("x.n"), F.col("y.n"))
-                    & (apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))) \
+    asking = materialize(undecided(shared, found).filter("asks").select("signature", "node", "component").join(sketches, "node"), "undecided")
+    largest = asking.groupBy("signature", "component").count().groupBy("signature").agg(F.max(F.struct("count", "component")).alias("largest"))
+    rest = asking.join(largest.select("signature", F.col("largest.component").alias("main")), "signature").filter("component <> main")
+    x, y = rest.alias("x"), asking.alias("y")
+    across = x.join(y, (F.col("x.signature") == F.col("y.signature")) & (F.col("x.component") != F.col("y.component"))
+                    & may_link(F.col("x.sketch"), F.col("x.n"), F.col("y.sketch"), F.col("y.n"))) \
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     more = linked(materialize(across, "pairs"), documents, text_col, members, shingle, percent)
     found = components(links.union(more))
@@ -244,9 +261,10 @@ def similarity_components(documents: DataFrame, *, id_col: str = "doc_id", text_
 def one_of_each_group(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without those that are linked to others, but for the one of each group that has the smallest id
     (and of those with that id, the rows of one text); with all columns."""
-    found = materialize(similarity_components(documents, id_col=id_col, text_col=text_col, **options).filter("group IS NOT NULL")
-                        .select(F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), "key").alias("row"), "group"), "groups")
-    first = found.groupBy("group").agg(F.min("row").alias("first"))
-    lost = found.join(first, "group").filter("row <> first").select(F.col("row.id").alias("__lost_id"), F.col("row.key").alias("__lost_key")).distinct()
-    lost = broadcast_if_small(materialize(lost, "lost"), MOST_NODES)
+    with scratch_tables(documents.sparkSession):
+        found = similarity_components(documents, id_col=id_col, text_col=text_col, **options).filter("group IS NOT NULL") \
+            .select(F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), "key").alias("row"), "group")
+        first = found.groupBy("group").agg(F.min("row").alias("first"))
+        lost = found.join(first, "group").filter("row <> first").select(F.col("row.id").alias("__lost_id"), F.col("row.key").alias("__lost_key")).distinct()
+        lost = broadcast_if_small(materialize(lost, "lost", kept=True), MOST_NODES)
     return documents.join(lost, F.col(id_col).eqNullSafe(F.col("__lost_id")) & (F.xxhash64(text_col) == F.col("__lost_key")), "left_anti")
