@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from valora.llm.common import ascii_lower, broadcast_if_small, text_key, text_of, words_of
-from valora.session import materialize
+from valora.session import materialize, scratch_tables
 
 WINDOW, GRAM = 13, 5
 #: Most rows of the benchmark's fingerprints (8 bytes each) or windows (about 100 bytes each) that are broadcast.
@@ -133,7 +133,8 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    found = contamination(documents, benchmark, id_col=id_col, text_col=text_col, **options)
-    bad = materialize(found.filter(is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col(id_col).alias("__bad_id"), F.col("h1").alias("__bad_h1"), F.col("h2").alias("__bad_h2")).distinct(), "contaminated")
+    with scratch_tables(documents.sparkSession):
+        found = contamination(documents, benchmark, id_col=id_col, text_col=text_col, **options)
+        bad = materialize(found.filter(is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col(id_col).alias("__bad_id"), F.col("h1").alias("__bad_h1"), F.col("h2").alias("__bad_h2")).distinct(), "contaminated", kept=True)
     h1, h2 = text_key(text_of(text_col))
     return documents.join(broadcast_if_small(bad, MOST_FINGERPRINTS), F.col(id_col).eqNullSafe(F.col("__bad_id")) & (h1 == F.col("__bad_h1")) & (h2 == F.col("__bad_h2")), "left_anti")

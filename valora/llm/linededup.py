@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from valora.llm.common import text_of
-from valora.session import materialize
+from valora.session import materialize, scratch_tables
 
 MIN_WORDS = 10
 
@@ -102,9 +102,10 @@ def later_copies(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 def without_later_copies(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with all their columns, each text without the lines that are later copies."""
-    copies = later_copies(documents, id_col=id_col, text_col=text_col, min_words=min_words)
-    gone = copies.groupBy("id", "key").agg(F.flatten(F.collect_set(F.sequence("first", "last"))).alias("__gone"))
-    gone = materialize(gone.select(F.col("id").alias("__gone_id"), F.col("key").alias("__gone_key"), "__gone"), "gone")
+    with scratch_tables(documents.sparkSession):
+        copies = later_copies(documents, id_col=id_col, text_col=text_col, min_words=min_words)
+        gone = copies.groupBy("id", "key").agg(F.flatten(F.collect_set(F.sequence("first", "last"))).alias("__gone"))
+        gone = materialize(gone.select(F.col("id").alias("__gone_id"), F.col("key").alias("__gone_key"), "__gone"), "gone", kept=True)
     lines = F.split(F.col(text_col), "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
     joined = documents.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__gone_id")) & (F.xxhash64(text_col) == F.col("__gone_key")), "left")
