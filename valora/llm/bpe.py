@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from valora.llm.common import Memo, chunks, ragged
+from valora.llm.common import chunks, Memo, ragged, slices
 
 #: Characters handled at once; a longer text is handled alone.
 CHUNK = 1_000_000
@@ -207,7 +207,7 @@ def encode(documents: DataFrame, path: str, *, text_col: str = "text", ids_col:
     def run(batches):
         vocabulary, scanner = Vocabulary(ranks.value), Scanner(np.frombuffer(kinds.value, np.uint8))
         memo = Memo(lambda piece: np.array(vocabulary.merged(piece.encode("utf-8", "surrogatepass")), np.int32).tobytes())
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
             for a, b in chunks([len(t) + 1 for t in texts], CHUNK):
                 ids, offsets, counts = encoded(texts[a:b], scanner, vocabulary, memo)
@@ -226,7 +226,7 @@ def decode(documents: DataFrame, path: str, *, ids_col: str = "ids", bytes_col:
 
     def run(batches):
         vocabulary = Vocabulary(ranks.value)
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column(ids_col)
             counts = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
             for a, b in chunks((counts + 1).tolist(), CHUNK):

@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
+from valora.llm.common import slices
+
 # The contract's phrases.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
@@ -180,7 +182,7 @@ def license_spans(documents: DataFrame, *, text_col: str = "text", templates=TEM
 
     def run(batches):
         scanner = Scanner(templates, phrases)
-        for batch in batches:
+        for batch in slices(batches):
             counts, found, spans = [], [], []
             for text in batch.column(text_col).to_pylist():
                 words = words_of(text)

@@ -13,23 +13,26 @@ unknown or null ids are ignored, and without any labels every score is 0. Repeat
 from __future__ import annotations
 
 from dataclasses import dataclass
-
 import re
 import unicodedata
+from struct import Struct
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from valora.llm.common import Memo, broadcast_if_small, digest64
+from valora.llm.common import broadcast_if_small, Memo, slices
 from valora.session import materialize
 
 #: Letters of the character model besides the boundary, and what signs may stand for.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿßœ"
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il",
          "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "µ": "u"}
+#: Marks at a word's edges.
+MARKS = ".,;:!?*%&#$\"'()[]{}<>-_/\\=+~^`|"
 #: Costs in nats: a sign as a letter, as noise or as a boundary; a separator as noise or as a boundary; a third equal letter kept, a repeated one dropped.
-SIGN_LETTER, SIGN_LOST, SIGN_BREAK, MARK_LOST, MARK_BREAK, THIRD_KEPT, REPEAT_LOST = 1.0, 6.0, 2.0, 0.5, 1.0, 3.0, 0.7
+SIGN_LETTER, SIGN_LOST, SIGN_BREAK, MARK_LOST, MARK_BREAK, THIRD_KEPT, REPEAT_LOST = 1.0, 9.0, 2.0, 0.5, 1.0, 3.0, 0.7
 N = len(LETTERS) + 2  # with the boundary, 0, and any other letter, N - 1
 BUCKETS = 2 ** 20
 BEGINNINGS = (6, 5, 4)
@@ -61,7 +64,7 @@ def counted(kinds) -> callable:
     """(text) batches to (code, n): trigrams of letters and boundaries, summed by task."""
     def run(batches):
         table, total = np.frombuffer(kinds.value, np.uint8), np.zeros(N ** 3, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(0).to_pylist()
             for i in range(0, len(texts), CHUNK_ROWS):
                 whole = "  ".join(["", *(t for t in texts[i:i + CHUNK_ROWS] if t), ""])
@@ -135,7 +138,7 @@ class Channel:
 
     def words(self, token: str) -> list[str]:
         """The plain words of a lower-cased token; quick where there is one reading."""
-        core = token.strip(".,;:!?*%&#$\"'()[]{}<>-_/\\=+~^`|")
+        core = token.rstrip(MARKS).lstrip("".join(c for c in MARKS if c not in SIGNS))
         if not core or core.isalpha() and not self.SUSPECT.search(core):
             return [core] if core else []
         plain = re.findall(r"[^\W\d_]+", core)
@@ -144,10 +147,10 @@ class Channel:
         return [*plain, *(w for w in self.read(core).split() if w not in plain)]
 
 
-def features_of(word: str) -> list[int]:
+def features_of(word: str) -> tuple[int, ...]:
     """Numbers of a word and of its beginnings, the longest first; BUCKETS where there is none."""
-    number = lambda kind, x: digest64(kind + x.encode("utf-8", "surrogatepass")) % BUCKETS
-    return [number(b"=", word) if len(word) > 2 else BUCKETS, *(number(b"^", word[:n]) if len(word) > n else BUCKETS for n in BEGINNINGS)]
+    whole = crc32(word.encode("utf-8", "surrogatepass"), 1) % BUCKETS if len(word) > 2 else BUCKETS
+    return whole, *(crc32(word[:n].encode("utf-8", "surrogatepass")) % BUCKETS if len(word) > n else BUCKETS for n in BEGINNINGS)
 
 
 class Reader:
@@ -155,7 +158,8 @@ class Reader:
 
     def __init__(self, model: np.ndarray):
         channel = Channel(model)
-        self.memo = Memo(lambda token: np.array([features_of(w) for w in channel.words(token)], np.int32).tobytes())
+        pack = Struct(f"{1 + len(BEGINNINGS)}i").pack
+        self.memo = Memo(lambda token: b"".join([pack(*features_of(w)) for w in channel.words(token)]))
 
     def features(self, text: str | None) -> np.ndarray:
         tokens = (text or "").lower().split()
@@ -193,7 +197,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
 
     def count(batches):
         reader, total = Reader(characters.value), np.zeros((2, BUCKETS + 1), np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 side = total[int(label > 0)]
                 side[np.setdiff1d(reader.features(text), [BUCKETS])] += 1
@@ -222,7 +226,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
 
     def credit(batches):
         reader, rank, total = Reader(characters.value), support.value, np.zeros(BUCKETS + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if label > 0:
                     found = reader.features(text).reshape(-1)
@@ -247,7 +251,7 @@ def score(documents: DataFrame, model: Model, *, text_col: str = "text", score_c
 
     def run(batches):
         reader, weights = Reader(characters.value), shared.value
-        for batch in batches:
+        for batch in slices(batches):
             scores = []
             for text in batch.column(text_col).to_pylist():
                 found = weights[reader.features(text)]
@@ -270,7 +274,7 @@ def restore(documents: DataFrame, model: Model, *, text_col: str = "text", resto
     def run(batches):
         channel = Channel(characters.value)
         words = Memo(lambda token: " ".join(channel.words(token)))
-        for batch in batches:
+        for batch in slices(batches):
             texts = [" ".join(filter(None, map(words.__getitem__, (t or "").lower().split()))) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], names=[*kept, restored_col])
 

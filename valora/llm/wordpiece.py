@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from valora.llm.common import Memo
+from valora.llm.common import Memo, slices
 
 UNKNOWN = -1
 
@@ -88,7 +88,7 @@ def piece_counts(documents: DataFrame, initial: list[str], further: list[str], *
 
     def run(batches):
         counts = Memo(Automaton(*shared.value).count)
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for text in batch.column(text_col).to_pylist():
                 words = (text or "").encode("utf-8", "surrogatepass").split()
