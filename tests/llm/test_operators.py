@@ -289,6 +289,35 @@ def test_toxicity_reads_disguises(spark, insults):
     assert toxicity.restore(rows.filter("doc_id = 0"), model).first().restored.endswith("stupid")
 
 
+def test_toxicity_features_are_told_apart(spark):
+    from itertools import product
+    from zlib import crc32
+    # A clean word that a table of 2 ** 20 places puts where the insult's own count would be.
+    place = crc32(b"schwachkopfig", 1) % 2 ** 20
+    stranger = next(w for w in map("".join, product("abdefgilmnorstu", repeat=6)) if crc32(w.encode(), 1) % 2 ** 20 == place)
+    rows = [(i, f"ba{i} {stranger} do{i}") for i in range(300)] + [(i, f"la{i} schwachkopf{'e' * (i % 2)} mi{i}") for i in range(300, 340)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i >= 300)) for i, _ in rows], "doc_id long, toxic int")
+    asked = spark.createDataFrame([(1, "du schwachkopfig"), (2, f"du {stranger}")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(asked, toxicity.fit(docs, known)).collect()}
+    assert got[1] >= 0.3 > got[2]
+
+
+def test_toxicity_known_words_override_beginnings(spark, monkeypatch):
+    rows = [(i, f"ba{i} moronic") for i in range(40)] + [(i, f"do{i} moronis") for i in range(40, 80)] + [(i, f"la{i} moronity") for i in range(80, 84)] + [(i, f"mi{i} plain") for i in range(84, 200)]
+    docs = spark.createDataFrame([*rows, (0, None)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i < 80)) for i, _ in rows], "doc_id long, toxic int")
+    asked = spark.createDataFrame([(1, "moronic"), (2, "moronity"), (3, "moroniab"), (4, None), (4, None), (5, ""), (6, "plain words"), (7, "moronis moronic moroniab")], "doc_id long, text string")
+    sent = toxicity.fit(docs, known)
+    got = sorted((r.doc_id, round(r.score, 9)) for r in toxicity.score(asked, sent).collect())
+    by = dict(got)
+    assert by[1] > 0.9 and by[3] > 0.9 and by[2] == by[6] == by[5] == by[4] == pytest.approx(sent.share)
+    monkeypatch.setattr(toxicity, "MOST_WEIGHTS", 0)
+    joined = toxicity.fit(docs, known)
+    assert not hasattr(joined.weights, "value")
+    assert sorted((r.doc_id, round(r.score, 9)) for r in toxicity.score(asked, joined).collect()) == got
+
+
 def test_toxicity_without_labels(odd, none, insults):
     _, _, known = insults
     model = toxicity.fit(odd, known.filter("doc_id < 0"))

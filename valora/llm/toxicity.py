@@ -3,8 +3,9 @@
 A character trigram model is counted over all documents. A word that mixes letters with digits or signs, repeats a letter three times
 or stands with spaces between its letters is a noisy image of plain words: each sign may stand for a letter, separate or be
 noise, a repeated letter may be kept or dropped. Viterbi finds the most probable reading of this lattice under the trigram model. Any other word has
-one path through its lattice and is its own reading. Features are the read words and their beginnings. How often each is in toxic and in other documents
-is counted over all labelled rows that may be learned from; a feature's weight is its shrunken log-odds, the score that of the strongest few.
+one path through its lattice and is its own reading. Features are the read words and their beginnings, told apart by 64-bit hashes. How often each is in
+toxic and in other documents is counted over all labelled rows that may be learned from; a feature's weight is its shrunken log-odds, the score that of
+the strongest few. Only features with weight are kept, and those without that are known and longer than one with weight, which they override.
 
 Rows: null and empty texts have no features and score the share of toxic rows. Repeated labels count as toxic if any is; labels of
 unknown or null ids are ignored, and without any labels every score is 0. Repeated words in a text count once. Texts are scored whole. Other columns are kept.
@@ -13,16 +14,15 @@ unknown or null ids are ignored, and without any labels every score is 0. Repeat
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import blake2b
 import re
 import unicodedata
-from struct import Struct
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from valora.llm.common import broadcast_if_small, Memo, slices
+from valora.llm.common import broadcast_if_small, Memo, slices, text_key
 from valora.session import materialize
 
 #: Letters of the character model besides the boundary, and what signs may stand for.
@@ -34,7 +34,6 @@ MARKS = ".,;:!?*%&#$\"'()[]{}<>-_/\\=+~^`|"
 #: Costs in nats: a sign as a letter, as noise or as a boundary; a separator as noise or as a boundary; a third equal letter kept, a repeated one dropped.
 SIGN_LETTER, SIGN_LOST, SIGN_BREAK, MARK_LOST, MARK_BREAK, THIRD_KEPT, REPEAT_LOST = 1.0, 9.0, 2.0, 0.5, 1.0, 3.0, 0.7
 N = len(LETTERS) + 2  # with the boundary, 0, and any other letter, N - 1
-BUCKETS = 2 ** 20
 BEGINNINGS = (6, 5, 4)
 #: A feature's counts are shrunk by so many rows of the overall share; the score adds so many of the strongest weights.
 SHRINK, STRONGEST = 3.0, 2
@@ -46,6 +45,9 @@ CREDIT = 3
 LEAST_RATE = 0.75
 CHUNK_ROWS = 1000
 MOST_LABELS = 4_000_000
+#: Kept features that are sent to all executors, 16 bytes each; more are joined.
+MOST_WEIGHTS = 2_000_000
+NO_FEATURE = bytes(8)
 
 
 def letter_numbers() -> np.ndarray:
@@ -147,42 +149,50 @@ class Channel:
         return [*plain, *(w for w in self.read(core).split() if w not in plain)]
 
 
-def features_of(word: str) -> tuple[int, ...]:
-    """Numbers of a word and of its beginnings, the longest first; BUCKETS where there is none."""
-    whole = crc32(word.encode("utf-8", "surrogatepass"), 1) % BUCKETS if len(word) > 2 else BUCKETS
-    return whole, *(crc32(word[:n].encode("utf-8", "surrogatepass")) % BUCKETS if len(word) > n else BUCKETS for n in BEGINNINGS)
+def features_of(word: str) -> bytes:
+    """64-bit hashes of a word and of its beginnings, the longest first; 0 where there is none."""
+    whole = blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8, salt=b"whole").digest() if len(word) > 2 else NO_FEATURE
+    return whole + b"".join(blake2b(word[:n].encode("utf-8", "surrogatepass"), digest_size=8).digest() if len(word) > n else NO_FEATURE for n in BEGINNINGS)
 
 
 class Reader:
-    """Feature numbers of texts, a row for each word."""
+    """Features of texts, a row for each word."""
 
     def __init__(self, model: np.ndarray):
         channel = Channel(model)
-        pack = Struct(f"{1 + len(BEGINNINGS)}i").pack
-        self.memo = Memo(lambda token: b"".join([pack(*features_of(w)) for w in channel.words(token)]))
+        self.memo = Memo(lambda token: b"".join(map(features_of, channel.words(token))))
 
-    def features(self, text: str | None) -> np.ndarray:
+    def pieces(self, text: str | None) -> list[str]:
+        """What is read of a text, each once: its tokens, then those that are spaced out."""
         tokens = (text or "").lower().split()
-        parts = list(map(self.memo.__getitem__, tokens))
+        parts = dict.fromkeys(tokens)
         # Three or more single characters in a row may be one word that is spaced out.
         single = np.concatenate([[0], np.fromiter(map(len, tokens), np.int64, len(tokens)) == 1, [0]]).astype(np.int8)
         turns = np.flatnonzero(np.diff(single))
         for a, b in zip(turns[::2].tolist(), turns[1::2].tolist()):
             if b - a >= 3:
-                parts.append(self.memo[" ".join(tokens[a:b])])
-        return np.frombuffer(b"".join(parts), np.int32).reshape(-1, 1 + len(BEGINNINGS))
+                parts[" ".join(tokens[a:b])] = None
+        return list(parts)
+
+    def features(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, self.pieces(text))), np.int64).reshape(-1, 1 + len(BEGINNINGS))
+
+    def found(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Each feature once and where it stands first in the flattened ``features``."""
+        each, first = np.unique(self.features(text), return_index=True)
+        return each[each != 0], first[each != 0]
 
 
 @dataclass
 class Model:
     characters: object  # broadcast log-probabilities
-    weights: object  # broadcast weight by feature
+    weights: object  # broadcast features, sorted, and their weights; or a table (feature, weight)
     share: float
 
 
 def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", learn: Column | None = None) -> Model:
     """Learn from the rows of ``labels`` where ``learn``, a condition on the documents, holds. All such rows are used; what reaches the driver are the
-    character counts and two counts for each of BUCKETS features, whatever the input's size."""
+    character counts, the number of features and at most MOST_WEIGHTS weights, whatever the input's size."""
     sc = documents.sparkSession.sparkContext
     kinds = sc.broadcast(letter_numbers().tobytes())
     characters = sc.broadcast(character_model(documents, text_col, kinds))
@@ -196,51 +206,85 @@ def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     rows = rows.join(single, (F.col("id") == F.col("labelled")) & (F.col("key") == F.col("own"))).select("text", "label")
 
     def count(batches):
-        reader, total = Reader(characters.value), np.zeros((2, BUCKETS + 1), np.int64)
+        reader, n = Reader(characters.value), 1 + len(BEGINNINGS)
         for batch in slices(batches):
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                side = total[int(label > 0)]
-                side[np.setdiff1d(reader.features(text), [BUCKETS])] += 1
-                side[BUCKETS] += 1
-        found = np.flatnonzero(total.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[1][found]), pa.array(total[0][found])], names=["feature", "toxic", "other"])
-
-    counts = np.zeros((2, BUCKETS + 1))
-    summed = rows.mapInArrow(count, "feature int, toxic bigint, other bigint").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    table = summed.toArrow()
-    counts[:, table.column("feature").to_numpy()] = table.column("toxic").to_numpy(), table.column("other").to_numpy()
-    (toxic, other), (toxics, others) = counts[:, :-1], counts[:, -1]
+            labels = np.array(batch.column(1).to_pylist()) > 0
+            each, shorter, toxic = [np.zeros(1, np.int64)], [np.zeros((1, n - 1), np.int64)], [np.zeros(1, np.int64)]
+            for text, label in zip(batch.column(0).to_pylist(), labels):
+                words = reader.features(text)
+                found, first = np.unique(words, return_index=True)
+                each.append(found)
+                shorter.append(np.where(np.arange(1, n) > first[:, None] % n, words[first // n, 1:], 0))
+                toxic.append(np.full(len(found), label, np.int64))
+            found, first, which = np.unique(np.concatenate(each), return_index=True, return_inverse=True)
+            rows, bad = np.bincount(which), np.bincount(which, np.concatenate(toxic)).astype(np.int64)
+            # 0 is no feature; it stands for all rows.
+            rows[found == 0], bad[found == 0] = len(labels), labels.sum()
+            shorter = np.concatenate(shorter)[first]
+            shorter[found == 0] = 0
+            yield pa.RecordBatch.from_arrays([pa.array(found), *(pa.array(shorter[:, i]) for i in range(n - 1)), pa.array(bad), pa.array(rows - bad)],
+                                             names=["feature", *parents, "toxic", "other"])
+
+    parents = [f"p{n}" for n in BEGINNINGS]
+    types = ", ".join(f"{c} bigint" for c in ["feature", *parents, "toxic", "other"])
+    counts = materialize(rows.mapInArrow(count, types).groupBy("feature", *parents).agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "features")
+    total = counts.filter("feature = 0").first()
+    toxics, others = (total["toxic"], total["other"]) if total else (0, 0)
     share = float(toxics / max(1.0, toxics + others))
+    if not 0 < share < 1:
+        return Model(characters, sc.broadcast((np.zeros(0, np.int64), np.zeros(0))), share)
+    counts = counts.filter("feature <> 0")
     # Odds in excess of the overall odds, with SHRINK rows of the overall share added. A feature counts if its excess is significant
     # among as many features as were seen: the likelihood ratio of its own share exceeds their number.
-    rate = (toxic + SHRINK * share) / np.maximum(toxic + other + SHRINK, 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        own = toxic / np.maximum(toxic + other, 1)
-        ratio = np.where(toxic > 0, toxic * np.log(own / share), 0) + np.where(other > 0, other * np.log((1 - own) / (1 - share)), 0)
-        excess = np.log(rate / (1 - rate)) - np.log(share / (1 - share))
-    seen = max(2, int((toxic + other > 0).sum()))
-    weights = np.where((own > share) & (ratio > np.log(seen)) & (rate > LEAST_RATE), np.nan_to_num(excess), 0.0)
+    toxic, other = F.col("toxic"), F.col("other")
+    rate = (toxic + SHRINK * share) / (toxic + other + SHRINK)
+    own = toxic / (toxic + other)
+    ratio = F.when(toxic > 0, toxic * F.log(own / share)).otherwise(0.0) + F.when(other > 0, other * F.log((1 - own) / (1 - share))).otherwise(0.0)
+    excess = F.log(rate / (1 - rate)) - float(np.log(share / (1 - share)))
+    telling = counts.filter((own > share) & (ratio > float(np.log(max(2, counts.count())))) & (rate > LEAST_RATE) & (excess > 0))
+    telling = materialize(telling.select("feature", "toxic", "other", excess.alias("weight")), "telling")
     # Words that stand in the same few toxic rows as a well-known one are its company: each toxic row is credited to the feature that is in most
     # of them, and features with little credit are unknown.
-    support = sc.broadcast(np.append(np.where(weights > 0, toxic, 0), 0).astype(np.int32))
 
-    def credit(batches):
-        reader, rank, total = Reader(characters.value), support.value, np.zeros(BUCKETS + 1, np.int64)
+    def company(batches):
+        reader = Reader(characters.value)
         for batch in slices(batches):
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if label > 0:
-                    found = reader.features(text).reshape(-1)
-                    if len(found) and rank[best := found[np.argmax(rank[found])]] > 0:
-                        total[best] += 1
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found])], names=["feature", "credit"])
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found, first = reader.found(text)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), key)), pa.array(found), pa.array(first)], names=["key", "feature", "at"])
+
+    toxic_rows = rows.filter("label > 0").select(F.xxhash64("text").alias("key"), "text").mapInArrow(company, "key bigint, feature bigint, at bigint")
+    credits = toxic_rows.join(broadcast_if_small(telling.select("feature", "toxic"), MOST_WEIGHTS), "feature") \
+        .groupBy("key").agg(F.max_by("feature", F.struct("toxic", -F.col("at"))).alias("feature")).groupBy("feature").agg(F.count("*").alias("credit"))
+    weighty = telling.filter(toxic + other >= EVIDENCE).join(credits.filter(F.col("credit") >= CREDIT), "feature").select("feature", "weight")
+    weighty = materialize(weighty, "weighty")
+    few = broadcast_if_small(weighty.select(F.col("feature").alias("shorter")), MOST_WEIGHTS)
+    plain = counts.filter(toxic + other >= EVIDENCE).join(broadcast_if_small(telling.select("feature"), MOST_WEIGHTS), "feature", "left_anti") \
+        .select("feature", F.explode(F.array(*parents)).alias("shorter")).join(few, "shorter", "left_semi").select("feature").distinct()
+    weights = materialize(weighty.unionByName(plain.withColumn("weight", F.lit(0.0))), "weights")
+    if weights.count() > MOST_WEIGHTS:
+        return Model(characters, weights, share)
+    held = weights.orderBy("feature").toArrow()
+    return Model(characters, sc.broadcast((held.column("feature").to_numpy(), held.column("weight").to_numpy())), share)
+
+
+def strength(documents: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """(h1, h2, strong): the weights of the strongest words by the text's hashes, where a text has any; for more weights than are sent to all executors."""
+    characters = model.characters
+
+    def words(batches):
+        reader = Reader(characters.value)
+        for batch in slices(batches):
+            for text, h1, h2 in zip(*(c.to_pylist() for c in batch.columns)):
+                found = np.unique(reader.features(text), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), h1)), pa.array(np.full(len(found), h2)), pa.array(range(len(found)), pa.int32()),
+                                                  pa.array(found.tolist(), pa.list_(pa.int64()))], names=["h1", "h2", "word", "features"])
 
-    credits = np.zeros(BUCKETS)
-    table = rows.filter("label > 0").mapInArrow(credit, "feature int, credit bigint").groupBy("feature").agg(F.sum("credit").alias("credit")).toArrow()
-    credits[table.column("feature").to_numpy()] = table.column("credit").to_numpy()
-    unknown = (toxic + other < EVIDENCE) | (weights > 0) & (credits < CREDIT)
-    weights = np.append(np.where(unknown, np.nan, weights), np.nan)
-    return Model(characters, sc.broadcast(weights.astype(np.float32)), share)
+    rows = documents.select(F.col(text_col).alias("text"), *text_key(F.col(text_col))).filter("text IS NOT NULL").dropDuplicates(["h1", "h2"])
+    each = rows.mapInArrow(words, "h1 bigint, h2 bigint, word int, features array<bigint>").select("h1", "h2", "word", F.posexplode("features").alias("at", "feature"))
+    judged = each.filter("feature <> 0").join(model.weights, "feature").groupBy("h1", "h2", "word").agg(F.min_by("weight", "at").alias("weight"))
+    top = F.slice(F.sort_array(F.collect_set("weight"), asc=False), 1, STRONGEST)
+    return judged.filter("weight > 0").groupBy("h1", "h2").agg(F.aggregate(top, F.lit(0.0), lambda a, b: a + b).alias("strong"))
 
 
 def score(documents: DataFrame, model: Model, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
@@ -248,17 +292,32 @@ def score(documents: DataFrame, model: Model, *, text_col: str = "text", score_c
     kept = [c for c in documents.columns if c != score_col]
     characters, shared, share = model.characters, model.weights, model.share
     base = float(np.log(share / (1 - share))) if 0 < share < 1 else (40.0 if share else -40.0)
+    if isinstance(shared, DataFrame):
+        strong = strength(documents, model, text_col).select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("strong").alias("__strong"))
+        h1, h2 = text_key(F.col(text_col))
+        joined = documents.select(*kept, h1.alias("__k1"), h2.alias("__k2")).join(strong, (F.col("__k1") == F.col("__h1")) & (F.col("__k2") == F.col("__h2")), "left")
+        return joined.select(*kept, (1 / (1 + F.exp(-(base + F.coalesce("__strong", F.lit(0.0)))))).alias(score_col))
 
     def run(batches):
-        reader, weights = Reader(characters.value), shared.value
+        reader, (features, weights) = Reader(characters.value), shared.value
+        # The last place stands for features that are not kept.
+        features, weights = np.append(features, np.iinfo(np.int64).max), np.append(weights, np.nan)
+
+        def telling(token: str) -> tuple[float, ...]:
+            """Weights above 0 of the words of a token, each judged by its longest kept feature."""
+            found = np.frombuffer(reader.memo.function(token), np.int64).reshape(-1, 1 + len(BEGINNINGS))
+            at = np.searchsorted(features, found)
+            kept_ones = np.where(features[at] == found, weights[at], np.nan)
+            word = kept_ones[:, -1]
+            for shorter in range(len(BEGINNINGS) - 1, -1, -1):
+                word = np.where(np.isnan(kept_ones[:, shorter]), word, kept_ones[:, shorter])
+            return tuple(word[word > 0].tolist())
+
+        memo = Memo(telling)
         for batch in slices(batches):
             scores = []
             for text in batch.column(text_col).to_pylist():
-                found = weights[reader.features(text)]
-                word = found[:, -1]
-                for shorter in range(len(BEGINNINGS) - 1, -1, -1):
-                    word = np.where(np.isnan(found[:, shorter]), word, found[:, shorter])
-                strong = np.unique(word[word > 0])[-STRONGEST:].sum()
+                strong = sum(sorted({w for token in reader.pieces(text) for w in memo[token]})[-STRONGEST:])
                 scores.append(1.0 / (1.0 + np.exp(-(base + float(strong)))) if share else 0.0)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(scores, pa.float64())], names=[*kept, score_col])
 
