@@ -1,7 +1,8 @@
 """Training-corpus pipeline: five stages over ``documents``, each written as Parquet and read again by the next.
 
-Toxic documents go, later copies of repeated line runs go, one document of each group of near duplicates stays, documents that
-hold benchmark passages go, and what is left is encoded. Each stage works on all that the one before kept.
+Toxic documents go, later copies of repeated line runs go, and with them the documents that had words and have none left; one document of each
+group of near duplicates stays, documents that hold benchmark passages go, and what is left is encoded. Each stage works on all that the one
+before kept.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from valora.llm import bpe, decontaminate, jaccard, linededup, toxicity
+from valora.llm.common import SPACED_WORD, text_of
 from valora.llm.registry import table
 from valora.session import materialize
 
@@ -25,7 +27,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return linededup.without_later_copies(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """Documents that had words and have none after go; null texts and texts without words stay."""
+    worded = text_of().rlike(SPACED_WORD)
+    left = linededup.without_later_copies(docs.withColumn("__worded", worded)).filter(~F.col("__worded") | worded)
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

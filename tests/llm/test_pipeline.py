@@ -64,6 +64,24 @@ def test_run_is_the_stages(spark, corpus):
     assert corpus_pipeline.run(spark, folder).count() == len([i for i in corpus[1] if i < 200 and not corpus[2][i]]) + 5
 
 
+def test_one_row_of_each_group_of_copies(spark, tmp_path):
+    """Exact and near copies of several lines; rows without words stay as they are."""
+    rnd = random.Random(21)
+    prose = lambda: " ".join("".join(rnd.choice(("ba", "de", "li", "mo", "nu", "ra")) for _ in range(3)) for _ in range(25))
+    exact, near = [prose() for _ in range(4)], [prose() for _ in range(12)]
+    changed = [*near[:5], near[5] + " changed", *near[6:]]
+    texts = {1: "\n".join(exact), 2: "\n".join(exact), 3: "\n".join(exact), 4: "\n".join(near), 5: "\n".join(changed), 6: "\n".join(changed), 7: prose(), 8: "", 9: None, 10: " \n "}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.materialize(corpus_pipeline.drop_repeated_lines(spark, docs, str(tmp_path)), "lines")
+    assert left.columns == docs.columns
+    kept = {r.doc_id for r in left.collect()}
+    assert kept & {1, 2, 3} == {1} and kept & {6} == set() and kept >= {4, 7, 8, 9, 10}
+    once = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, left, str(tmp_path)).collect()}
+    assert once & {1, 2, 3} == {1} and once >= {4} and 6 not in once
+    # The line that a near copy does not share is no copy: it stays, and nothing but it.
+    assert [r.text for r in left.collect() if r.doc_id == 5] == [near[5] + " changed"]
+
+
 def test_pipeline_of_empty_tables(spark, corpus, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         table(spark, corpus[0], name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
