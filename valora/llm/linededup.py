@@ -10,7 +10,7 @@ stops at the longest such stretch, at most ``min_words`` lines, and the runs are
 every place in an interval but its first is a later copy.
 
 Rows: null and empty texts have no lines and stay as they are. Lines of white space are passed over, and go where they lie inside a
-deleted stretch. Words are counted by spaces. The order of copies is by id, text hash and line; a null id comes last. Rows that repeat both id
+deleted stretch. Words are what white space parts. The order of copies is by id, text hash and line; a null id comes last. Rows that repeat both id
 and text count as one document and are treated alike. A run may repeat within a text. Other columns are kept.
 """
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from valora.llm.common import text_of
+from valora.llm.common import SPACED_WORD, text_of
 from valora.session import materialize, scratch_tables
 
 MIN_WORDS = 10
@@ -30,7 +30,7 @@ def lines_of(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = F.transform(F.split(text_of(text_col), "\n", -1), lambda x, i: F.struct(i.alias("line"), x.alias("content")))
     wordy = F.filter(rows, lambda x: x["content"].rlike(r"[^\x20\x09-\x0D]"))
     return documents.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.posexplode(wordy).alias("nth", "x")) \
-        .select("id", "key", "nth", "x.line", F.size(F.split("x.content", " ")).alias("n_words"),
+        .select("id", "key", "nth", "x.line", F.regexp_count("x.content", F.lit(SPACED_WORD)).alias("n_words"),
                 F.xxhash64(F.lit(1), "x.content").alias("h1"), F.xxhash64(F.lit(2), "x.content").alias("h2"))
 
 
