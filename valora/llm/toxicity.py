@@ -1,6 +1,6 @@
 """Toxicity of texts: restore disguised words by a noisy channel, then score the restored text.
 
-A character trigram model is counted over all documents. A word that mixes letters with digits or signs, repeats a letter three times
+A character trigram model is counted over all documents. A word that mixes letters with digits or signs, repeats a letter
 or stands with spaces between its letters is a noisy image of plain words: each sign may stand for a letter, separate or be
 noise, a repeated letter may be kept or dropped. Viterbi finds the most probable reading of this lattice under the trigram model. Any other word has
 one path through its lattice and is its own reading. Features are the read words and their beginnings, told apart by 64-bit hashes. How often each is in
@@ -31,6 +31,7 @@ SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
          "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "µ": "u"}
 #: Marks at a word's edges.
 MARKS = ".,;:!?*%&#$\"'()[]{}<>-_/\\=+~^`|"
+OPENING = "".join(c for c in MARKS if c not in SIGNS)
 #: Costs in nats: a sign as a letter, as noise or as a boundary; a separator as noise or as a boundary; a third equal letter kept, a repeated one dropped.
 SIGN_LETTER, SIGN_LOST, SIGN_BREAK, MARK_LOST, MARK_BREAK, THIRD_KEPT, REPEAT_LOST = 1.0, 9.0, 2.0, 0.5, 1.0, 3.0, 0.7
 N = len(LETTERS) + 2  # with the boundary, 0, and any other letter, N - 1
@@ -91,10 +92,15 @@ def character_model(documents: DataFrame, text_col: str, kinds) -> np.ndarray:
     return np.log(smooth).astype(np.float32).reshape(-1)
 
 
+def bare(token: str) -> str:
+    """A token without the marks at its edges; signs that may stand for a letter stay at its beginning."""
+    return token.rstrip(MARKS).lstrip(OPENING)
+
+
 class Channel:
     """Reads disguised words."""
 
-    SUSPECT = re.compile(r"(.)\1\1|[^\W\d_][\W\d_]+[^\W\d_]|^[\W\d_]+[^\W\d_]|[^\W\d_][\W\d_]+$")
+    SUSPECT = re.compile(r"(.)\1|[^\W\d_][\W\d_]+[^\W\d_]|^[\W\d_]+[^\W\d_]|[^\W\d_][\W\d_]+$")
 
     def __init__(self, model: np.ndarray):
         self.model, self.number = model.tolist(), {c: i + 1 for i, c in enumerate(LETTERS)}
@@ -140,7 +146,7 @@ class Channel:
 
     def words(self, token: str) -> list[str]:
         """The plain words of a lower-cased token; quick where there is one reading."""
-        core = token.rstrip(MARKS).lstrip("".join(c for c in MARKS if c not in SIGNS))
+        core = bare(token)
         if not core or core.isalpha() and not self.SUSPECT.search(core):
             return [core] if core else []
         plain = re.findall(r"[^\W\d_]+", core)
@@ -166,7 +172,8 @@ class Reader:
         """What is read of a text, each once: its tokens, then those that are spaced out."""
         tokens = (text or "").lower().split()
         parts = dict.fromkeys(tokens)
-        # Three or more single characters in a row may be one word that is spaced out.
+        # Three or more single characters in a row, marks aside, may be one word that is spaced out.
+        tokens = [t if len(t) == 1 else bare(t) for t in tokens]
         single = np.concatenate([[0], np.fromiter(map(len, tokens), np.int64, len(tokens)) == 1, [0]]).astype(np.int8)
         turns = np.flatnonzero(np.diff(single))
         for a, b in zip(turns[::2].tolist(), turns[1::2].tolist()):
