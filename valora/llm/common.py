@@ -7,6 +7,7 @@ import string
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from valora.session import materialize, scratch_tables
 
@@ -86,6 +87,25 @@ def chunks(sizes: list[int], most: int):
         yield begin, len(sizes)
 
 
+def numbered(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """The rows with their place ``name``, from 0, in the ``order`` of their ``group``, as a kept table.
+
+    One range sort over all groups; a group may lie in many ranges, and a sum over the sizes of its ranges gives each one's first place. Nulls are a
+    group, and come first in the order. Equal rows are told apart by where they were read, so that even these are spread over ranges.
+    """
+    rows = df.withColumn("__tie", F.monotonically_increasing_id())
+    by = [group, *order, "__tie"]
+    with scratch_tables(df.sparkSession):
+        ranges = materialize(rows.repartitionByRange(*by).sortWithinPartitions(*by).drop("__tie")
+                             .withColumn("__range", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id()), "ranges")
+        parts = ranges.groupBy(F.col(group).alias("__group"), F.col("__range").alias("__part")).agg(F.min("__at").alias("__first"), F.count("*").alias("__size"))
+        # One row per group and range.
+        before = Window.partitionBy("__group").orderBy("__part")
+        parts = materialize(parts.select("__group", "__part", (F.sum("__size").over(before) - F.col("__size") - F.col("__first")).alias("__shift")), "parts")
+        placed = ranges.join(parts, F.col(group).eqNullSafe(F.col("__group")) & (F.col("__range") == F.col("__part")))
+        return materialize(placed.withColumn(name, F.col("__at") + F.col("__shift")).select(*df.columns, name), "numbered", kept=True)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable by links, for every node that has one.
 

@@ -64,3 +64,71 @@ passed AS (SELECT stratum, rule, min(step) AS limit_ FROM r WHERE step > 0 AND g
 gone AS (SELECT DISTINCT doc_id FROM (UNPIVOT s ON {", ".join(r.name for r in quality.RULES)} INTO NAME rule VALUE step) JOIN passed USING (stratum, rule) WHERE step >= limit_)
 SELECT g.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND gone.doc_id IS NULL AS kept
 FROM g LEFT JOIN gone USING (doc_id)"""
+
+
+RANKED = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+t AS (SELECT doc_id, x, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS x FROM d) GROUP BY ALL),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d),
+l AS (SELECT doc_id, 100 - 50 + (50 * len(w) * docs) // terms AS m FROM d, s WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, x FROM (SELECT item_id, unnest(w) AS x FROM (SELECT item_id, {_WORDS} AS w FROM benchmark))),
+g AS (SELECT x, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM t, s GROUP BY x),
+r AS (SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM q JOIN g USING (x) JOIN t USING (x) JOIN l USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 50"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+def _crc32(text: str) -> str:
+    """Bit by bit over the text's bytes."""
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    values = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+    return f"xor(list_reduce([4294967295] || {values}, lambda c, b: {step}), 4294967295)"
+
+
+MANIFEST = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') AS lang, lang IS NOT NULL AS named, {_leaf("n_chars")} AS leaf, {_leaf("(n_chars + 1)")} AS tampered,
+                            {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 AS touched FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY named, lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY named, lang) AS size FROM d),
+up AS (SELECT named, lang, size, 0 AS level, pos, leaf AS node FROM p UNION ALL
+       SELECT named, lang, size, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM up WHERE (1 << level) < size GROUP BY named, lang, size, level, pos // 2),
+subroots AS (SELECT named, lang, node AS subroot, row_number() OVER (ORDER BY named, lang) - 1 AS pos, count(*) OVER () AS size FROM up WHERE (1 << level) >= size),
+top AS (SELECT size, 0 AS level, pos, subroot AS node FROM subroots UNION ALL
+        SELECT size, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM top WHERE (1 << level) < size GROUP BY size, level, pos // 2),
+root AS (SELECT node AS root FROM top WHERE (1 << level) >= size),
+steps AS (SELECT doc_id, up.level, up.pos < p.pos // (1 << up.level) AS before, up.node FROM p JOIN up USING (named, lang)
+          WHERE (1 << up.level) < p.size AND up.pos = xor(p.pos // (1 << up.level), 1)
+          UNION ALL
+          SELECT doc_id, 100 + top.level, top.pos < subroots.pos // (1 << top.level), top.node FROM p JOIN subroots USING (named, lang) JOIN top
+          ON (1 << top.level) < subroots.size AND top.pos = xor(subroots.pos // (1 << top.level), 1)),
+high AS (SELECT p.doc_id, p.leaf, p.tampered, p.touched, p.size, subroots.size AS tops, subroots.subroot, root.root FROM p JOIN subroots USING (named, lang), root),
+fold AS (SELECT doc_id, 0 AS level, CASE WHEN touched THEN tampered ELSE leaf END AS node, size, tops FROM high UNION ALL
+         SELECT fold.doc_id, CASE WHEN fold.level < 100 AND (1 << least(fold.level, 30)) >= size THEN 100 ELSE fold.level + 1 END,
+                CASE WHEN fold.level < 100 AND (1 << least(fold.level, 30)) >= size THEN fold.node
+                     ELSE sha256(CASE WHEN before THEN steps.node ELSE '' END || fold.node || CASE WHEN NOT before THEN steps.node ELSE '' END) END, size, tops
+         FROM fold LEFT JOIN steps USING (doc_id, level) WHERE fold.level < 100 OR (1 << greatest(fold.level - 100, 0)) < tops),
+proofs AS (SELECT doc_id, string_agg(node, '' ORDER BY level) AS proof FROM steps GROUP BY doc_id)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, fold.node AS folded_root, fold.node = root AS verified
+FROM high JOIN fold USING (doc_id) LEFT JOIN proofs USING (doc_id) WHERE fold.level >= 100 AND (1 << greatest(fold.level - 100, 0)) >= fold.tops"""
+
+
+def _jumped(shards: int) -> str:
+    return f"""(WITH RECURSIVE j AS (SELECT doc_id, CAST(('0x' || sha256(coalesce(length(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'))[1:16]) AS UBIGINT) AS state,
+    CAST(0 AS BIGINT) AS shard, CAST(0 AS BIGINT) AS next FROM documents UNION ALL
+  SELECT doc_id, state, next, CAST(floor((next + 1) * (2147483648.0::DOUBLE / CAST((state >> 33) + 1 AS DOUBLE))) AS BIGINT)
+  FROM (SELECT doc_id, next, CAST((CAST(state AS HUGEINT) * 2862933555777941757 + 1) % 18446744073709551616 AS UBIGINT) AS state FROM j WHERE next < {shards}))
+SELECT doc_id, CAST(max(shard) AS INTEGER) AS shard FROM j GROUP BY doc_id)"""
+
+
+SHARDS = f"""
+WITH s AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) + 8 AS BIGINT) AS size, coalesce(text, '') AS text FROM documents)
+SELECT doc_id, size, {_crc32("text")} AS text_crc32, 'key' AS law, now_.shard, row_number() OVER (PARTITION BY now_.shard ORDER BY doc_id) - 1 AS slot, grown.shard AS grown_shard
+FROM s JOIN {_jumped(24)} now_ USING (doc_id) JOIN {_jumped(25)} grown USING (doc_id)"""

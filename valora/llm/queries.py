@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from valora.llm import bpe, decontaminate, htmltext, jaccard, licenses, linededup, oracles, quality, secretscan, toxicity, wordpiece
+from valora.llm import (
+    bpe, decontaminate, htmltext, jaccard, lexical, licenses, linededup, manifest, oracles, quality, secretscan, sharding, toxicity, wordpiece,
+)
 from valora.llm.registry import query, table
 
 
@@ -94,3 +96,29 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per page: its main text and the text's length in code points."""
     return htmltext.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op11_ranked_lexical_search", oracles.RANKED)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per benchmark item: its 50 best documents by whole-number scores."""
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
+@query("op12_merkle_manifest", oracles.MANIFEST)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its leaf, the roots above, a digest of its witness, and the root that the witness gives after some counts were changed."""
+    documents = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = manifest.leaf_of("doc_id", "source", "lang", F.col("n_chars") + 1, "text")
+    touched = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 0
+    found = manifest.manifest(documents, fields=fields, carry={"tampered": F.when(touched, F.unhex(changed))})
+    folded = manifest.folded(F.coalesce(manifest.hexed("tampered"), F.col("leaf")), "witness")
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join(manifest.siblings("witness"), ""), 256).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_sharding", oracles.SHARDS)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its shard of 24 by its id, its place there, and its shard of 25."""
+    return sharding.text_sizes(table(spark, sf_dir, "documents"), 24).select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
