@@ -35,6 +35,8 @@ from valora.session import materialize, scratch_tables
 BLOCK_CHARS = 200_000
 #: (document, term) entries of one portion of a task, documents at or below which a node is scored, (run, term) cells that are bounded at once.
 PORTION, LEAF, CELLS = 400_000, 48, 500_000
+#: Terms by which ranges are told apart: the sample that finds the ranges holds no more of a vector.
+HEAD = 6
 #: Parts in which the tasks' answers for an item are ranked before they meet.
 PARTS = 64
 # The score's whole-number scale, saturation and length factor in percent.
@@ -228,8 +230,8 @@ def ranked_block(docs: DataFrame, items: list[tuple], top: int) -> DataFrame:
     named = vectors.filter(F.size("terms") > 0)
     # Documents of one vector are spread by length and id, so no group of copies has to stay in one range.
     like = named.mapInArrow(sort_terms, named.schema).withColumn("tie", F.monotonically_increasing_id())
-    by = ["terms", "n", "id", "tie"]
-    found = like.repartitionByRange(*by).sortWithinPartitions(*by).drop("tie") \
+    rest = ["n", "id", "tie"]
+    found = like.repartitionByRange(F.slice("terms", 1, HEAD), *rest).sortWithinPartitions("terms", *rest).drop("tie") \
         .mapInArrow(searched(weights, wanted, total.documents or 0, total.terms or 1, top), f"item int, id {kind}, score bigint")
     found = materialize(found.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(PARTS))).withColumn("tie", F.monotonically_increasing_id()), "found")
     best = [F.col("score").desc(), F.col("id").asc_nulls_last(), "tie"]
