@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from valora.catalogue.registry import ROW_ORDER, performances, query, rounded, table
 from valora.operators.relational import latest_split
-from valora.plans import explain, features, models
+from valora.plans import explain, features, gram, models
 from valora.session import materialize
 
 LIGHT = {"RandomForest": {"numTrees": 10, "maxDepth": 5}, "GBT": {"maxIter": 5}}
@@ -45,6 +45,62 @@ def ridge_fit(spark, sf):
     return rounded(fitted.transform(data), 4, "prediction").select("l_orderkey", "l_linenumber", "l_suppkey", "prediction")
 
 
+# Normal equations for three features, by Cramer's rule: variances grow by penalty / n, which is the ridge of standardised features.
+_X, _PAIRS = (1, 2, 3), [(i, j) for i in (1, 2, 3) for j in (1, 2, 3) if i <= j]
+
+
+def _det(rows) -> str:
+    a, b, c = rows
+    return " + ".join(f"{a[i]} * ({b[(i + 1) % 3]} * {c[(i + 2) % 3]} - {b[(i + 2) % 3]} * {c[(i + 1) % 3]})" for i in range(3))
+
+
+def _cell(i: int, j: int, column: int | None = None) -> str:
+    if j == column:
+        return f"c{i}y"
+    return f"(c{min(i, j)}{max(i, j)}{' * (1 + penalty / n)' if i == j else ''})"
+
+
+_MATRIX = {column: _det([[_cell(i, j, column) for j in _X] for i in _X]) for column in (None, *_X)}
+_GRAM_SQL = f"""
+r AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag AS flag, CAST(l_orderkey % 5 AS INTEGER) AS fold, l_extendedprice AS y,
+             l_quantity AS x1, coalesce(nullif(l_discount, 0.05), 0) AS x2, l_tax AS x3 FROM lineitem),
+s AS (SELECT flag, fold, count(*) AS n, sum(y) AS sy, {", ".join(f"sum(x{i}) AS s{i}, sum(x{i} * y) AS s{i}y" for i in _X)},
+             {", ".join(f"sum(x{i} * x{j}) AS s{i}{j}" for i, j in _PAIRS)}
+      FROM (SELECT * FROM r UNION ALL SELECT * REPLACE ('all' AS flag) FROM r) GROUP BY ALL),
+o AS (SELECT s.flag, k.fold AS held_out, sum(n) AS n, sum(sy) AS sy, {", ".join(f"sum(s{i}) AS s{i}, sum(s{i}y) AS s{i}y" for i in _X)},
+             {", ".join(f"sum(s{i}{j}) AS s{i}{j}" for i, j in _PAIRS)}
+      FROM s JOIN (SELECT DISTINCT fold FROM s UNION ALL SELECT NULL) k ON k.fold IS DISTINCT FROM s.fold GROUP BY ALL),
+c AS (SELECT *, {", ".join(f"s{i}y / n - s{i} / n * sy / n AS c{i}y" for i in _X)}, {", ".join(f"s{i}{j} / n - s{i} / n * s{j} / n AS c{i}{j}" for i, j in _PAIRS)}
+      FROM o, (VALUES ('LinearRegression', 0.0::DOUBLE), ('Ridge', 10.0::DOUBLE)) p(model, penalty)),
+w AS (SELECT *, {", ".join(f"({_MATRIX[i]}) / ({_MATRIX[None]}) AS w{i}" for i in _X)} FROM c),
+g AS (SELECT flag, model, held_out, CAST(n AS BIGINT) AS n, sy / n - {" - ".join(f"w{i} * s{i} / n" for i in _X)} AS intercept, w1, w2, w3 FROM w)"""
+
+
+def _gram_rows(spark, sf):
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", F.col("l_returnflag").alias("flag"), (F.col("l_orderkey") % 5).cast("int").alias("fold"),
+        F.col("l_extendedprice").alias("y"), F.col("l_quantity").alias("x1"), F.nullif("l_discount", F.lit(0.05)).alias("x2"), F.col("l_tax").alias("x3"))
+
+
+@query("gram_models", f"""
+WITH {_GRAM_SQL} SELECT flag, model, held_out, n, round(intercept, 4) AS intercept, round(w1, 4) AS w1, round(w2, 4) AS w2, round(w3, 4) AS w3 FROM g""")
+def gram_models(spark, sf):
+    """Linear and ridge models of three groups and their total, each for all rows and for five folds held out: one scan."""
+    sums = gram.gram_sums(_gram_rows(spark, sf), ["x1", "x2", "x3"], "y", ["flag"], "fold", total="all")
+    fitted = gram.fit(sums, ["flag"])
+    weights = {f"w{i + 1}": F.get("weights", F.lit(i)) for i in range(3)}
+    return rounded(fitted.withColumns(weights).drop("weights"), 4, "intercept", *weights)
+
+
+@query("gram_predictions", f"""
+WITH {_GRAM_SQL} SELECT l_orderkey, l_linenumber, l_suppkey, model, round(intercept + w1 * x1 + w2 * x2 + w3 * x3, 2) AS y_pred
+FROM r JOIN g ON g.flag = r.flag AND held_out = fold""")
+def gram_predictions(spark, sf):
+    """Every line predicted by the two models of its group that did not see its fold."""
+    found = gram.out_of_fold(_gram_rows(spark, sf), ["x1", "x2", "x3"], "y", ["flag"], "fold")
+    return rounded(found, 2, "y_pred").select("l_orderkey", "l_linenumber", "l_suppkey", "model", "y_pred")
+
+
 @query("oof_predictions", """
 WITH f AS (SELECT CAST(o_orderkey % 5 AS INTEGER) AS fold, o_totalprice AS y, CAST(o_custkey AS DOUBLE) AS x FROM orders),
 s AS (SELECT k.fold, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM f JOIN (SELECT DISTINCT fold FROM f) k ON f.fold <> k.fold

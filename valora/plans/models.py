@@ -18,12 +18,14 @@ from pyspark.ml import Model
 from pyspark.ml.base import Estimator
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from valora import config
 from valora.operators.relational import columns_with, latest_split
+from valora.plans import gram
 from valora.plans.metrics import RESULT_KEYS, regression_metrics
 from valora.session import materialize
 
@@ -145,12 +147,38 @@ def _predictions(data: DataFrame, seasons: int, name: str, stage: str, position:
                          *KEY, F.col(LABEL).alias("y_true"), "y_pred")
 
 
-def _groups(data: DataFrame, labels: Sequence[str]) -> tuple[dict[str, tuple[DataFrame, int]], dict[str, int]]:
-    """Position subsets with enough rows and their number of seasons, and the sizes of the others, from one aggregate."""
+def _linear_predictions(data: DataFrame, names: Sequence[str], stage: str, groups: Mapping[str, tuple[Column, int, int]]) -> DataFrame:
+    """The linear models of all groups from one scan for the sums and one for the predictions.
+
+    ``groups`` maps a position to its condition, its number of seasons and its latest one, which is predicted by the seasons before;
+    a group of one season is predicted fold by fold.
+    """
+    label, part, asked = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(False)
+    for name, (member, seasons, latest) in groups.items():
+        newest = F.col("season") == latest
+        label = F.when(member, F.lit(name)).otherwise(label)
+        part = F.when(member, newest.cast("int") if seasons >= 2 else F.col("__fold")).otherwise(part)
+        asked = F.when(member, newest if seasons >= 2 else F.lit(True)).otherwise(asked)
+    rows = data.withColumns({"position": label, "__part": part, "__asked": asked}).filter("position IS NOT NULL")
+    x, penalties = vector_to_array("features"), {n: gram.PENALTIES[n] for n in names}
+    solved = gram.fit(gram.gram_sums(rows, x, LABEL, ["position"], "__part"), ["position"], penalties)
+    scored = gram.predict(rows.filter("__asked"), solved, x, ["position"], "__part")
+    return scored.select("model", F.lit(stage).alias("stage"), "position", *KEY, F.col(LABEL).alias("y_true"), "y_pred")
+
+
+def _split_models(models: Sequence[str], overrides: Overrides | None) -> tuple[list[str], list[str]]:
+    """(models that come from sums of products, models that are fitted)."""
+    linear = [m for m in models if m in gram.PENALTIES and not (overrides or {}).get(m)]
+    return linear, [m for m in models if m not in linear]
+
+
+def _groups(data: DataFrame, labels: Sequence[str]) -> tuple[dict[str, tuple[Column, int, int]], dict[str, int]]:
+    """Position subsets with enough rows, as (condition, number of seasons, latest season), and the sizes of the others, from one aggregate."""
     member = {label: F.col(f"pos_{label}") == 1.0 for label in labels}
     sizes = data.agg(*[c for label, m in member.items() for c in (
-        F.count_if(m).alias(f"n_{label}"), F.countDistinct(F.when(m, F.col("season"))).alias(f"s_{label}"))]).first()
-    large = {label: (data.filter(m), sizes[f"s_{label}"]) for label, m in member.items()
+        F.count_if(m).alias(f"n_{label}"), F.countDistinct(F.when(m, F.col("season"))).alias(f"s_{label}"),
+        F.max(F.when(m, F.col("season"))).alias(f"l_{label}"))]).first()
+    large = {label: (m, sizes[f"s_{label}"], sizes[f"l_{label}"]) for label, m in member.items()
              if sizes[f"n_{label}"] >= config.MIN_GROUP_ROWS}
     return large, {label: sizes[f"n_{label}"] for label in labels if label not in large}
 
@@ -173,9 +201,11 @@ def train_global(df: DataFrame, stage: str, tuned: bool = True, models: Sequence
     """Results of all models on all positions: latest season as test, or 5-fold
     out-of-fold predictions when there is only one season."""
     data = _stored_vectors(df, f"{stage}-global")
-    seasons = data.agg(F.countDistinct("season")).first()[0]
-    return _evaluate(run_fits(df.sparkSession, [
-        lambda m=m: _predictions(data, seasons, m, stage, "global", tuned, overrides, draws) for m in models]))
+    seasons, latest = data.agg(F.countDistinct("season"), F.max("season")).first()
+    linear, fitted = _split_models(models, overrides)
+    found = [_linear_predictions(data, linear, stage, {"global": (F.lit(True), seasons, latest)})] if linear else []
+    return _evaluate([*found, *run_fits(df.sparkSession, [
+        lambda m=m: _predictions(data, seasons, m, stage, "global", tuned, overrides, draws) for m in fitted])])
 
 
 def train_position_aware(df: DataFrame, stage: str, tuned: bool = True, models: Sequence[str] = BASE_MODELS,
@@ -183,13 +213,15 @@ def train_position_aware(df: DataFrame, stage: str, tuned: bool = True, models:
     """Results of separate models per position group; small groups have their size and no metrics."""
     data = _stored_vectors(df, f"{stage}-positions")
     large, small = _groups(data, ["DEF", "MID", "FWD"])
+    if not large:
+        raise ValueError(f"no position group has {config.MIN_GROUP_ROWS} rows")
+    linear, fitted = _split_models(models, overrides)
+    found = [_linear_predictions(data, linear, stage, large)] if linear else []
     tasks = [
-        lambda m=m, label=label, part=part, seasons=seasons:
+        lambda m=m, label=label, part=data.filter(member), seasons=seasons:
             _predictions(part, seasons, m, stage, label, tuned, overrides, draws)
-        for label, (part, seasons) in large.items() for m in models]
-    if not tasks:
-        raise ValueError(f"no position group has {config.MIN_GROUP_ROWS} rows")
-    return _with_small(_evaluate(run_fits(df.sparkSession, tasks)), small, models, stage)
+        for label, (member, seasons, _) in large.items() for m in fitted]
+    return _with_small(_evaluate([*found, *run_fits(df.sparkSession, tasks)]), small, models, stage)
 
 
 def stacked_predictions(data: DataFrame, stage: str, position: str, tuned: bool = True,
@@ -227,7 +259,7 @@ def train_stacked(df: DataFrame, stage: str, tuned: bool = True, overrides: Over
     subsets, small = {"global": data}, {}
     if positions:
         large, small = _groups(data, ["DEF", "MID", "FWD"])
-        subsets |= {label: part for label, (part, s) in large.items() if s >= 2}
+        subsets |= {label: data.filter(member) for label, (member, s, _) in large.items() if s >= 2}
     results = _evaluate([stacked_predictions(part, stage, label, tuned, overrides, draws)
                          for label, part in subsets.items()])
     return _with_small(results, small, [STACKED], stage)
