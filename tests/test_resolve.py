@@ -70,9 +70,10 @@ def test_threshold_is_inclusive(spark):
     assert crosswalk(spark, [(1, 2022, "", "abcdf", D)], market, threshold=80.5) == {1: (None, "unmatched")}
 
 
-@pytest.mark.parametrize("limit", [0, 5, 10_000])
-def test_large_blocks_find_the_same_best_names(spark, limit):
-    """One block holds most names; keys and direct comparison must agree with brute force."""
+@pytest.mark.parametrize("ranked", [0, 5, 10_000])
+def test_large_blocks_find_the_same_best_names(spark, monkeypatch, ranked):
+    """One block holds most names; keys in any order must agree with brute force."""
+    monkeypatch.setattr(resolve, "RANKED_GRAMS", ranked)
     r = random.Random(11)
     syllables = ["an", "to", "ri", "mel", "sa", "kov", "ber", "lin", "de", "ma", "sch", "o", "ez", "vic"]
     word = lambda: "".join(r.choice(syllables) for _ in range(r.randint(1, 3)))
@@ -86,7 +87,7 @@ def test_large_blocks_find_the_same_best_names(spark, limit):
     left = [(misspell(n), b) for _, n, b, _ in right for _ in range(2)]
     rdf = spark.createDataFrame(right, "id BIGINT, rname STRING, block STRING, ord INT")
     ldf = spark.createDataFrame(left, "lname STRING, block STRING")
-    got = {(x.block, x.lname): (x.id, round(x.score, 9)) for x in resolve.best_similar(ldf, rdf, 80.0, limit).collect()}
+    got = {(x.block, x.lname): (x.id, round(x.score, 9)) for x in resolve.best_similar(ldf, rdf, 80.0).collect()}
     expected = {}
     for name, block in left:
         best = max(((token_set_score(name, n), -i) for i, n, b, _ in right if b == block), default=(0, 0))
@@ -113,10 +114,27 @@ def test_one_large_block_of_random_names_equals_brute_force(spark):
     rdf = spark.createDataFrame([(i, n, "one", i) for i, n in enumerate(rights)], "id BIGINT, rname STRING, block STRING, ord INT")
     ldf = spark.createDataFrame([(n, "one") for n in lefts], "lname STRING, block STRING")
     for threshold in (70.0, 80.0, 92.0):
-        got = {x.lname: (x.id, round(x.score, 9)) for x in resolve.best_similar(ldf, rdf, threshold, 0).collect()}
+        got = {x.lname: (x.id, round(x.score, 9)) for x in resolve.best_similar(ldf, rdf, threshold).collect()}
         expected = {}
         for name in lefts:
             score, i = max((token_set_score(name, n), -i) for i, n in enumerate(rights))
             if score >= threshold:
                 expected[name] = (-i, round(score, 9))
         assert got == expected and len(expected) > 100
+        pairs = resolve.candidate_pairs(ldf, rdf.select("block", "rname"), threshold).collect()
+        assert len(pairs) == len(set(pairs)) < len(lefts) * len(rights) / 2
+
+
+def test_no_distinct_over_pairs(spark):
+    """Pairs are emitted once by the join itself: no exchange follows it."""
+    ldf = spark.createDataFrame([("ab cd", "b")], "lname STRING, block STRING")
+    rdf = spark.createDataFrame([("ab ce", "b")], "rname STRING, block STRING")
+    plan = resolve.candidate_pairs(ldf, rdf, 80.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Distinct" not in plan
+
+
+def test_names_without_letters_or_blocks(spark):
+    ldf = spark.createDataFrame([("", "b"), (None, "b"), ("ab cd", None), ("ab cd", "b"), ("ab cd", "b")], "lname STRING, block STRING")
+    rdf = spark.createDataFrame([(1, "", "b", 1), (2, "ab cd", None, 2), (3, "ab cd", "b", 3), (4, "cd ab", "b", 4)], "id BIGINT, rname STRING, block STRING, ord INT")
+    assert [tuple(r) for r in resolve.best_similar(ldf, rdf, 80.0).collect()] == [("b", "ab cd", 3, 100.0)]
+    assert resolve.best_similar(ldf.limit(0), rdf, 80.0).count() == 0 and resolve.best_similar(ldf, rdf.limit(0), 80.0).count() == 0

@@ -81,24 +81,29 @@ def random_pair(r):
     return " ".join(a), " ".join(words)
 
 
-def test_score_and_signature_keys_against_brute_force():
+@pytest.mark.parametrize("frequent", [{}, "all"])
+def test_score_and_signatures_against_brute_force(frequent):
     r = random.Random(5)
     hits = 0
     for _ in range(6000):
         a, b = random_pair(r)
         score = similarity.token_set_score(a, b)
         assert score == pytest.approx(brute_score(a, b))
+        ranks = {g: r.random() for g in similarity.bigrams(a) + similarity.bigrams(b) if r.random() < 0.7} if frequent else {}
         for threshold in (70.0, 80.0, 90.0):
             if score >= threshold:
                 hits += 1
-                left, right = similarity.signature_keys(a, threshold)[0], similarity.signature_keys(b, threshold)[1]
-                assert set(left) & set(right), (a, b, score)
+                (grams_a, own_a, whole_a), (grams_b, own_b, whole_b) = (similarity.signature(x, threshold, ranks) for x in (a, b))
+                shared = sorted(set(similarity.bigrams(a)) & set(similarity.bigrams(b)), key=lambda g: (ranks.get(g, 0), g))[:2]
+                in_both = [g for g in grams_a if g in grams_b][:2]
+                assert in_both == shared and len(shared) == 2 or set(own_a) & set(whole_b) or set(whole_a) & set(own_b), (a, b, score)
     assert hits > 3000
 
 
-def test_signature_keys_refuse_low_thresholds():
+def test_signatures_refuse_low_thresholds():
     with pytest.raises(ValueError):
-        similarity.signature_keys("a b", 60)
+        similarity.signature("a b", 60, {})
+    assert similarity.signature(" ", 80, {}) == ([], [], [])
 
 
 @pytest.mark.parametrize("label, year, pivoted", [

@@ -10,7 +10,9 @@ when ``I`` is not empty, ``I`` vs each of them. Similarity of strings x, y is
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 from functools import lru_cache
+from hashlib import blake2b
 from itertools import combinations
 
 import pandas as pd
@@ -67,70 +69,65 @@ def token_set_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 # Below this score two similar names need not share enough bigrams to be found by keys.
 MIN_THRESHOLD = 200 / 3
-BIGRAM_CHANNEL = "3|"
+#: Second half of a key that stands for a token or a pair of tokens: of the left side's long ones, of the right side's long ones.
+LEFT_LONG, RIGHT_LONG = -1, -2
 
 
-def signature_keys(name: str, threshold: float) -> tuple[list[str], list[str]]:
-    """Join keys ``(left, right)`` of a name such that any two names scoring at least
-    ``threshold`` have a left key of one among the right keys of the other.
+def _hashed(key: str) -> int:
+    return int.from_bytes(blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def bigrams(name: str) -> list[int]:
+    """Space-padded bigrams of the distinct tokens, each packed into one number with its place among its repeats."""
+    seen: dict[int, int] = {}
+    packed = []
+    for token in sorted(set(name.split())):
+        padded = f" {token} "
+        for first, second in zip(padded, padded[1:]):
+            gram = ord(first) << 21 | ord(second)
+            seen[gram] = seen.get(gram, 0) + 1
+            packed.append(gram << 21 | seen[gram])
+    return packed
+
+
+def signature(name: str, threshold: float, ranks: Mapping[int, int]) -> tuple[list[int], list[int], list[int]]:
+    """``(grams, own, whole)`` of a name, such that of any two names scoring at least ``threshold`` both have the two first of
+    all bigrams they share among their ``grams``, or one has a key in ``own`` that the other has in ``whole``.
 
     Write ``c = threshold / 100``, ``A'`` for the distinct sorted tokens joined by spaces.
 
-    * Channels 1 and 2, large shared part. ``I`` vs ``A'`` reaches ``c`` only if
-      ``|I| >= c / (2 - c) * |A'|`` (a token subset is the case ``|I| = |A'|``). Either one
-      token alone is that long, or at least two tokens are shared. Taking tokens longest
+    * Large shared part. ``I`` vs ``A'`` reaches ``c`` only if ``|I| >= c / (2 - c) * |A'|`` (a token subset is the case
+      ``|I| = |A'|``). Either one token alone is that long, or at least two tokens are shared. Taking tokens longest
       first until one taken token plus all others cannot be long enough, two shared tokens
-      must be among the taken ones. That side emits only those; the other side emits all
-      its tokens and token pairs.
-    * Channel 3, similar strings. With ``d`` the indel distance, turning one space-padded
+      must be among the taken ones. ``own`` holds only those; ``whole`` holds all tokens and token pairs.
+    * Similar strings. With ``d`` the indel distance, turning one space-padded
       string into the other destroys at most two bigrams per deletion and one per insertion, so
       both share at least ``LCS + 1 - d`` bigrams, whatever the order of their tokens. From
       ``d <= (1 - c)(n + m)`` and ``m >= n c / (2 - c)`` this is at least
-      ``n (3c - 2) / (2 - c) + 1``, two or more for ``c > 2/3``. By the prefix-filter principle
-      two shared bigrams lie among the first ``(n + 1) - minimum + 2`` of each side in any
-      fixed order (rare letters first here).
+      ``n (3c - 2) / (2 - c) + 1``, two or more for ``c > 2/3``. All but ``minimum - 2`` bigrams, in any fixed order, hold at least two of
+      the shared ones, and so the first two. ``ranks`` gives the order, the rarest first: bigrams without a rank come before all others.
     """
     if threshold <= MIN_THRESHOLD:
-        raise ValueError(f"signature keys need a threshold above {MIN_THRESHOLD:.1f}")
+        raise ValueError(f"signatures need a threshold above {MIN_THRESHOLD:.1f}")
     tokens = sorted(set(name.split()), key=lambda t: (-len(t), t))
     if not tokens:
-        return [], []
+        return [], [], []
     c = threshold / 100.0
     joined = len(tokens) - 1 + sum(map(len, tokens))
     need = c / (2 - c) * joined - 1e-9
+    pairs = lambda some: [" ".join(sorted(p)) for p in combinations(some, 2)]
 
-    all_keys = [*tokens, *(" ".join(sorted(p)) for p in combinations(tokens, 2))]
-    own = [t for t in tokens if len(t) >= need]
     taken, left_out = [], joined
     for token in tokens:
         taken.append(token)
         left_out -= len(token) + 1
         if len(taken) >= 2 and len(tokens[0]) + 1 + max(left_out, 0) < need:
             break
-    own += [" ".join(sorted(p)) for p in combinations(taken, 2)]
+    own = [*(t for t in tokens if len(t) >= need), *pairs(taken)]
 
     minimum = math.ceil(joined * (3 * c - 2) / (2 - c) + 1 - 1e-9)
-    grams = _ranked_bigrams(tokens)[: joined + 1 - minimum + 2]
-    pairs = [BIGRAM_CHANNEL + a + b for a, b in combinations(grams, 2)]
-    left = ["1|" + k for k in own] + ["2|" + k for k in all_keys] + pairs
-    right = ["1|" + k for k in all_keys] + ["2|" + k for k in own] + pairs
-    return left, right
-
-
-_RARE_FIRST = str.maketrans("zqjxkvbywgpfmucdlhrsnioate ", "abcdefghijklmnopqrstuvwxyz{")
-
-
-def _ranked_bigrams(tokens: list[str]) -> list[str]:
-    """Space-padded bigrams of the token set, numbered per repeat, rare letters first."""
-    seen: dict[str, int] = {}
-    grams = []
-    for token in tokens:
-        padded = f" {token} "
-        for i in range(len(padded) - 1):
-            gram = padded[i : i + 2]
-            seen[gram] = seen.get(gram, 0) + 1
-            grams.append((gram.translate(_RARE_FIRST), seen[gram]))
-    return [f"{g}{n}" for g, n in sorted(grams)]
+    grams = sorted(bigrams(name), key=lambda g: (ranks.get(g, 0), g))[: joined + 1 - minimum + 2]
+    return grams, [*map(_hashed, own)], [*map(_hashed, [*tokens, *pairs(tokens)])]
 
 
 def profile(name: str) -> tuple[int, int, int, int, int]:
@@ -147,30 +144,41 @@ def profile(name: str) -> tuple[int, int, int, int, int]:
         if count <= 4:
             letters[slot // 13] |= 1 << (slot % 13 * 4 + count - 1)
     grams = [0, 0]
-    for gram in _ranked_bigrams(tokens):
-        bit = sum(ord(c) * 31**i for i, c in enumerate(gram)) * 2654435761 % (1 << 32) % 126
+    for gram in bigrams(name):
+        bit = gram * 2654435761 % (1 << 61) % 126
         grams[bit // 63] |= 1 << (bit % 63)
     return len(" ".join(tokens)), *letters, *grams
 
 
 PROFILE = ["length", "letters_a", "letters_b", "grams_a", "grams_b"]
-SIGNATURE = ("keys ARRAY<STRING>, length INT, letters_a BIGINT, letters_b BIGINT, "
+SIGNATURE = ("grams ARRAY<BIGINT>, own ARRAY<BIGINT>, whole ARRAY<BIGINT>, length INT, letters_a BIGINT, letters_b BIGINT, "
              "grams_a BIGINT, grams_b BIGINT")
 
 
-def signature_udf(threshold: float, side: int):
-    """Arrow UDF giving the left (0) or right (1) keys of each name and its profile."""
+def signature_udf(threshold: float, ranks: Mapping[int, int]):
+    """Arrow UDF giving each name's signature and profile."""
 
     @F.pandas_udf(SIGNATURE)
-    def signature(names: pd.Series) -> pd.DataFrame:
-        rows = [(list(dict.fromkeys(signature_keys(n, threshold)[side])), *profile(n)) for n in names]
-        return pd.DataFrame(rows, columns=["keys", *PROFILE])
+    def signed(names: pd.Series) -> pd.DataFrame:
+        rows = [(*signature(n, threshold, ranks), *profile(n)) for n in names]
+        return pd.DataFrame(rows, columns=["grams", "own", "whole", *PROFILE])
+
+    return signed
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def bigrams_of(names: pd.Series) -> pd.Series:
+    return pd.Series([bigrams(n) for n in names])
+
 
-    return signature
+def size_band(length: Column, threshold: float) -> Column:
+    """Number of a band of lengths: strings similar enough lie in one band or in neighbouring ones."""
+    ratio = (2 - threshold / 100) / (threshold / 100) * (1 + 1e-9)
+    return F.floor(F.log(length) / math.log(ratio)).cast("int")
 
 
 def may_be_similar(left: str, right: str, threshold: float) -> Column:
-    """Necessary condition on two profiles for channel 3, a few integer operations.
+    """Necessary condition on two profiles for similar strings, a few integer operations.
 
     With ``d`` the largest indel distance that reaches the threshold: lengths differ by at most ``d``,
     letter counts differ by at most ``d`` in total, and each side has at most

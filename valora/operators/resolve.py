@@ -7,18 +7,19 @@ block, unmatched. A block is an attribute both sides must agree on (a birth date
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from valora import config
 from valora.functions.similarity import (
-    BIGRAM_CHANNEL, MIN_THRESHOLD, PROFILE, may_be_similar, signature_udf, token_set_similarity,
+    LEFT_LONG, MIN_THRESHOLD, PROFILE, RIGHT_LONG, bigrams_of, may_be_similar, signature_udf, size_band, token_set_similarity,
 )
 from valora.operators.relational import known, left_join, order_struct
 from valora.session import materialize
 
-# Right names per block up to which a left name is compared with each of them.
-DIRECT_BLOCK_NAMES = 64
+#: Bigrams that are ordered by how often they occur; rarer ones come before them, by their letters.
+RANKED_GRAMS = 20_000
 
 
 def exact_ids(right: DataFrame, keys: Sequence[str], id_column: str, order_cols: Sequence[str | Column],
@@ -35,44 +36,58 @@ def exact_match(left: DataFrame, right: DataFrame, keys: Sequence[str], id_colum
     return left_join(left, exact_ids(right, keys, id_column, order_cols, keep, alias), keys)
 
 
-def _large_block_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """Name pairs of oversized blocks that share a signature key, without duplicates.
+def gram_ranks(names: DataFrame, name: str) -> dict[int, int]:
+    """The most frequent bigrams of all names with their rank, the most frequent one last. Any order finds all pairs; this one emits few."""
+    counts = names.select(F.explode(bigrams_of(name)).alias("gram")).groupBy("gram").count()
+    frequent = counts.orderBy(F.desc("count"), "gram").limit(RANKED_GRAMS).collect()
+    return {row.gram: len(frequent) - i for i, row in enumerate(frequent)}
 
-    Pairs that only share a pair of bigrams must also pass the profile test, which is part of the join
-    condition: a pair that fails is not emitted.
-    """
-    def keyed(names: DataFrame, name: str, side: int, alias: str) -> DataFrame:
-        signed = names.select("block", name, signature_udf(threshold, side)(name).alias("s"))
-        profile = F.struct(*[F.col(f"s.{c}").alias(c) for c in PROFILE]).alias(alias)
-        return signed.select(F.col("block").alias(f"{alias}_block"), name, profile,
-                             F.explode("s.keys").alias(f"{alias}_key"))
 
-    by_letters = F.startswith("l_key", F.lit(BIGRAM_CHANNEL))
-    condition = (F.col("l_block") == F.col("r_block")) & (F.col("l_key") == F.col("r_key")) \
-        & (~by_letters | may_be_similar("l", "r", threshold))
-    pairs = keyed(left, "lname", 0, "l").join(keyed(right, "rname", 1, "r"), condition)
-    return pairs.select(F.col("l_block").alias("block"), "lname", "rname").distinct()
+def _keyed(names: DataFrame, name: str, alias: str, signed, threshold: float) -> DataFrame:
+    """One row per key of a name: two bigrams in a band of lengths, or one hashed token (pair). Only token rows carry the token keys."""
+    left = alias == "l"
+    tokens = lambda keys, kind: F.transform(keys, lambda k: F.struct(F.lit(0).alias("band"), k.alias("a"), F.lit(kind).cast("long").alias("b")))
+    grams, band = F.col("s.grams"), size_band(F.col("s.length"), threshold)
+    pairs = F.flatten(F.transform(grams, lambda x, i: F.transform(F.slice(grams, i + 2, F.size(grams)), lambda y: F.struct(band.alias("band"), x.alias("a"), y.alias("b")))))
+    if left:
+        pairs = F.flatten(F.transform(pairs, lambda k: F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.struct((k["band"] + d).alias("band"), k["a"], k["b"]))))
+    keys = F.concat(tokens(F.col("s.own" if left else "s.whole"), LEFT_LONG), tokens(F.col("s.whole" if left else "s.own"), RIGHT_LONG), pairs)
+    rows = names.select("block", name, signed(name).alias("s")).select("block", name, "s", F.explode(keys).alias("key"))
+    token_row = F.col("key.b") < 0
+    return rows.select(F.col("block").alias(f"{alias}_block"), F.col("key.band").alias(f"{alias}_band"), F.col("key.a").alias(f"{alias}_a"), F.col("key.b").alias(f"{alias}_b"),
+                       name, F.struct("s.grams", *[f"s.{c}" for c in PROFILE], *[F.when(token_row, F.col(f"s.{c}")).alias(c) for c in ("own", "whole")]).alias(alias))
+
 
+def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """(block, lname, rname): pairs that may reach the threshold, each once, from (block, lname) and (block, rname).
 
-def best_similar(left: DataFrame, right: DataFrame, threshold: float = config.FUZZY_THRESHOLD,
-                 direct_limit: int = DIRECT_BLOCK_NAMES) -> DataFrame:
+    Names of a block meet on the keys that similar names must share. A pair is emitted at one of its keys only, the first one it
+    shares: at its two rarest shared bigrams if these and the profiles do not rule it out, else at its least shared token key. What a key's rows must carry for
+    that are a few numbers; no pair is shuffled to find its double.
+    """
+    signed = signature_udf(threshold, gram_ranks(right, "rname"))
+    l_rows, r_rows = _keyed(left, "lname", "l", signed, threshold), _keyed(right, "rname", "r", signed, threshold)
+    common = F.array_intersect("l.grams", "r.grams")
+    alike = (F.size(common) >= 2) & may_be_similar("l", "r", threshold)
+    by_left, by_right = F.array_intersect("l.own", "r.whole"), F.array_intersect("l.whole", "r.own")
+    here = F.when(F.col("l_b") >= 0, (F.slice(common, 1, 2) == F.array("l_a", "l_b")) & alike) \
+        .when(F.col("l_b") == LEFT_LONG, (F.array_min(by_left) == F.col("l_a")) & ~alike) \
+        .otherwise((F.size(by_left) == 0) & (F.array_min(by_right) == F.col("l_a")) & ~alike)
+    same = [F.col(f"l_{c}") == F.col(f"r_{c}") for c in ("block", "band", "a", "b")]
+    return l_rows.join(r_rows, reduce(Column.__and__, same) & here).select(F.col("l_block").alias("block"), "lname", "rname")
+
+
+def best_similar(left: DataFrame, right: DataFrame, threshold: float = config.FUZZY_THRESHOLD) -> DataFrame:
     """Best right name per left ``(block, lname)`` scoring at least ``threshold``.
 
-    ``right`` has one row per ``(block, rname)`` with its first order ``ord`` and an ``id``.
-    Left names meet all names of their block only while the block has at most ``direct_limit``
-    of them, so the join grows linearly with the left side. Names of larger blocks meet
-    through signature keys that every pair at or above the threshold shares: no pair is
-    lost and the block is spread over its keys.
+    ``right`` has one row per ``(block, rname)`` with its first order ``ord`` and an ``id``. No pair at or above the threshold is lost, and
+    a block of any size is spread over its keys.
     """
     if threshold <= MIN_THRESHOLD:
         raise ValueError(f"threshold must be above {MIN_THRESHOLD:.1f}")
-    sizes = right.groupBy("block").agg((F.count("*") > direct_limit).alias("large"))
-    names = left.select("block", "lname").distinct().filter("lname <> ''").join(sizes, "block")
-    index = right.select("block", "rname").filter("rname <> ''").join(sizes, "block")
-    small = names.filter("NOT large").join(index.filter("NOT large").drop("large"), "block") \
-        .select("block", "lname", "rname")
-    large = _large_block_pairs(names.filter("large"), index.filter("large"), threshold)
-    scored = small.unionByName(large) \
+    names = left.select("block", "lname").filter("block IS NOT NULL AND lname <> ''").distinct()
+    index = right.select("block", "rname").filter("block IS NOT NULL AND rname <> ''")
+    scored = candidate_pairs(names, index, threshold) \
         .withColumn("score", token_set_similarity("lname", "rname")).filter(F.col("score") >= threshold)
     # Equal scores: the candidate that comes first in the right order wins.
     best = F.min_by(F.struct("id", "score"), F.struct(-F.col("score"), F.col("ord"))).alias("best")
@@ -98,8 +113,7 @@ def method_of(*tiers: tuple[str, str]) -> Column:
 
 
 def resolve(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, full: str, last: str, block: str,
-            order_cols: Sequence[str], output_id: str = "matched_id", threshold: float = config.FUZZY_THRESHOLD,
-            direct_limit: int = DIRECT_BLOCK_NAMES) -> DataFrame:
+            order_cols: Sequence[str], output_id: str = "matched_id", threshold: float = config.FUZZY_THRESHOLD) -> DataFrame:
     """Cascade exact full name, exact last name, similar name, unmatched.
 
     ``left`` has one row per ``left_id``; both sides carry normalised ``full`` and ``last``
@@ -116,7 +130,7 @@ def resolve(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, f
     order = order_struct(order_cols)
     candidates = right.transform(known, full).groupBy(F.col(block).alias("block"), F.col(full).alias("rname")).agg(
         F.max_by(right_id, order).alias("id"), F.min(order).alias("ord"))
-    similar = best_similar(pending, candidates, threshold, direct_limit).select(
+    similar = best_similar(pending, candidates, threshold).select(
         F.col("block").alias(block), F.col("lname").alias(full), F.col("id").alias("__near_id"))
 
     # Only names that are still open look for a similar one, so the join is on those rows.
