@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from valora import config
-from valora.catalogue.registry import PERFORMANCES_SQL, ROW_ORDER, performances, query, rounded, table
+from valora.catalogue.registry import LINE_ORDER, PERFORMANCES_SQL, ROW_ORDER, performances, query, rounded, table
 from valora.functions.dates import age_at_season_end
 from valora.functions.numeric import lookup, one_hot, one_hot_label, per90, ratio
 from valora.functions.text import full_name, normalize_name
 from valora.operators import ranks, relational, rollup
+from valora.operators.order import row_order
 from valora.plans import features as stages
 from valora.plans.dataset import build_joined_dataset
 from valora.session import materialize
@@ -38,11 +39,9 @@ FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_partkey, year(l_shipdate)
   ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_suppkey, l_extendedprice) = 1""")
 def primary_club(spark, sf):
-    line = table(spark, sf, "lineitem").withColumn("season", F.year("l_shipdate"))
-    best = rollup.primary_member(["l_suppkey"], "l_quantity",
-                                 ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"])
-    return line.groupBy("l_partkey", "season").agg(best.alias("p")).select(
-        "l_partkey", "season", F.col("p.l_suppkey").alias("primary_supplier"))
+    line = table(spark, sf, "lineitem").withColumns({"season": F.year("l_shipdate"), "l_quantity": F.col("l_quantity").cast("int")})
+    best = rollup.primary_member(line, ["l_suppkey"], "l_quantity", LINE_ORDER[:3])
+    return line.groupBy("l_partkey", "season").agg(*best).withColumnRenamed("l_suppkey", "primary_supplier")
 
 
 @query("team_quality", f"""
@@ -51,8 +50,7 @@ SELECT id AS api_player_id, season, r.team AS team_id, round(ln(1 + v), 9) AS lo
 FROM rolled r JOIN team_avg USING (team, season)""")
 def team_quality(spark, sf):
     rows = performances(spark, sf)
-    primary = rollup.primary_member(["team_id"], "minutes", ROW_ORDER).alias("p")
-    clubs = rows.groupBy("api_player_id", "season").agg(primary).select("api_player_id", "season", "p.team_id")
+    clubs = rows.groupBy("api_player_id", "season").agg(*rollup.primary_member(rows, ["team_id"], "minutes", ROW_ORDER))
     quality = rollup.group_mean(rows, ["team_id", "season"], "market_value_in_eur", "v")
     return clubs.join(quality, ["team_id", "season"]).select(
         "api_player_id", "season", "team_id", F.round(F.log1p("v"), 9).alias("log_team_avg_value"))
@@ -270,9 +268,10 @@ SELECT l_partkey AS api_player_id, season, tm AS tm_player_id, v AS market_value
 FROM lineitem JOIN links ON id = l_partkey JOIN snapped USING (tm) WHERE season = year(l_shipdate) GROUP BY ALL""")
 def joined_dataset(spark, sf):
     """Flat rows, market players and dated values through crosswalk and nearest value."""
-    rows = performances(spark, sf).drop("tm_player_id", "market_value_in_eur").withColumns({
+    rows = performances(spark, sf).drop("tm_player_id", "market_value_in_eur")
+    rows = rows.withColumns({
         "full_name_norm": normalize_name(full_name(F.col("firstname"), F.col("lastname"))),
-        "last_name_norm": normalize_name(F.col("lastname")), "rec_ord": F.struct(*ROW_ORDER)})
+        "last_name_norm": normalize_name(F.col("lastname")), "rec_ord": row_order(rows, ROW_ORDER)})
     players = table(spark, sf, "part").select(
         F.col("p_partkey").alias("player_id"), full_name(F.col("p_name"), F.col("p_brand")).alias("name"),
         F.col("p_brand").alias("last_name"),

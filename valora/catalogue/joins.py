@@ -33,7 +33,7 @@ SELECT o_custkey, season, o_totalprice, o_orderdate, CAST(days_off AS INTEGER) A
 def asof_nearest(spark, sf):
     orders, years = _customer_years(spark, sf)
     found = asof.asof_nearest(orders, years, key="o_custkey", date="o_orderdate", value="o_totalprice",
-                              season="season", ties=["o_totalprice", "o_orderkey"])
+                              season="season", ties=["o_totalprice"])
     return found.withColumn("days_off", day_distance(F.col("o_orderdate"), season_day(F.col("season"))))
 
 
@@ -53,7 +53,7 @@ def asof_backward(spark, sf):
     orders, years = _customer_years(spark, sf)
     snaps = asof.asof_backward(orders, years, key="o_custkey", date="o_orderdate", value="o_totalprice",
                                season="season", outputs={"value_now": 0, "value_before": -1},
-                               ties=["o_totalprice", "o_orderkey"])
+                               ties=["o_totalprice"])
     trend = F.log1p("value_now") - F.log1p("value_before")
     return snaps.withColumns({"log_prev_value": F.round(F.log1p("value_now"), 9), "value_trend": F.round(trend, 9)})
 

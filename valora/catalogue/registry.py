@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from valora.operators.order import Bits
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -34,9 +36,10 @@ POSITION_OF_TYPE = {
     "STANDARD": "Goalkeeper", "PROMO": "",
 }
 
-# A total order on lineitem rows.
-LINE_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
-ROW_ORDER = ["o1", "o2", "o3", "o4"]
+# A total order on lineitem rows. The lines of one part need no price: no two of them share the other columns.
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
+LINE_ORDER = [Bits("l_orderkey", 40), Bits("l_linenumber", 4), Bits("l_suppkey", 30), "l_extendedprice"]
+ROW_ORDER = [Bits("o1", 40), Bits("o2", 4), Bits("o3", 30)]
 
 
 def performances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +71,7 @@ def performances(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", 1).alias("penalty_goals"),
         F.col("l_discount").alias("passes_accuracy"),
         F.when(F.col("l_returnflag") != "N", F.col("l_discount") * 10).alias("rating"),
-        *[F.col(c).alias(f"o{i + 1}") for i, c in enumerate(LINE_ORDER)],
+        *[F.col(c).alias(f"o{i + 1}") for i, c in enumerate(LINE_COLUMNS[:3])],
     )
     return rows.join(people, "l_partkey").join(league, "l_suppkey", "left").select(
         F.col("l_partkey").alias("api_player_id"), F.col("l_suppkey").alias("team_id"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from valora.catalogue.registry import LINE_ORDER, query, rounded, table
+from valora.catalogue.registry import LINE_COLUMNS, LINE_ORDER, query, rounded, table
 from valora.operators import relational
 from valora.plans import metrics, report
 
@@ -120,7 +120,7 @@ def _scored(spark, sf):
     values = line.groupBy(F.col("l_partkey").alias("api_player_id"), "season").agg(
         (F.avg("l_extendedprice") * 300).alias("predicted_eur"),
         (F.max("l_extendedprice") * 200).alias("market_value_in_eur"))
-    rows = line.select(F.col("l_partkey").alias("p_partkey"), "season", *LINE_ORDER).join(
+    rows = line.select(F.col("l_partkey").alias("p_partkey"), "season", *LINE_COLUMNS).join(
         table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("firstname"), F.col("p_brand").alias("lastname")),
         "p_partkey").withColumnRenamed("p_partkey", "api_player_id")
     return report.with_names(values, rows, LINE_ORDER)

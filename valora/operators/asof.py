@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from valora.functions.dates import season_day
+from valora.operators.order import OrderColumn, with_row_orders
 from valora.operators.relational import known
 
 
@@ -25,28 +26,29 @@ def _interval(date: Column, shift: int, month: int, day: int) -> Column:
 
 
 def _timeline(values: DataFrame, probes: DataFrame, *, key: str, date: str, value: str, season: str,
-              ties: Sequence[str], shift: int, month: int, day: int, forward: bool) -> DataFrame:
+              ties: Sequence[OrderColumn], shift: int, month: int, day: int, forward: bool) -> DataFrame:
     """One row per key and season: edge rows of the interval and whether it is probed."""
     present = values.transform(known, key, date, value).withColumn(date, F.col(date).cast("date"))
     days = F.unix_date(F.col(date))
-    hit = F.struct(F.col(date).alias("date"), F.col(value).alias("value"))
-    rank = [F.col(t) for t in ties]
+    present = with_row_orders(present, {"__latest": [-days, *ties]} | ({"__earliest": [days, *ties]} if forward else {}))
     dated = present.select(
         F.col(key), _interval(F.col(date), shift, month, day).alias(season), F.lit(False).alias("probe"),
-        hit.alias("hit"), F.struct((-days).alias("d"), *rank).alias("latest"),
-        F.struct(days.alias("d"), *rank).alias("earliest"),
+        F.col(date).alias("date"), F.col(value).alias("value"), *[c for c in ("__latest", "__earliest") if c in present.columns],
     )
     asked = probes.transform(known, key, season).select(
         F.col(key), F.col(season).cast("int").alias(season), F.lit(True).alias("probe"),
     )
-    edges = [F.max("probe").alias("probe"), F.min_by("hit", "latest").alias("last_hit")]
-    if forward:
-        edges.append(F.min_by("hit", "earliest").alias("first_hit"))
-    return dated.unionByName(asked, allowMissingColumns=True).groupBy(key, season).agg(*edges)
+    # Dates, values and orders of fixed width are combined in a hash table, without a sort.
+    wanted = {"last": "__latest"} | ({"first": "__earliest"} if forward else {})
+    edges = [F.min_by(c, order).alias(f"{name}_{c}") for name, order in wanted.items() for c in ("date", "value")]
+    line = dated.unionByName(asked, allowMissingColumns=True).groupBy(key, season).agg(F.max("probe").alias("probe"), *edges)
+    return line.select(key, season, "probe", *[
+        F.when(F.col(f"{name}_date").isNotNull(), F.struct(F.col(f"{name}_date").alias("date"), F.col(f"{name}_value").alias("value"))).alias(f"{name}_hit")
+        for name in wanted])
 
 
 def asof_backward(values: DataFrame, probes: DataFrame, *, key: str, date: str, value: str, season: str,
-                  outputs: dict[str, int], ties: Sequence[str] = (), shift: int = 0,
+                  outputs: dict[str, int], ties: Sequence[OrderColumn] = (), shift: int = 0,
                   month: int = 7, day: int = 1) -> DataFrame:
     """Latest value on or before the reference day of ``season + offset``.
 
@@ -67,7 +69,7 @@ def asof_backward(values: DataFrame, probes: DataFrame, *, key: str, date: str,
 
 
 def asof_nearest(values: DataFrame, probes: DataFrame, *, key: str, date: str, value: str, season: str,
-                 output: str | None = None, ties: Sequence[str] = (), shift: int = 1, month: int = 7, day: int = 1,
+                 output: str | None = None, ties: Sequence[OrderColumn] = (), shift: int = 1, month: int = 7, day: int = 1,
                  direction: str = "nearest", tolerance_days: int | None = None) -> DataFrame:
     """Value closest to the reference day of the season, before or after it.
 

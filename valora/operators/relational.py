@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from valora.operators.order import OrderColumn, is_fixed_width, with_row_orders
+
 
 def columns_with(df: DataFrame, prefix: str | None = None, suffix: str | None = None,
                  exclude: Sequence[str] = ()) -> list[str]:
@@ -25,22 +27,20 @@ def known(df: DataFrame, *columns: str) -> DataFrame:
     return df.filter(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])) if columns else df
 
 
-def order_struct(order_cols: Sequence[str | Column]) -> Column:
-    return F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_cols])
-
-
 def keep_other_than(df: DataFrame, column: str, value: str) -> DataFrame:
     """Case-insensitive inequality that keeps rows with a null value."""
     return df.filter(~F.lower(F.col(column)).eqNullSafe(F.lit(value.lower())))
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
+def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[OrderColumn],
                   columns: Sequence[str] | None = None) -> DataFrame:
     """First row per key in the given order. An aggregate, not a window: copies of a hot
-    key are reduced before the shuffle."""
+    key are reduced before the shuffle, in a hash table where all columns kept are of fixed width."""
     rest = [c for c in (columns or df.columns) if c not in keys]
-    kept = F.min_by(F.struct(*rest), order_struct(order_cols)).alias("kept")
-    return df.groupBy(*keys).agg(kept).select(*keys, "kept.*")
+    rows = with_row_orders(df, {"__order": order_cols})
+    if all(is_fixed_width(rows.schema[c].dataType) for c in [*rest, "__order"]):
+        return rows.groupBy(*keys).agg(*[F.min_by(c, "__order").alias(c) for c in rest])
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), "__order").alias("kept")).select(*keys, "kept.*")
 
 
 def semi_filter(df: DataFrame, ids: DataFrame, on: Mapping[str, str]) -> DataFrame:

@@ -15,23 +15,24 @@ from valora import config
 from valora.functions.similarity import (
     LEFT_LONG, MIN_THRESHOLD, PROFILE, RIGHT_LONG, bigrams_of, may_be_similar, signature_udf, size_band, token_set_similarity,
 )
-from valora.operators.relational import known, left_join, order_struct
+from valora.operators.order import OrderColumn, row_order
+from valora.operators.relational import known, left_join
 from valora.session import materialize
 
 #: Bigrams that are ordered by how often they occur; rarer ones come before them, by their letters.
 RANKED_GRAMS = 20_000
 
 
-def exact_ids(right: DataFrame, keys: Sequence[str], id_column: str, order_cols: Sequence[str | Column],
+def exact_ids(right: DataFrame, keys: Sequence[str], id_column: str, order_cols: Sequence[OrderColumn],
               keep: str = "last", alias: str | None = None) -> DataFrame:
     """One id per key of the right side: the first or last of its duplicates in order."""
     pick = {"first": F.min_by, "last": F.max_by}[keep]
     return right.transform(known, *keys).groupBy(*keys).agg(
-        pick(id_column, order_struct(order_cols)).alias(alias or id_column))
+        pick(id_column, row_order(right, order_cols)).alias(alias or id_column))
 
 
 def exact_match(left: DataFrame, right: DataFrame, keys: Sequence[str], id_column: str,
-                order_cols: Sequence[str | Column], keep: str = "last", alias: str | None = None) -> DataFrame:
+                order_cols: Sequence[OrderColumn], keep: str = "last", alias: str | None = None) -> DataFrame:
     """Left equi-join against de-duplicated ids; keys with a null never match."""
     return left_join(left, exact_ids(right, keys, id_column, order_cols, keep, alias), keys)
 
@@ -96,7 +97,7 @@ def best_similar(left: DataFrame, right: DataFrame, threshold: float = config.FU
 
 
 def exact_tiers(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, full: str, last: str,
-                block: str, order_cols: Sequence[str]) -> DataFrame:
+                block: str, order_cols: Sequence[OrderColumn]) -> DataFrame:
     """Left rows with ``__full_id`` (last duplicate wins) and ``__last_id`` (first wins)."""
     by_full = exact_ids(right, [full, block], right_id, order_cols, "last", "__full_id")
     by_last = exact_ids(right, [last, block], right_id, order_cols, "first", "__last_id")
@@ -113,7 +114,7 @@ def method_of(*tiers: tuple[str, str]) -> Column:
 
 
 def resolve(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, full: str, last: str, block: str,
-            order_cols: Sequence[str], output_id: str = "matched_id", threshold: float = config.FUZZY_THRESHOLD) -> DataFrame:
+            order_cols: Sequence[OrderColumn], output_id: str = "matched_id", threshold: float = config.FUZZY_THRESHOLD) -> DataFrame:
     """Cascade exact full name, exact last name, similar name, unmatched.
 
     ``left`` has one row per ``left_id``; both sides carry normalised ``full`` and ``last``
@@ -127,7 +128,7 @@ def resolve(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, f
     still_open = exact.filter("__full_id IS NULL AND __last_id IS NULL").transform(known, block)
     pending = still_open.transform(known, full).select(
         F.col(block).alias("block"), F.col(full).alias("lname"))
-    order = order_struct(order_cols)
+    order = row_order(right, order_cols)
     candidates = right.transform(known, full).groupBy(F.col(block).alias("block"), F.col(full).alias("rname")).agg(
         F.max_by(right_id, order).alias("id"), F.min(order).alias("ord"))
     similar = best_similar(pending, candidates, threshold).select(

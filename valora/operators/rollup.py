@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from valora.operators.relational import known, order_struct
+from valora.operators.order import OrderColumn, is_fixed_width, row_order, with_row_orders
+from valora.operators.relational import known
 
 
 @dataclass(frozen=True)
@@ -36,36 +37,36 @@ def first_non_null(column: str, order: Column) -> Column:
 
 
 def rollup(df: DataFrame, keys: Sequence[str], first: Sequence[str], sums: Sequence[str],
-           means: Sequence[WeightedMean], order_cols: Sequence[str | Column],
+           means: Sequence[WeightedMean], order_cols: Sequence[OrderColumn],
            extra: Sequence[Column] = ()) -> DataFrame:
-    """First values, null-aware sums and weighted means in a single aggregate.
+    """First values, null-aware sums and weighted means, combined map-side: a hot key costs one row per map task in the shuffle.
 
-    Every part has a partial form, so a hot key costs one row per map task in the shuffle.
-    Columns the schema declares free of nulls all come from the first row and share one
-    ordering buffer; the others each carry their own.
+    Numbers and dates are one hash aggregate, as their buffers and the packed order are of fixed width. Texts are not: they are
+    first combined by their values, each kind of row of a key with its least order, again in a hash table; what is left, a row
+    per key unless its texts differ, is picked from. ``extra`` columns are aggregates of the rows.
     """
-    order = order_struct(order_cols)
-    whole = [c for c in first if not df.schema[c].nullable]
-    if len(whole) > 1:
-        head = F.min_by(F.struct(*whole), order).alias("__head")
-        extra_names = [*sums, *[m.value for m in means]]
-        rolled = rollup(df, keys, [c for c in first if c not in whole], sums, means, order_cols, [head, *extra])
-        added = [c for c in rolled.columns if c not in (*keys, *first, *extra_names, "__head")]
-        return rolled.select(*keys, *[F.col(f"__head.{c}").alias(c) if c in whole else c for c in first],
-                             *extra_names, *added)
-    return df.transform(known, *keys).groupBy(*keys).agg(
-        *[first_non_null(c, order) for c in first],
+    rows = with_row_orders(df.transform(known, *keys), {"__order": order_cols})
+    texts = [c for c in first if not is_fixed_width(df.schema[c].dataType)]
+    if not is_fixed_width(rows.schema["__order"].dataType):
+        texts = []  # sorted anyway
+    rolled = rows.groupBy(*keys).agg(
+        *[first_non_null(c, F.col("__order")) for c in first if c not in texts],
         *[F.sum(c).alias(c) for c in sums],
         *[m.column() for m in means],
         *extra,
     )
-
-
-def primary_member(columns: Sequence[str], weight: str, ties: Sequence[str | Column]) -> Column:
-    """Struct of ``columns`` from the row with the largest weight; missing weights rank last."""
-    order = F.struct(F.isnull(weight), -F.col(weight).cast("double"),
-                     *[F.col(t) if isinstance(t, str) else t for t in ties])
-    return F.min_by(F.struct(*columns), order)
+    if not texts:
+        return rolled
+    kinds = rows.groupBy(*keys, *texts).agg(F.min("__order").alias("__order"))
+    named = kinds.groupBy(*keys).agg(*[first_non_null(c, F.col("__order")) for c in texts])
+    added = [c for c in rolled.columns if c not in (*keys, *first)]
+    return rolled.join(named, list(keys)).select(*keys, *first, *added)
+
+
+def primary_member(df: DataFrame, columns: Sequence[str], weight: str, ties: Sequence[OrderColumn]) -> list[Column]:
+    """The ``columns`` of the row with the largest weight; missing weights rank last. Each is an aggregate over one common order."""
+    order = row_order(df, [F.isnull(weight), F.coalesce(-F.col(weight), F.lit(0).cast(df.schema[weight].dataType)), *ties])
+    return [F.min_by(c, order).alias(c) for c in columns]
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:

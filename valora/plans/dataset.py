@@ -9,11 +9,13 @@ from valora.functions.dates import parse_date
 from valora.functions.numeric import parse_number
 from valora.functions.text import full_name, normalize_name
 from valora.operators.asof import asof_nearest
+from valora.operators.order import Bits, row_order
 from valora.operators.relational import attach, first_per_key, keep_other_than, known, semi_filter
 from valora.operators.resolve import resolve
 from valora.sources.tables import MarketTables
 
-_RECORD_ORDER = ["season_idx", "league_idx", "team_idx", "page", "pos"]
+# The order of records packed into one LONG: bits of season, league, team in the league, page, record on the page, entry of the record.
+_RECORD_ORDER = {"season_idx": 12, "league_idx": 9, "team_idx": 12, "page": 10, "pos": 12, "stat_pos": 8}
 
 
 def flatten_players(records: DataFrame, dedup: bool = False) -> DataFrame:
@@ -22,7 +24,8 @@ def flatten_players(records: DataFrame, dedup: bool = False) -> DataFrame:
     ``dedup`` keeps one row per player, season, team and league where the source repeats entries.
     """
     stats = records.select(
-        "season", "league_id", "player", "rec_ord", F.posexplode("statistics").alias("stat_pos", "s"))
+        "season", "league_id", "player", *[F.coalesce(f"rec_ord.{c}", F.lit(0)).alias(c) for c in _RECORD_ORDER if c != "stat_pos"],
+        F.posexplode("statistics").alias("stat_pos", "s"))
     text = lambda path: F.coalesce(F.col(path), F.lit(""))
     flat = stats.select(
         F.col("player.id").alias("api_player_id"), "season",
@@ -44,7 +47,7 @@ def flatten_players(records: DataFrame, dedup: bool = False) -> DataFrame:
         F.col("s.fouls.drawn").alias("fouls_drawn"), F.col("s.fouls.committed").alias("fouls_committed"),
         parse_number(F.col("s.games.rating")).alias("rating"),
         F.col("s.penalty.scored").alias("penalty_goals"), "league_id",
-        F.struct(*[F.col(f"rec_ord.{c}") for c in _RECORD_ORDER], "stat_pos").alias("rec_ord"),
+        row_order(stats, [Bits(c, bits) for c, bits in _RECORD_ORDER.items()]).alias("rec_ord"),
     ).withColumns({
         "full_name_norm": normalize_name(full_name(F.col("firstname"), F.col("lastname"))),
         "last_name_norm": normalize_name(F.col("lastname")),

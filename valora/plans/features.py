@@ -31,13 +31,10 @@ def aggregate_multi_club(joined: DataFrame, order_cols: Sequence[str | Column] =
     extra = []
     primary = [c for c in ("team_id", "league_id") if c in joined.columns]
     if primary:
-        extra.append(primary_member(primary, "minutes", order_cols).alias("primary"))
+        extra += primary_member(joined, primary, "minutes", order_cols)
     means = [WeightedMean("passes_accuracy", "passes_total", zero_if_all_null=not null_if_all_null),
              WeightedMean("rating", "minutes")]
-    rolled = rollup(joined, KEY, config.META_COLUMNS, config.SUM_COLUMNS, means, order_cols, extra)
-    if not primary:
-        return rolled
-    return rolled.select(*[c for c in rolled.columns if c != "primary"], "primary.*")
+    return rollup(joined, KEY, config.META_COLUMNS, config.SUM_COLUMNS, means, order_cols, extra)
 
 
 def stored_rollup(joined: DataFrame, order_cols: Sequence[str | Column] = ("rec_ord",)) -> DataFrame:
