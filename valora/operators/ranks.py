@@ -88,14 +88,18 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str, alias: str =
         .groupBy(*groups, alias).agg(F.count("*").alias("n"))
 
 
-def pct_rank(df: DataFrame, groups: Sequence[str], columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
+def pct_rank(df: DataFrame, groups: Sequence[str], columns: Sequence[str] | Mapping[str, str], keys: Sequence[str] | None = None) -> DataFrame:
     """Add average-tie percentile ranks within ``groups``; null values and groups stay null.
 
-    ``df`` is read once per column and once for the result, and ranks are joined back by
-    value: store it first when it is expensive or when the values are floating-point sums, whose
-    last bit may change when they are computed again. Per column only the groups and that column are read.
+    Values are looked up by group and value, so a row and its rank must not disagree in the last bit: store ``df`` first when its values are
+    floating-point sums that may change when they are computed again.
+
+    With ``keys`` that name each row, all columns are ranked in one pass over narrow rows (keys, groups, column, value), whose ranks
+    come back to the rows in one join by key: the wide rows are shuffled once, by a key without skew. Without, they are joined once per column, by value.
     """
-    outputs = columns if isinstance(columns, Mapping) else {c: f"{c}_pct" for c in columns}
+    outputs = dict(columns) if isinstance(columns, Mapping) else {c: f"{c}_pct" for c in columns}
+    if keys is not None:
+        return df.join(_melted_ranks(df, groups, outputs, keys), list(keys), "left").select(*df.columns, *outputs.values())
     out = df
     for source, target in outputs.items():
         counts = value_counts(df.transform(known, *groups), groups, source)
@@ -108,6 +112,18 @@ def pct_rank(df: DataFrame, groups: Sequence[str], columns: Sequence[str] | Mapp
     return out
 
 
+def _melted_ranks(df: DataFrame, groups: Sequence[str], outputs: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
+    """The keys and one column of ranks per output: rows melted to one value each, ranked per column and group, and turned back."""
+    sources = list(outputs)
+    values = F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c).cast("double").alias("__x")) for i, c in enumerate(sources)])
+    long = df.transform(known, *keys, *groups).select(*keys, *groups, F.explode(values).alias("__v")).select(*keys, *groups, "__v.__c", "__v.__x").transform(known, "__x")
+    by = [*groups, "__c"]
+    ranks = value_positions(long.groupBy(*by, "__x").agg(F.count("*").alias("n")), by, "__x") \
+        .select(*[F.col(g).alias(f"__k{i}") for i, g in enumerate(by)], F.col("__x").alias("__kx"), (average_rank() / F.col("total")).alias("__rank"))
+    condition = [F.col("__x") == F.col("__kx"), *(F.col(g) == F.col(f"__k{i}") for i, g in enumerate(by))]
+    return long.join(ranks, condition).groupBy(*keys).agg(*[F.max(F.when(F.col("__c") == i, F.col("__rank"))).alias(outputs[c]) for i, c in enumerate(sources)])
+
+
 def quantile_of_counts(counts: DataFrame, groups: Sequence[str], q: float = 0.5, alias: str = "median",
                        value: str = "__x") -> DataFrame:
     """Exact interpolated quantile per group from (group, value) counts."""

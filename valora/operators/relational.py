@@ -84,6 +84,16 @@ def left_join(df: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return matched.unionByName(df.filter(unknown).select(*df.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in added]))
 
 
+def spread_left_join(df: DataFrame, right: DataFrame, on: Sequence[str], row_key: Sequence[str]) -> DataFrame:
+    """Left equi-join in one pass: rows with a null key, which cannot match, are dealt over all tasks by their ``row_key``."""
+    unknown = reduce(Column.__or__, [F.col(c).isNull() for c in on])
+    # Zero for every row, but not a literal: the optimizer would fold that, and the join would not be dealt by it.
+    side = right.withColumnsRenamed({c: f"__on_{c}" for c in on}).withColumn("__on", F.pmod(F.xxhash64(*[f"__on_{c}" for c in on]), F.lit(1).cast("long")))
+    spread = F.when(unknown, F.xxhash64(*row_key)).otherwise(F.lit(0).cast("long"))
+    condition = reduce(Column.__and__, [F.col(c) == F.col(f"__on_{c}") for c in on], spread == F.col("__on"))
+    return df.join(side, condition, "left").select(*df.columns, *[c for c in right.columns if c not in on])
+
+
 def attach(df: DataFrame, table: DataFrame, on: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Add the columns of a table with one row per key; null keys never match."""
     return left_join(df, table if columns is None else table.select(*on, *columns), on)

@@ -16,7 +16,7 @@ from valora.functions.dates import age_at_season_end
 from valora.functions.numeric import clip_lower, indicator, lookup, one_hot, per90, ratio
 from valora.operators.asof import asof_backward
 from valora.operators.ranks import pct_rank
-from valora.operators.relational import known, period_delta
+from valora.operators.relational import known, period_delta, spread_left_join
 from valora.operators.rollup import WeightedMean, primary_member, rollup
 from valora.session import materialize
 
@@ -104,7 +104,7 @@ def value_history(df: DataFrame, valuations: DataFrame) -> DataFrame:
     probes = df.transform(known, "tm_player_id").select("tm_player_id", "season").distinct()
     snaps = asof_backward(values, probes, key="tm_player_id", date="date", value="market_value_in_eur",
                           season="season", outputs={"__now": 0, "__before": -1}, ties=["market_value_in_eur"])
-    dated = df.join(snaps, ["tm_player_id", "season"], "left")
+    dated = spread_left_join(df, snaps, ["tm_player_id", "season"], KEY)
     return dated.select(
         *df.columns, F.log1p("__now").alias("log_tm_prev_value"),
         (F.log1p("__now") - F.log1p("__before")).alias("tm_value_trend"))
@@ -118,7 +118,7 @@ def _stage3(joined: DataFrame, rolled: DataFrame, valuations: DataFrame | None,
                               ["goals", "assists", "minutes"])
         deltas = deltas.select(*KEY, "delta_goals", "delta_assists", "delta_minutes")
     df = _stage2(df, carry).withColumn("age_sq", F.col("age") * F.col("age"))
-    df = pct_rank(df, rank_groups, ["goals_p90", "assists_p90", "minutes"])
+    df = pct_rank(df, rank_groups, ["goals_p90", "assists_p90", "minutes"], keys=KEY)
     if valuations is not None:
         df = value_history(df, valuations)
     return df.join(deltas, KEY, "left") if with_delta else df
@@ -174,7 +174,7 @@ def build_stage4(joined: DataFrame, order_cols: Sequence[str | Column] = ("rec_o
         mean = (F.col("__team_sum") - F.col("market_value_in_eur")) / F.nullif(F.col("__team_n") - 1, F.lit(0))
     leagues_last = [c for c in extra if c.startswith("league_")]
     others = [c for c in df.columns if c not in leagues_last and c != "team_id"]
-    return df.join(team_quality(joined), ["team_id", "season"], "left").select(
+    return spread_left_join(df, team_quality(joined), ["team_id", "season"], KEY).select(
         *others, F.log1p(mean).alias("log_team_avg_value"), *leagues_last)
 
 
