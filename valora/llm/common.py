@@ -6,6 +6,7 @@ import hashlib
 import string
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -75,6 +76,15 @@ def slices(batches, rows: int = 500):
             yield batch.slice(begin, rows)
 
 
+def text_slices(batches, column: int | str, most: int = 2_000_000, rows: int = 500):
+    """The record batches in slices whose texts sum up to about ``most`` bytes, so that long texts do not gather either; a longer one stands alone."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for begin, end in chunks(sizes, most):
+            for at in range(begin, end, rows):
+                yield batch.slice(at, min(rows, end - at))
+
+
 def chunks(sizes: list[int], most: int):
     """Ranges of consecutive rows whose sizes sum up to about ``most``; a larger row stands alone."""
     begin, held = 0, 0

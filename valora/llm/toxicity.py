@@ -14,7 +14,7 @@ unknown or null ids are ignored, and without any labels every score is 0. Repeat
 from __future__ import annotations
 
 from dataclasses import dataclass
-from hashlib import blake2b
+from itertools import chain
 import re
 import unicodedata
 
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from valora.llm.common import broadcast_if_small, Memo, slices, text_key
+from valora.llm.common import broadcast_if_small, Memo, text_key, text_slices
 from valora.session import materialize
 
 #: Letters of the character model besides the boundary, and what signs may stand for.
@@ -44,11 +44,11 @@ EVIDENCE = 4
 CREDIT = 3
 #: A feature's shrunken share of toxic rows, at least.
 LEAST_RATE = 0.75
-CHUNK_ROWS = 1000
 MOST_LABELS = 4_000_000
 #: Kept features that are sent to all executors, 16 bytes each; more are joined.
 MOST_WEIGHTS = 2_000_000
-NO_FEATURE = bytes(8)
+#: Odd multipliers of the hashes; fixed values.
+MIX_A, MIX_B, PLACE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
 def letter_numbers() -> np.ndarray:
@@ -67,13 +67,11 @@ def counted(kinds) -> callable:
     """(text) batches to (code, n): trigrams of letters and boundaries, summed by task."""
     def run(batches):
         table, total = np.frombuffer(kinds.value, np.uint8), np.zeros(N ** 3, np.int64)
-        for batch in slices(batches):
-            texts = batch.column(0).to_pylist()
-            for i in range(0, len(texts), CHUNK_ROWS):
-                whole = "  ".join(["", *(t for t in texts[i:i + CHUNK_ROWS] if t), ""])
-                x = table[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int32)
-                if len(x) > 2:
-                    total += np.bincount((x[:-2] * N + x[1:-1]) * N + x[2:], minlength=N ** 3)
+        for batch in text_slices(batches, 0):
+            whole = "  ".join(["", *filter(None, batch.column(0).to_pylist()), ""])
+            x = table[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int32)
+            if len(x) > 2:
+                total += np.bincount((x[:-2] * N + x[1:-1]) * N + x[2:], minlength=N ** 3)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found])], names=["code", "n"])
     return run
@@ -100,7 +98,7 @@ def bare(token: str) -> str:
 class Channel:
     """Reads disguised words."""
 
-    SUSPECT = re.compile(r"(.)\1|[^\W\d_][\W\d_]+[^\W\d_]|^[\W\d_]+[^\W\d_]|[^\W\d_][\W\d_]+$")
+    DOUBLED, THRICE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
 
     def __init__(self, model: np.ndarray):
         self.model, self.number = model.tolist(), {c: i + 1 for i, c in enumerate(LETTERS)}
@@ -144,36 +142,72 @@ class Channel:
             end = end[1]
         return "".join(reversed(out))
 
+    def undoubled(self, word: str) -> str:
+        """``read`` for letters of which none stands three times in a row. A second letter of a pair is dropped where that is cheaper: the
+        paths meet again at the next letter, with the same two last letters, so each pair is decided by itself."""
+        model, out, begin = self.model, [], 0
+        numbers = [0, 0, *(self.number.get(c, N - 1) for c in word), 0]
+        for pair in self.DOUBLED.finditer(word):
+            i = pair.start()
+            before, letter, after = numbers[i + 1], numbers[i + 2], numbers[i + 4]
+            kept = -model[(before * N + letter) * N + letter] - model[(letter * N + letter) * N + after]
+            if REPEAT_LOST - model[(before * N + letter) * N + after] < kept:
+                out.append(word[begin:i + 1])
+                begin = i + 2
+        return "".join([*out, word[begin:]])
+
     def words(self, token: str) -> list[str]:
         """The plain words of a lower-cased token; quick where there is one reading."""
         core = bare(token)
-        if not core or core.isalpha() and not self.SUSPECT.search(core):
-            return [core] if core else []
+        if core.isalpha() and not self.THRICE.search(core):
+            read = self.undoubled(core) if self.DOUBLED.search(core) else core
+            return [core] if read == core else [core, read]
+        if not core:
+            return []
         plain = re.findall(r"[^\W\d_]+", core)
         if not plain and not any(x in SIGNS for x in core):
             return []
         return [*plain, *(w for w in self.read(core).split() if w not in plain)]
 
 
-def features_of(word: str) -> bytes:
-    """64-bit hashes of a word and of its beginnings, the longest first; 0 where there is none."""
-    whole = blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8, salt=b"whole").digest() if len(word) > 2 else NO_FEATURE
-    return whole + b"".join(blake2b(word[:n].encode("utf-8", "surrogatepass"), digest_size=8).digest() if len(word) > n else NO_FEATURE for n in BEGINNINGS)
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * MIX_A
+    x = (x ^ (x >> np.uint64(27))) * MIX_B
+    return x ^ (x >> np.uint64(31))
+
+
+def features_of(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words and of their beginnings, a row each, the longest first; 0 where there is none.
+
+    Every character at its place in the word has a 64-bit value, and a stretch of characters the sum of theirs: all beginnings come from one running sum.
+    """
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    out = np.zeros((len(words), 1 + len(BEGINNINGS)), np.uint64)
+    if len(words):
+        starts = np.cumsum(lengths) - lengths
+        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        places = (np.arange(len(letters)) - np.repeat(starts, lengths)).astype(np.uint64)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(letters + (places + np.uint64(1)) * PLACE))])
+        for i, n in enumerate((0, *BEGINNINGS)):
+            there = lengths > (n or 2)
+            ends = starts[there] + (n or lengths[there])
+            out[there, i] = np.maximum(mixed(sums[ends] - sums[starts[there]] + np.uint64(0 if n else 1)), np.uint64(1))
+    return out.view(np.int64)
 
 
 class Reader:
-    """Features of texts, a row for each word."""
+    """Words of texts and their features."""
 
     def __init__(self, model: np.ndarray):
         channel = Channel(model)
-        self.memo = Memo(lambda token: b"".join(map(features_of, channel.words(token))))
+        self.memo = Memo(lambda token: tuple(channel.words(token)))
 
     def pieces(self, text: str | None) -> list[str]:
         """What is read of a text, each once: its tokens, then those that are spaced out."""
         tokens = (text or "").lower().split()
         parts = dict.fromkeys(tokens)
         # Three or more single characters in a row, marks aside, may be one word that is spaced out.
-        tokens = [t if len(t) == 1 else bare(t) for t in tokens]
+        tokens = [t if len(t) == 1 or t.isalpha() else bare(t) for t in tokens]
         single = np.concatenate([[0], np.fromiter(map(len, tokens), np.int64, len(tokens)) == 1, [0]]).astype(np.int8)
         turns = np.flatnonzero(np.diff(single))
         for a, b in zip(turns[::2].tolist(), turns[1::2].tolist()):
@@ -181,8 +215,12 @@ class Reader:
                 parts[" ".join(tokens[a:b])] = None
         return list(parts)
 
+    def words(self, text: str | None) -> list[str]:
+        """The words read of a text, each once."""
+        return list(dict.fromkeys(chain.from_iterable(map(self.memo.__getitem__, self.pieces(text)))))
+
     def features(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, self.pieces(text))), np.int64).reshape(-1, 1 + len(BEGINNINGS))
+        return features_of(self.words(text))
 
     def found(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Each feature once and where it stands first in the flattened ``features``."""
@@ -190,6 +228,28 @@ class Reader:
         return each[each != 0], first[each != 0]
 
 
+def strongest(features: np.ndarray, texts: np.ndarray, kept: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` texts the sum of the strongest different weights of its words: ``features`` has a row for each word, ``texts`` its text.
+
+    A word has the weight of its longest feature among the ``kept`` ones, which are sorted. All words are looked up at once.
+    """
+    total = np.zeros(n)
+    if not len(kept):
+        return total
+    at = np.minimum(np.searchsorted(kept, features), len(kept) - 1)
+    known = kept[at] == features
+    judged = known.any(axis=1)
+    column = known.argmax(axis=1)
+    weight = np.where(judged, weights[at[np.arange(len(at)), column]], 0.0)
+    pairs = np.unique(np.column_stack([texts[weight > 0], -weight[weight > 0]]), axis=0)
+    if len(pairs):
+        text = pairs[:, 0].astype(np.int64)
+        first = np.concatenate([[True], text[1:] != text[:-1]])
+        rank = np.arange(len(text)) - np.maximum.accumulate(np.where(first, np.arange(len(text)), 0))
+        total += np.bincount(text[rank < STRONGEST], -pairs[rank < STRONGEST, 1], minlength=n)
+    return total
+
+
 @dataclass
 class Model:
     characters: object  # broadcast log-probabilities
@@ -214,7 +274,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
 
     def count(batches):
         reader, n = Reader(characters.value), 1 + len(BEGINNINGS)
-        for batch in slices(batches):
+        for batch in text_slices(batches, 0):
             labels = np.array(batch.column(1).to_pylist()) > 0
             each, shorter, toxic = [np.zeros(1, np.int64)], [np.zeros((1, n - 1), np.int64)], [np.zeros(1, np.int64)]
             for text, label in zip(batch.column(0).to_pylist(), labels):
@@ -255,7 +315,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
 
     def company(batches):
         reader = Reader(characters.value)
-        for batch in slices(batches):
+        for batch in text_slices(batches, 1):
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found, first = reader.found(text)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), key)), pa.array(found), pa.array(first)], names=["key", "feature", "at"])
@@ -281,7 +341,7 @@ def strength(documents: DataFrame, model: Model, text_col: str) -> DataFrame:
 
     def words(batches):
         reader = Reader(characters.value)
-        for batch in slices(batches):
+        for batch in text_slices(batches, 0):
             for text, h1, h2 in zip(*(c.to_pylist() for c in batch.columns)):
                 found = np.unique(reader.features(text), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), h1)), pa.array(np.full(len(found), h2)), pa.array(range(len(found)), pa.int32()),
@@ -306,26 +366,12 @@ def score(documents: DataFrame, model: Model, *, text_col: str = "text", score_c
         return joined.select(*kept, (1 / (1 + F.exp(-(base + F.coalesce("__strong", F.lit(0.0)))))).alias(score_col))
 
     def run(batches):
-        reader, (features, weights) = Reader(characters.value), shared.value
-        # The last place stands for features that are not kept.
-        features, weights = np.append(features, np.iinfo(np.int64).max), np.append(weights, np.nan)
-
-        def telling(token: str) -> tuple[float, ...]:
-            """Weights above 0 of the words of a token, each judged by its longest kept feature."""
-            found = np.frombuffer(reader.memo.function(token), np.int64).reshape(-1, 1 + len(BEGINNINGS))
-            at = np.searchsorted(features, found)
-            kept_ones = np.where(features[at] == found, weights[at], np.nan)
-            word = kept_ones[:, -1]
-            for shorter in range(len(BEGINNINGS) - 1, -1, -1):
-                word = np.where(np.isnan(kept_ones[:, shorter]), word, kept_ones[:, shorter])
-            return tuple(word[word > 0].tolist())
-
-        memo = Memo(telling)
-        for batch in slices(batches):
-            scores = []
-            for text in batch.column(text_col).to_pylist():
-                strong = sum(sorted({w for token in reader.pieces(text) for w in memo[token]})[-STRONGEST:])
-                scores.append(1.0 / (1.0 + np.exp(-(base + float(strong)))) if share else 0.0)
+        reader, (kept_features, weights) = Reader(characters.value), shared.value
+        for batch in text_slices(batches, text_col):
+            words = [reader.words(text) for text in batch.column(text_col).to_pylist()]
+            texts = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+            strong = strongest(features_of(list(chain.from_iterable(words))), texts, kept_features, weights, len(words))
+            scores = 1.0 / (1.0 + np.exp(-(base + strong))) if share else np.zeros(len(words))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(scores, pa.float64())], names=[*kept, score_col])
 
     schema = T.StructType([*(documents.schema[c] for c in kept), T.StructField(score_col, T.DoubleType())])
@@ -340,7 +386,7 @@ def restore(documents: DataFrame, model: Model, *, text_col: str = "text", resto
     def run(batches):
         channel = Channel(characters.value)
         words = Memo(lambda token: " ".join(channel.words(token)))
-        for batch in slices(batches):
+        for batch in text_slices(batches, text_col):
             texts = [" ".join(filter(None, map(words.__getitem__, (t or "").lower().split()))) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], names=[*kept, restored_col])
 
