@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from valora.llm.common import broadcast_if_small, components, digest64, Memo, slices
+from valora.llm.common import broadcast_if_small, components, digest64, Memo, text_slices
 from valora.session import materialize, scratch_tables
 
 #: Most nodes (8 bytes each) that are broadcast to pick the texts to be verified.
@@ -131,7 +131,7 @@ def signer(size: int, percent: int, spare: float):
     """(id, text) batches to (id, n, node, band, own, below). A task signs equal sets once."""
     def run(batches):
         memo, bands, seen = Memo(digest64), Bands(percent, spare), set()
-        for batch in slices(batches):
+        for batch in text_slices(batches, 1):
             sets = [shingles(t, size, memo) for t in batch.column(1).to_pylist()]
             nodes, numbers, own, below, none = [node_of(s) for s in sets], [], [], [], np.empty(0, np.uint64)
             for s, node in zip(sets, nodes):
@@ -152,7 +152,7 @@ def lister(size: int, value=lambda s: s, name: str = "shingles"):
     """(text) batches to (node, value of its set), by default the shingles themselves; a task lists equal sets once."""
     def run(batches):
         memo, seen = Memo(digest64), set()
-        for batch in slices(batches):
+        for batch in text_slices(batches, 0):
             sets = {}
             for text in batch.column(0).to_pylist():
                 s = shingles(text, size, memo)
