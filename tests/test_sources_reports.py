@@ -171,3 +171,36 @@ def test_ranking_and_lookup_over_a_scored_season(spark):
     assert gaps == sorted(gaps, reverse=True) and min(gaps) > 0
     (hit,) = report.lookup(scored, "f7 L7$").collect()
     assert (hit.name, hit.season_label) == ("F7 L7", "2024/25") and hit.verdict.startswith(hit.verdict_code)
+
+
+def _response(page, season, value, errors="[]"):
+    return (pages.request_slug("players", page=page, season=season, team=1), errors, [value])
+
+
+def _stored(spark, path):
+    rows = pages.scan_pages(spark, f"{path}/endpoint=players", "errors STRING, response ARRAY<STRING>", multiline=False)
+    return sorted((r.season, r.page, r.response[0], r.errors) for r in rows.collect())
+
+
+def test_refresh_keeps_the_newest_usable_response(spark, tmp_path):
+    schema, path, failed = "request STRING, errors STRING, response ARRAY<STRING>", str(tmp_path / "cache"), '{"rateLimit":"x"}'
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema)
+    pages.refresh_pages(frame(), path)
+    pages.refresh_pages(frame(_response(1, 2021, "a"), _response(1, 2022, "b", failed), _response(2, 2022, "c")), path)
+    pages.write_pages(frame(_response(2, 2022, "c2")), path)
+    before = {f: (f.stat().st_mtime_ns, f.read_bytes()) for f in (tmp_path / "cache" / "endpoint=players" / "season=2021").iterdir()}
+    pages.refresh_pages(frame(_response(1, 2022, "d"), _response(2, 2022, "e", failed), _response(3, 2022, "f"), _response(3, 2022, "f")), path)
+    assert _stored(spark, path) == [(2021, 1, "a", "[]"), (2022, 1, "d", "[]"), (2022, 2, "c2", "[]"), (2022, 3, "f", "[]")]
+    assert before == {f: (f.stat().st_mtime_ns, f.read_bytes()) for f in (tmp_path / "cache" / "endpoint=players" / "season=2021").iterdir()}
+    pages.refresh_pages(frame(), path)
+    assert len(_stored(spark, path)) == 4
+
+
+def test_refresh_keeps_fields_without_a_schema(spark, tmp_path):
+    folder = tmp_path / "endpoint=players" / "season=2022"
+    folder.mkdir(parents=True)
+    name = pages.request_slug("players", page=1, season=2022, team=1)
+    (folder / "part.json").write_text(json.dumps({"request": name, "errors": [], "get": "players", "response": []}) + "\n" + '{"other": 1}\n' * 2)
+    pages.refresh_pages(spark.createDataFrame([_response(2, 2022, "x")], "request STRING, errors STRING, response ARRAY<STRING>"), str(tmp_path))
+    lines = [r.value for r in spark.read.text(str(tmp_path)).collect()]
+    assert len(lines) == 3 and sum('"get": "players"' in line for line in lines) == 1 and lines.count('{"other": 1}') == 1

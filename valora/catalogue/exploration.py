@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from valora.catalogue.registry import query, rounded, table
 from valora.operators import ranks, relational, stats
+from valora.session import scratch_dir
+from valora.sources import tables
 
 
 @query("value_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
@@ -90,6 +92,28 @@ def distinct_suite(spark, sf):
         F.max(F.year("o_orderdate")).alias("newest"))
 
 
+_SKETCHED = ["l_orderkey", "l_partkey", "l_suppkey"]
+
+
+@query("distinct_sketches", f"""
+WITH l AS (SELECT *, CAST(year(l_shipdate) AS INTEGER) AS season FROM lineitem)
+{" UNION ALL ".join(f"SELECT {span} AS span, '{c}' AS column_name, count(DISTINCT {c}) AS exact, true AS within FROM l GROUP BY 1" for c in _SKETCHED for span in ("season // 3", "-1"))}""")
+def distinct_sketches(spark, sf):
+    """Sketches stored per season, merged for spans of three seasons and for all; whether they are within 2 % of the exact counts."""
+    line = table(spark, sf, "lineitem").select(*_SKETCHED, F.year("l_shipdate").alias("season"))
+    path = scratch_dir(spark, "sketches")
+    tables.write_table(stats.distinct_sketches(line, ["season"], _SKETCHED, 16), path)
+    # Every season counts for its span and for the total.
+    spans = F.explode(F.array(F.floor(F.col("season") / 3).cast("int"), F.lit(-1)))
+    estimated = stats.merged_distinct(tables.read_table(spark, path).withColumn("span", spans), ["span"], _SKETCHED)
+    melted = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}_count").alias("estimate")) for c in _SKETCHED]))
+    values = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("long").alias("value")) for c in _SKETCHED]))
+    exact = line.select("season", values).distinct().select("column_name", "value", spans.alias("span")).distinct() \
+        .groupBy("span", "column_name").agg(F.count("*").alias("exact"))
+    near = F.abs(F.col("estimate") - F.col("exact")) <= 0.02 * F.col("exact")
+    return exact.join(estimated.select("span", melted), ["span", "column_name"]).select("span", "column_name", "exact", near.alias("within"))
+
+
 @query("distinct_pairs", """
 SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders
 ORDER BY season DESC, o_custkey LIMIT 50""")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from valora.catalogue.registry import query, table
 from valora.functions.numeric import parse_number
+from valora.plans import dataset
 from valora.session import scratch_dir
 from valora.sources import pages, tables
 
@@ -118,6 +119,91 @@ def page_quarantine(spark, sf):
                        F.count_if(~pages.has_errors(F.col("errors"))).alias("usable"))
 
 
+_REFRESH_SQL = """
+o AS (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS season, CAST(floor(o_totalprice / 1000) AS INTEGER) AS minutes FROM orders),
+m AS (SELECT o_orderkey, season, season <= 1995 AND (o_orderkey % 2 = 0 OR o_orderkey % 7 = 0) AS asked, o_orderkey % 7 <> 0 AS stored,
+             o_orderkey % 5 = 0 AS was_error, o_orderkey % 3 = 0 AS is_error, minutes FROM o)"""
+
+
+@query("page_refresh", f"""
+WITH {_REFRESH_SQL}
+SELECT season, o_orderkey AS page, asked AND NOT stored AS added, minutes + CASE WHEN asked AND NOT is_error THEN 1 ELSE 0 END AS minutes
+FROM m WHERE CASE WHEN asked AND NOT is_error THEN true WHEN stored THEN NOT was_error ELSE false END""")
+def page_refresh(spark, sf):
+    """A cache of one page per order, refreshed in some seasons: error pages replaced, newer responses, late pages added; new errors replace nothing."""
+    orders = table(spark, sf, "orders")
+    season, key = F.year("o_orderdate"), F.col("o_orderkey")
+    request = pages.request_slug_column("players", team=F.lit(1), season=season, page=key)
+    minutes = F.floor(F.col("o_totalprice") / 1000).cast("int")
+
+    def responses(rows, failed, value):
+        entry = F.struct(F.struct(value.alias("minutes")).alias("games"))
+        return rows.select(request.alias("request"), F.when(failed, '{"rateLimit":"exceeded"}').otherwise("[]").alias("errors"),
+                           F.array(F.struct(F.struct(key.alias("id")).alias("player"), F.array(entry).alias("statistics"))).alias("response"))
+
+    path = scratch_dir(spark, "refreshed")
+    pages.write_pages(responses(orders.filter(key % 7 != 0), key % 5 == 0, minutes), path)
+    pages.refresh_pages(responses(orders.filter((season <= 1995) & ((key % 2 == 0) | (key % 7 == 0))), key % 3 == 0, minutes + 1), path)
+    scanned = pages.scan_pages(spark, f"{path}/{pages.EXPORTED.format(endpoint='players')}", multiline=False)
+    usable = pages.split_errors(scanned)[0].select("season", "page", F.explode("response").alias("record"))
+    return usable.select("season", F.col("page").cast("long").alias("page"), ((F.col("page") % 7 == 0) & (F.col("season") <= 1995)).alias("added"),
+                         F.get("record.statistics", F.lit(0)).games.minutes.alias("minutes"))
+
+
+_TEAMS, _KEYS_A_PAGE = 40, 100_000
+
+
+def _page_documents(orders):
+    """(name, value): orders as response pages of the client, one indented document each; team, year and a range of order keys make a page, so none grows with the table."""
+    team, season, page = F.col("o_custkey") % _TEAMS, F.year("o_orderdate"), F.floor(F.col("o_orderkey") / _KEYS_A_PAGE) + 1
+    key, minutes = F.col("o_orderkey"), F.floor(F.col("o_totalprice") / 1000).cast("int")
+
+    def entry(league, played):
+        return F.struct(
+            F.struct(team.cast("long").alias("id"), F.col("o_orderstatus").alias("name")).alias("team"), F.struct(league.alias("id")).alias("league"),
+            F.struct((played % 38).alias("appearences"), played.alias("minutes"), F.when(key % 3 == 0, "Attacker").when(key % 3 == 1, "Defender").alias("position"),
+                     F.when(key % 4 > 0, F.concat((played % 10).cast("string"), F.lit(".5"))).alias("rating")).alias("games"),
+            F.struct(F.when(key % 2 == 0, played % 7).alias("total")).alias("goals"), F.struct((key % 3).cast("int").alias("yellow")).alias("cards"),
+            F.struct((key % 100).cast("double").alias("accuracy")).alias("passes"))
+
+    born = F.when(key % 9 == 0, "unknown").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    player = F.struct(key.alias("id"), F.when(F.col("o_orderstatus") != "P", "Zoë").alias("firstname"), F.concat(F.lit("Öst "), "o_orderstatus").alias("lastname"),
+                      F.struct(born.alias("date")).alias("birth"))
+    league = F.when(key % 2 == 0, 1).otherwise(2)
+    record = F.struct(key.alias("at"), F.struct(player.alias("player"), F.array(entry(league, minutes), entry(F.lit(1), minutes + 1)).alias("statistics")).alias("record"))
+    grouped = orders.groupBy(team.alias("team"), season.alias("season"), page.alias("page")).agg(F.array_sort(F.collect_list(record)).alias("rows"))
+    failed = (F.col("team") == 3) & (F.col("season") == 1997) & (F.col("page") == 1)
+    return grouped.select(
+        pages.request_slug_column("players", **{k: F.col(k) for k in ("page", "season", "team")}).alias("name"),
+        F.concat(F.lit('{\n  "errors": '), F.when(failed, '{"rateLimit": "exceeded"}').otherwise("[]"), F.lit(',\n  "paging": {"total": '),
+                 F.when(F.col("season") == 1996, 1).otherwise(100).cast("string"), F.lit('},\n  "response": '), F.to_json("rows.record"), F.lit("\n}")).alias("value"))
+
+
+@query("flat_rows", f"""
+WITH o AS (SELECT o_orderkey AS k, CAST(year(o_orderdate) AS INTEGER) AS season, o_custkey % {_TEAMS} AS team, o_orderkey // {_KEYS_A_PAGE} + 1 AS page, o_orderstatus AS st,
+                  CAST(floor(o_totalprice / 1000) AS INTEGER) AS minutes, CAST(o_orderdate AS DATE) AS born FROM orders),
+usable AS (SELECT * FROM o WHERE NOT (team = 3 AND season = 1997 AND page = 1)),
+announced AS (SELECT DISTINCT team, season, CASE WHEN season = 1996 THEN 1 ELSE 100 END AS total FROM usable WHERE page = 1),
+kept AS (SELECT usable.* FROM usable LEFT JOIN announced USING (team, season) WHERE total IS NULL OR page <= total),
+e AS (SELECT *, minutes AS played FROM kept WHERE k % 2 = 0 UNION ALL SELECT *, minutes + 1 FROM kept)
+SELECT k AS api_player_id, season, CASE WHEN st = 'P' THEN '' ELSE 'Zoë' END AS firstname, 'Öst ' || st AS lastname, CASE WHEN k % 9 <> 0 THEN born END AS dob,
+       CASE k % 3 WHEN 0 THEN 'Attacker' WHEN 1 THEN 'Defender' ELSE '' END AS position, st AS team_name, team AS team_id, played % 38 AS appearances, played AS minutes,
+       CASE WHEN k % 2 = 0 THEN played % 7 END AS goals, CAST(k % 3 AS INTEGER) AS yellow_cards, CAST(k % 100 AS DOUBLE) AS passes_accuracy,
+       CASE WHEN k % 4 > 0 THEN played % 10 + 0.5::DOUBLE END AS rating, 1 AS league_id,
+       CASE WHEN st = 'P' THEN '' ELSE 'zoe ' END || 'ost ' || lower(st) AS full_name_norm, 'ost ' || lower(st) AS last_name_norm,
+       CAST(row_number() OVER (PARTITION BY season, team ORDER BY page, k, played) AS INTEGER) AS place
+FROM e""")
+def flat_rows(spark, sf):
+    """Pages as the client writes them, one indented document per file, to flat rows in the order of the source."""
+    path = scratch_dir(spark, "documents")
+    _page_documents(table(spark, sf, "orders")).write.partitionBy("name").text(path)
+    records = pages.load_statistics(spark, path, seasons=range(1990, 2003), league_ids=[1], fixed_teams={1: list(range(_TEAMS))}, files="name={endpoint}_*.json")
+    flat = dataset.flatten_players(records)
+    order = Window.partitionBy("season", "team_id").orderBy("rec_ord")
+    return flat.select("api_player_id", "season", "firstname", "lastname", "dob", "position", "team_name", "team_id", "appearances", "minutes", "goals", "yellow_cards",
+                       "passes_accuracy", "rating", "league_id", "full_name_norm", "last_name_norm", F.row_number().over(order).alias("place"))
+
+
 @query("csv_json_roundtrip", """
 SELECT s_suppkey, s_name, s_acctbal, n_name, n_regionkey, CAST(coalesce(k, 0) AS BIGINT) AS customers
 FROM supplier JOIN nation ON n_nationkey = s_nationkey

@@ -66,3 +66,16 @@ def histogram(df: DataFrame, value: str, bins: int, groups: Sequence[str] = ())
     return ranged.groupBy(*groups, binned.alias("bin")).agg(
         F.sum("__n").alias("n"),
         F.min(F.col("__lo") + (F.col("__hi") - F.col("__lo")) / bins * (binned - 1)).alias("bin_start"))
+
+
+def distinct_sketches(df: DataFrame, keys: Sequence[str], columns: Sequence[str], lg_k: int = 14) -> DataFrame:
+    """One sketch of the distinct values per key and column, of ``2 ** lg_k`` bytes at most however many rows there are.
+
+    Nulls are no value. Sketches of equal ``lg_k`` can be stored and merged later, so that a new season is counted without reading the others.
+    """
+    return df.groupBy(*keys).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(lg_k)).alias(c) for c in columns])
+
+
+def merged_distinct(sketches: DataFrame, groups: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Estimated distinct values of stored sketches per group: one standard error is about ``0.9 / 2 ** (lg_k / 2)`` of the count."""
+    return sketches.groupBy(*groups).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"{c}_count") for c in columns])

@@ -8,10 +8,13 @@ teams; what the requests meant is recovered from the path as columns.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from valora import config
+from valora.session import exists, materialize, scratch_tables
 
 STATISTICS = (
     "STRUCT<team: STRUCT<id: BIGINT, name: STRING>, league: STRUCT<id: INT>, "
@@ -166,6 +169,38 @@ def write_pages(pages: DataFrame, path: str) -> None:
     Rebalancing groups the rows of a season into few files and splits a season that
     holds a large share of them.
     """
-    keyed = pages.withColumn("endpoint", F.regexp_extract("request", r"^([a-z]+)_", 1)) \
+    _with_partitions(pages).hint("rebalance", "endpoint", "season").write.mode("append").partitionBy("endpoint", "season").json(path)
+
+
+def _with_partitions(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("endpoint", F.regexp_extract("request", r"^([a-z]+)_", 1)) \
         .withColumn("season", request_params(F.col("request"))["season"])
-    keyed.hint("rebalance", "endpoint", "season").write.mode("append").partitionBy("endpoint", "season").json(path)
+
+
+def refresh_pages(pages: DataFrame, path: str) -> None:
+    """Merge new responses into the cache that ``write_pages`` keeps at ``path``; every season that has new ones is left with one response per request.
+
+    A usable response replaces an error, never the other way round. Of two alike the newer one stays: the new ones before what is stored, later files before earlier
+    ones, and of those of one time always the same. Only the folders of these seasons are read and replaced, when the job commits; all others keep their files.
+    Stored responses are kept as text, with fields that no schema names. Lines that name no request stay, equal ones once.
+    """
+    spark = pages.sparkSession
+    fresh = _with_partitions(pages)
+    with scratch_tables(spark):
+        fresh = materialize(fresh.select("endpoint", "season", F.to_json(F.struct(*pages.columns)).alias("value")), "fresh-pages")
+        # One row per folder.
+        touched = fresh.select("endpoint", "season").distinct().collect()
+        rows = fresh.select("*", F.lit(1).alias("new"), F.lit(0).cast("long").alias("time"))
+        if touched and exists(spark, path):
+            here = reduce(or_, [F.col("endpoint").eqNullSafe(r.endpoint) & F.col("season").eqNullSafe(r.season) for r in touched])
+            rows = rows.unionByName(spark.read.text(path).filter(here).select(
+                "endpoint", F.col("season").cast("int").alias("season"), "value", F.lit(0).alias("new"), F.unix_micros("_metadata.file_modification_time").alias("time")))
+        usable = ~has_errors(F.get_json_object("value", "$.errors"))
+        request = F.coalesce(F.get_json_object("value", "$.request"), F.xxhash64("value").cast("string"))
+        merged = rows.groupBy("endpoint", "season", request.alias("request")).agg(
+            F.max_by("value", F.struct(usable, "new", "time", F.xxhash64("value"), "value")).alias("value"))
+        # Stored before the folders it was read from are replaced.
+        merged = materialize(merged.drop("request"), "merged-pages")
+        if touched:
+            merged.hint("rebalance", "endpoint", "season").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy("endpoint", "season").text(path)
