@@ -1,5 +1,5 @@
 """Models on the driver tables. Linear fits with one feature have a closed form in SQL; tree
-ensembles run on all rows with few trees and are checked by quality floors in the tests."""
+ensembles run on all rows and are checked by quality floors in the tests."""
 
 from __future__ import annotations
 
@@ -10,7 +10,12 @@ from valora.operators.relational import latest_split
 from valora.plans import explain, features, gram, models
 from valora.session import materialize
 
-LIGHT = {"RandomForest": {"numTrees": 10, "maxDepth": 5}, "GBT": {"maxIter": 5}}
+#: Forests have their full size, 200 trees of depth 8. Boosting, whose rounds follow one another as several small jobs each, has a tenth of its rounds.
+ROUNDS = {"GBT": {"maxIter": 30}}
+
+
+def _stage5(spark, sf):
+    return features.build_stage5(performances(spark, sf), ROW_ORDER, league_ids=range(5))
 
 
 def _stage1(spark, sf):
@@ -122,23 +127,22 @@ def fold_assignment(spark, sf):
 
 @query("global_models")
 def global_models(spark, sf):
-    return models.train_global(_stage1(spark, sf), "stage1", tuned=False, overrides=LIGHT)
+    return models.train_global(_stage1(spark, sf), "stage1", tuned=False, overrides=ROUNDS)
 
 
 @query("forest_fit")
 def forest_fit(spark, sf):
-    return models.train_global(_stage1(spark, sf), "stage1", tuned=False, models=["RandomForest"], overrides=LIGHT)
+    return models.train_global(_stage5(spark, sf), "stage5", tuned=False, models=["RandomForest"])
 
 
 @query("gbt_fit")
 def gbt_fit(spark, sf):
-    return models.train_global(_stage1(spark, sf), "stage1", tuned=False, models=["GBT"], overrides=LIGHT)
+    return models.train_global(_stage1(spark, sf), "stage1", tuned=False, models=["GBT"], overrides=ROUNDS)
 
 
 @query("position_models")
 def position_models(spark, sf):
-    return models.train_position_aware(_stage1(spark, sf), "stage1", tuned=False,
-                                       models=["Ridge", "RandomForest"], overrides=LIGHT)
+    return models.train_position_aware(_stage1(spark, sf), "stage1", tuned=False, overrides=ROUNDS)
 
 
 @query("tuned_fit")
@@ -156,16 +160,16 @@ def stacked_fit(spark, sf):
 @query("scored_values")
 def scored_values(spark, sf):
     """Forest on the earlier seasons, euros predicted for the latest."""
-    data = materialize(_stage1(spark, sf), "stage1")
+    data = materialize(_stage5(spark, sf), "stage5")
     columns = models.feature_columns(data)
     train, test = latest_split(data)
-    model = models.fit_forest(train, columns, LIGHT)
+    model = models.fit_forest(train, columns)
     return models.score(model, test, columns).select("api_player_id", "season", "market_value_in_eur", "predicted_eur")
 
 
 @query("shap_importance")
 def shap_importance(spark, sf):
-    return explain.shap_importance(_stage1(spark, sf), "global", 15, LIGHT)
+    return explain.shap_importance(_stage1(spark, sf), "global", 15)
 
 
 _LATEST_SQL = """
@@ -180,7 +184,7 @@ def shap_additivity(spark, sf):
     data = materialize(_stage1(spark, sf), "stage1")
     columns = models.feature_columns(data)
     train, test = latest_split(data)
-    model = models.fit_forest(train, columns, {"RandomForest": {"numTrees": 10}})
+    model = models.fit_forest(train, columns)
     keys = ["api_player_id", "season"]
     parts = explain.row_attributions(model, test, keys, columns)
     total = F.col("base_value") + F.aggregate("attributions", F.lit(0.0), lambda a, b: a + b)
