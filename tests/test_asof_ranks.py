@@ -143,3 +143,52 @@ def test_no_bucket_holds_many_values(spark, expression):
     low, high = values.agg(F.min("x"), F.max("x")).first()
     largest = values.groupBy(ranks.linear_bucket(F.col("x"), F.lit(low), F.lit(high)), ranks.magnitude_bucket(F.col("x"))).count().agg(F.max("count")).first()[0]
     assert largest <= 1000
+
+
+def narrow_groups(spark):
+    """Half of the values far from zero in a millionth of the whole range, one outlier beyond them; a wide group; a group of few values."""
+    ids = spark.range(40_000)
+    return ids.selectExpr("CASE WHEN id % 2 = 0 THEN 'narrow' WHEN id % 400 = 1 THEN NULL ELSE 'wide' END AS g",
+                          "CASE WHEN id = 0 THEN 9e8 WHEN id % 2 = 0 THEN 5e8 + pmod(id * 7919, 40000) / 40 ELSE pmod(id * 104729, 40000) * 25e3 END AS x") \
+        .unionByName(spark.createDataFrame([("few", 1.0), ("few", 1.0), ("few", 5.00000001e8)], "g STRING, x DOUBLE"))
+
+
+def test_no_bucket_holds_many_values_of_a_narrow_group(spark):
+    counts = ranks.value_counts(narrow_groups(spark), ["g"], "x")
+    buckets = ranks.bucketed_counts(counts, ["g"], "__x").groupBy("g", "__b").count()
+    assert buckets.agg(F.max("count")).first()[0] <= 0.01 * counts.count()
+    one = ranks.value_counts(narrow_groups(spark).filter("g = 'narrow'"), [], "x")
+    assert ranks.bucketed_counts(one, [], "__x").groupBy("__b").count().agg(F.max("count")).first()[0] <= 0.01 * one.count()
+
+
+def test_buckets_follow_the_order_of_values(spark):
+    odd = spark.createDataFrame([("narrow", float(x)) for x in ("-inf", "inf", "nan", "-1", "5e-324")], "g STRING, x DOUBLE")
+    counts = ranks.value_counts(narrow_groups(spark).unionByName(odd), ["g"], "x")
+    for _, part in ranks.bucketed_counts(counts, ["g"], "__x").orderBy("g", "__x").toPandas().groupby("g", dropna=False):
+        buckets = [tuple(b) for b in part["__b"]]
+        assert buckets == sorted(buckets)
+
+
+def test_ranks_and_quantiles_of_narrow_groups(spark):
+    df = narrow_groups(spark)
+    frame = df.toPandas()
+    got = ranks.pct_rank(df, ["g"], ["x"]).toPandas()
+    expected = frame.assign(x_pct=frame.groupby("g")["x"].rank(pct=True))
+    order = ["g", "x"]
+    pd.testing.assert_frame_equal(got.sort_values(order, ignore_index=True), expected.sort_values(order, ignore_index=True), check_dtype=False)
+    medians = {r.g: r.q for r in ranks.exact_quantile(df.filter("g IS NOT NULL"), ["g"], "x", 0.3, "q").collect()}
+    assert medians == pytest.approx(frame.groupby("g")["x"].quantile(0.3).to_dict())
+
+
+def test_more_groups_than_have_edges(spark):
+    df = spark.range(9000).selectExpr("id % 3000 AS g", "CAST(id AS DOUBLE) AS x")
+    counts = ranks.value_counts(df, ["g"], "x")
+    assert ranks.group_edges(counts, ["g"], "__x").count() == 0
+    assert ranks.pct_rank(df, ["g"], ["x"]).filter("round(x_pct * 3) != floor(x / 3000) + 1").count() == 0
+
+
+def test_no_rows_no_ranks(spark):
+    empty = spark.createDataFrame([], "g STRING, x DOUBLE")
+    assert ranks.pct_rank(empty, ["g"], ["x"]).count() == 0 and ranks.exact_quantile(empty, ["g"], "x").count() == 0
+    nothing = spark.createDataFrame([("a", float("nan")), ("a", None)], "g STRING, x DOUBLE")
+    assert sorted(str(r.x_pct) for r in ranks.pct_rank(nothing, ["g"], ["x"]).collect()) == ["1.0", "None"]

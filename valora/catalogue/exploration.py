@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from valora.catalogue.registry import query, rounded, table
 from valora.operators import ranks, relational, stats
@@ -138,6 +140,33 @@ def spearman_rank(spark, sf):
     return rounded(ranks.spearman(orders, ["o_orderpriority"], "o_totalprice", "day"), 9, "spearman")
 
 
+# A group far from zero, a millionth as wide as the range of all groups, beside one over the whole range.
+_SPREAD = "CASE l_returnflag WHEN 'R' THEN 5e8 + l_extendedprice / 100 WHEN 'N' THEN l_extendedprice * 1e4 ELSE l_extendedprice END"
+
+
+@query("narrow_group_ranks", f"""
+WITH l AS (SELECT l_returnflag, {_SPREAD} AS x FROM lineitem),
+r AS (SELECT l_returnflag, x, rank() OVER (PARTITION BY l_returnflag ORDER BY x) + (count(*) OVER (PARTITION BY l_returnflag, x) - 1) / 2.0 AS rank,
+             count(*) OVER (PARTITION BY l_returnflag) AS total FROM l)
+SELECT l_returnflag, x, round(min(rank / total), 9) AS x_pct, count(*) AS n FROM r GROUP BY l_returnflag, x""")
+def narrow_group_ranks(spark, sf):
+    """Rank and number of rows of every distinct value, in groups of very different ranges."""
+    line = table(spark, sf, "lineitem").select("l_returnflag", F.expr(_SPREAD).alias("x"))
+    ranked = ranks.pct_rank(line, ["l_returnflag"], ["x"])
+    return rounded(ranked.groupBy("l_returnflag", "x", "x_pct").agg(F.count("*").alias("n")), 9, "x_pct")
+
+
+@query("narrow_group_quantiles", f"""
+WITH l AS (SELECT l_returnflag, {_SPREAD} AS x FROM lineitem)
+{" UNION ALL ".join(f"SELECT l_returnflag, {p}::DOUBLE AS p, round(quantile_cont(x, {p}), 4) AS quantile FROM l GROUP BY 1" for p in (0.1, 0.5, 0.99))}""")
+def narrow_group_quantiles(spark, sf):
+    """Exact quantiles of the same groups, all from one table of counts."""
+    line = table(spark, sf, "lineitem").select("l_returnflag", F.expr(_SPREAD).alias("x"))
+    counts = ranks.value_counts(line, ["l_returnflag"], "x")
+    out = [ranks.quantile_of_counts(counts, ["l_returnflag"], q, "quantile").withColumn("p", F.lit(q)) for q in (0.1, 0.5, 0.99)]
+    return rounded(reduce(DataFrame.unionByName, out), 4, "quantile")
+
+
 @query("global_stats", """
 SELECT round(avg(o_totalprice), 4) AS mean, round(median(o_totalprice), 4) AS median, max(o_totalprice) AS max FROM orders""")
 def global_stats(spark, sf):
