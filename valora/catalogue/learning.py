@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from valora.catalogue.registry import ROW_ORDER, performances, query, rounded, table
 from valora.operators.relational import latest_split
 from valora.plans import explain, features, gram, models
+from valora.plans.boosting import SecondOrderBoosting
 from valora.session import materialize
 
 #: Forests have their full size, 200 trees of depth 8. Boosting, whose rounds follow one another as several small jobs each, has a tenth of its rounds.
@@ -225,3 +226,43 @@ def boosting_stump(spark, sf):
     boosting = models.estimator("GBT", data, "y", {"GBT": {
         "maxIter": 1, "maxDepth": 1, "subsamplingRate": 1.0, "featureSubsetStrategy": "all", "maxBins": 64}})
     return rounded(boosting.fit(data).transform(data), 4, "prediction").select("l_orderkey", "l_linenumber", "l_suppkey", "prediction")
+
+
+_BOOST_ROUNDS, _BOOST_DEPTH, _BOOST_RATE = 2, 2, 0.3
+
+
+def _boosting_sql() -> str:
+    """Level by level: sums per value, running sums, the best split of each node, rows to the next level."""
+    steps = ["r0_0 AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice AS y, l_quantity AS x1, l_discount AS x2, l_tax AS x3, 0 AS node, "
+             "avg(l_extendedprice) OVER () AS m FROM lineitem)"]
+    for turn in range(_BOOST_ROUNDS):
+        for level in range(_BOOST_DEPTH):
+            at, last = f"{turn}_{level}", level == _BOOST_DEPTH - 1
+            after = f"{turn + 1}_0" if last else f"{turn}_{level + 1}"
+            values = " UNION ALL ".join(f"SELECT node, {f} AS f, x{f} AS x, m - y AS g FROM r{at}" for f in (1, 2, 3))
+            steps += [
+                f"v{at} AS (SELECT node, f, x, sum(g) AS g, count(*) AS h FROM ({values}) GROUP BY ALL)",
+                f"c{at} AS (SELECT node, f, x, sum(g) OVER w AS lg, sum(h) OVER w AS lh, sum(g) OVER p AS ag, sum(h) OVER p AS ah FROM v{at} "
+                "WINDOW w AS (PARTITION BY node, f ORDER BY x), p AS (PARTITION BY node, f))",
+                f"s{at} AS (SELECT * FROM c{at} WHERE lh >= 1 AND ah - lh >= 1 QUALIFY row_number() OVER (PARTITION BY node "
+                "ORDER BY lg * lg / (lh + 1) + (ag - lg) * (ag - lg) / (ah - lh + 1) DESC, f, x) = 1)"]
+            low = "CASE f WHEN 1 THEN x1 WHEN 2 THEN x2 ELSE x3 END <= x"
+            node = "0" if last else f"2 * node + CASE WHEN {low} THEN 0 ELSE 1 END"
+            gain = f"m - {_BOOST_RATE}::DOUBLE * CASE WHEN {low} THEN lg / (lh + 1) ELSE (ag - lg) / (ah - lh + 1) END" if last else "m"
+            steps.append(f"r{after} AS (SELECT l_orderkey, l_linenumber, l_suppkey, y, x1, x2, x3, {node} AS node, {gain} AS m FROM r{at} JOIN s{at} USING (node))")
+    return f"WITH {', '.join(steps)} SELECT l_orderkey, l_linenumber, l_suppkey, round(m, 2) AS prediction FROM r{_BOOST_ROUNDS}_0"
+
+
+@query("boosting_second_order", _boosting_sql())
+def boosting_second_order(spark, sf):
+    """The exact form: two rounds of depth 2 on all rows and columns; every value of the features is a cut."""
+    line = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_extendedprice").alias("y"), "l_quantity", "l_discount", "l_tax")
+    data = models.assemble(line, ["l_quantity", "l_discount", "l_tax"])
+    boosting = SecondOrderBoosting("y", ["l_orderkey", "l_linenumber"], rounds=_BOOST_ROUNDS, depth=_BOOST_DEPTH, rate=_BOOST_RATE, rows=1.0, columns=1.0)
+    return rounded(boosting.fit(data).transform(data), 2, "prediction").select("l_orderkey", "l_linenumber", "l_suppkey", "prediction")
+
+
+@query("boosted_models")
+def boosted_models(spark, sf):
+    """Second-order boosting with its default rounds on the richest stage."""
+    return models.train_global(_stage5(spark, sf), "stage5", tuned=False, models=["Boosting"])

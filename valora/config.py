@@ -63,6 +63,7 @@ META_ALPHA = 1.0
 FOREST_PARAMS = {"numTrees": 200, "maxDepth": 8, "minInstancesPerNode": 3, "featureSubsetStrategy": "all"}
 BOOST_PARAMS = {"maxIter": 300, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8,
                 "featureSubsetStrategy": "0.8"}
+SECOND_ORDER_PARAMS = {"rounds": 300, "depth": 4, "rate": 0.05, "rows": 0.8, "columns": 0.8, "penalty": 1.0, "least": 1.0}
 # Search spaces; depth 30 is the deepest tree Spark ML grows and stands for "no limit".
 SEARCH_SPACES = {
     "RandomForest": {

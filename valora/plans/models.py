@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from valora import config
 from valora.operators.relational import columns_with, latest_split
 from valora.plans import gram
+from valora.plans.boosting import SecondOrderBoosting
 from valora.plans.metrics import RESULT_KEYS, regression_metrics
 from valora.session import materialize
 
@@ -77,6 +78,8 @@ def estimator(name: str, train: DataFrame, label: str = LABEL, overrides: Overri
         return RandomForestRegressor(**common, seed=config.SEED, **{**config.FOREST_PARAMS, **extra})
     if name == "GBT":
         return GBTRegressor(**common, seed=config.SEED, **{**config.BOOST_PARAMS, **extra})
+    if name == "Boosting":
+        return SecondOrderBoosting(label, KEY, **extra)
     raise ValueError(f"unknown model {name!r}")
 
 
