@@ -12,7 +12,7 @@ from valora.plans.boosting import SecondOrderBoosting
 from valora.session import materialize
 
 #: Forests have their full size, 200 trees of depth 8. Boosting, whose rounds follow one another as several small jobs each, has a tenth of its rounds.
-ROUNDS = {"GBT": {"maxIter": 30}}
+ROUNDS = {"GBT": {"maxIter": 30}, "Boosting": {"rounds": 30}}
 
 
 def _stage5(spark, sf):
@@ -264,5 +264,5 @@ def boosting_second_order(spark, sf):
 
 @query("boosted_models")
 def boosted_models(spark, sf):
-    """Second-order boosting with its default rounds on the richest stage."""
-    return models.train_global(_stage5(spark, sf), "stage5", tuned=False, models=["Boosting"])
+    """Second-order boosting on the richest stage."""
+    return models.train_global(_stage5(spark, sf), "stage5", tuned=False, models=["Boosting"], overrides=ROUNDS)
