@@ -95,6 +95,11 @@ def test_global_models_learn(table1):
     assert min(r.r2_log for r in rows.values()) > 0.3 and rows["Ridge"].spearman_log > 0.6
 
 
+def test_second_order_boosting_learns(table1):
+    row = models.train_global(table1, "stage1", tuned=False, models=["Boosting"], overrides={"Boosting": {"rounds": 12, "depth": 3, "rate": 0.3}}).first()
+    assert row.model == "Boosting" and row.r2_log > 0.3
+
+
 def test_tuned_model(table1):
     (row,) = models.train_global(table1, "stage1", models=["RandomForest"], overrides={"RandomForest": {"numTrees": 3}}, draws=2).collect()
     assert row.r2_log > 0.3
