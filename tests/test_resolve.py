@@ -138,3 +138,13 @@ def test_names_without_letters_or_blocks(spark):
     rdf = spark.createDataFrame([(1, "", "b", 1), (2, "ab cd", None, 2), (3, "ab cd", "b", 3), (4, "cd ab", "b", 4)], "id BIGINT, rname STRING, block STRING, ord INT")
     assert [tuple(r) for r in resolve.best_similar(ldf, rdf, 80.0).collect()] == [("b", "ab cd", 3, 100.0)]
     assert resolve.best_similar(ldf.limit(0), rdf, 80.0).count() == 0 and resolve.best_similar(ldf, rdf.limit(0), 80.0).count() == 0
+
+
+def test_keys_are_joined_without_a_broadcast_and_in_several_tasks(spark):
+    """A name is a few bytes and dozens of wide keys, which no estimate of sizes sees (the two sides here are far below every limit)."""
+    left = spark.createDataFrame([("b", "blue ring"), ("b", "old plates")], "block string, lname string")
+    right = spark.createDataFrame([("b", "blue rings"), ("b", "old plate")], "block string, rname string")
+    pairs = resolve.candidate_pairs(left, right, 80.0)
+    plan = pairs._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and plan.count("RepartitionByExpression") + plan.count("REPARTITION_BY_NUM") == 2
+    assert {tuple(row) for row in pairs.collect()} == {("b", "blue ring", "blue rings"), ("b", "old plates", "old plate")}

@@ -59,6 +59,12 @@ def _keyed(names: DataFrame, name: str, alias: str, signed, threshold: float) ->
                        name, F.struct("s.grams", *[f"s.{c}" for c in PROFILE], *[F.when(token_row, F.col(f"s.{c}")).alias(c) for c in ("own", "whole")]).alias(alias))
 
 
+def _spread(names: DataFrame, name: str) -> DataFrame:
+    """Names are few bytes but many keys each, so their size must not decide in how many tasks they are keyed. Spark would leave out a
+    repartition by (block, name), as they lie already."""
+    return names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), name, "block")
+
+
 def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """(block, lname, rname): pairs that may reach the threshold, each once, from (block, lname) and (block, rname).
 
@@ -67,15 +73,18 @@ def candidate_pairs(left: DataFrame, right: DataFrame, threshold: float) -> Data
     that are a few numbers; no pair is shuffled to find its double.
     """
     signed = signature_udf(threshold, gram_ranks(right, "rname"))
-    l_rows, r_rows = _keyed(left, "lname", "l", signed, threshold), _keyed(right, "rname", "r", signed, threshold)
+    l_rows, r_rows = (_keyed(_spread(names, name), name, side, signed, threshold) for names, name, side in ((left, "lname", "l"), (right, "rname", "r")))
     common = F.array_intersect("l.grams", "r.grams")
-    alike = (F.size(common) >= 2) & may_be_similar("l", "r", threshold)
+    fitting = may_be_similar("l", "r", threshold)
+    alike = fitting & (F.size(common) >= 2)
     by_left, by_right = F.array_intersect("l.own", "r.whole"), F.array_intersect("l.whole", "r.own")
-    here = F.when(F.col("l_b") >= 0, (F.slice(common, 1, 2) == F.array("l_a", "l_b")) & alike) \
+    # The few integer operations come before the sets of bigrams: where a block is full of names of the same words, most pairs end there.
+    here = F.when(F.col("l_b") >= 0, fitting & (F.slice(common, 1, 2) == F.array("l_a", "l_b"))) \
         .when(F.col("l_b") == LEFT_LONG, (F.array_min(by_left) == F.col("l_a")) & ~alike) \
         .otherwise((F.size(by_left) == 0) & (F.array_min(by_right) == F.col("l_a")) & ~alike)
     same = [F.col(f"l_{c}") == F.col(f"r_{c}") for c in ("block", "band", "a", "b")]
-    return l_rows.join(r_rows, reduce(Column.__and__, same) & here).select(F.col("l_block").alias("block"), "lname", "rname")
+    # Spark's estimate of a side's size knows nothing of the keys per name: without the hint it would broadcast gigabytes.
+    return l_rows.hint("merge").join(r_rows, reduce(Column.__and__, same) & here).select(F.col("l_block").alias("block"), "lname", "rname")
 
 
 def best_similar(left: DataFrame, right: DataFrame, threshold: float = config.FUZZY_THRESHOLD) -> DataFrame:
