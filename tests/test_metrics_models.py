@@ -178,3 +178,16 @@ def test_shap_importance_guards_and_order(spark, table1):
         explain.shap_importance(features.build_stage1(joined(spark, {}, dict(season=2023)), ["ord"]))
     with pytest.raises(ValueError):
         explain.shap_importance(table1, "GK")
+
+
+def test_many_rows_are_attributed_by_patterns_of_conditions(monkeypatch):
+    """One tree of ten path features, so that a pattern takes two octets: as row by row, with work that depends on patterns, not on rows."""
+    r = np.random.default_rng(5)
+    depth, leaves = 10, 3
+    tree = {"feature": np.array([r.permutation(12)[:depth] for _ in range(leaves)]), "low": r.normal(-1, 1, (leaves, depth)), "high": r.normal(1, 1, (leaves, depth)),
+            "share": r.uniform(0.1, 0.9, (leaves, depth)), "value": r.normal(size=leaves)}
+    x, direct, worked = r.normal(size=(5000, 12)), explain._attributions, []
+    by_row = np.vstack([explain.shap_values([tree], x[at:at + 100]) for at in range(0, len(x), 100)])
+    monkeypatch.setattr(explain, "_attributions", lambda t, met: worked.append(len(met)) or direct(t, met))
+    assert explain.shap_values([tree], x, cells=2000) == pytest.approx(by_row, abs=1e-12)
+    assert sum(worked) == 1 << depth

@@ -26,6 +26,11 @@ from valora.plans.models import LABEL, feature_columns, fit_forest
 from valora.session import materialize, scratch_dir
 
 
+#: All patterns of a tree's conditions are worked out once if a batch has so many times as many rows as there are patterns,
+#: and their attributions are no more numbers (8 bytes each) than this; other trees are worked out row by row.
+PATTERN_SHARE, PATTERN_CELLS = 4, 4_000_000
+
+
 def forest_nodes(model: Model, df: DataFrame) -> list[pd.DataFrame]:
     """Node table of every tree, indexed by node id, read from the saved model."""
     spark = df.sparkSession
@@ -85,6 +90,20 @@ def _attributions(tree: dict[str, np.ndarray], met: np.ndarray) -> np.ndarray:
     return total * (met - share) * tree["value"][:, None]
 
 
+def _all_attributions(tree: dict[str, np.ndarray], rows: int) -> np.ndarray:
+    """Attribution (pattern, leaf, path feature) for every pattern of met conditions: what a leaf gives depends on a row by no more."""
+    leaves, depth = tree["share"].shape
+    bits = (np.arange(1 << depth)[:, None] >> np.arange(depth) & 1).astype(float)
+    return np.concatenate([_attributions(tree, np.broadcast_to(part[:, None], (len(part), leaves, depth)))
+                           for part in (bits[at:at + rows] for at in range(0, 1 << depth, rows))])
+
+
+def _pattern(met: np.ndarray) -> np.ndarray:
+    """The conditions met by each (row, leaf) as one number, the first path feature its lowest bit."""
+    octets = np.packbits(met, axis=2, bitorder="little").astype(np.int64)
+    return sum(octets[..., i] << 8 * i for i in range(octets.shape[2]))
+
+
 def shap_values(trees: Sequence[dict[str, np.ndarray]], x: np.ndarray, cells: int = 1_000_000) -> np.ndarray:
     """Attributions (row, feature) of the mean of the trees, in batches of ``cells`` numbers."""
     n, n_features = x.shape
@@ -98,10 +117,12 @@ def shap_values(trees: Sequence[dict[str, np.ndarray]], x: np.ndarray, cells: in
         scatter = np.zeros((leaves * depth, n_features + 1))
         scatter[np.arange(leaves * depth), tree["feature"].ravel()] = 1.0
         rows = max(1, cells // (leaves * depth))
+        known = _all_attributions(tree, rows) if n >= PATTERN_SHARE << depth and leaves * depth << depth <= PATTERN_CELLS else None
         for start in range(0, n, rows):
             value = padded[start:start + rows][:, tree["feature"]]
             met = (value > tree["low"]) & (value <= tree["high"])
-            total[start:start + rows] += _attributions(tree, met.astype(float)).reshape(len(value), -1) @ scatter
+            parts = _attributions(tree, met.astype(float)) if known is None else known[_pattern(met), np.arange(leaves)]
+            total[start:start + rows] += parts.reshape(len(value), -1) @ scatter
     return total[:, :n_features] / len(trees)
 
 
