@@ -2,10 +2,13 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from valora.catalogue import registry
+from valora.operators import ranks, relational
+from valora.plans.dataset import build_crosswalk
 
 
 def plan_of(df):
@@ -39,3 +42,25 @@ def test_lines_are_not_shuffled_to_meet_few_suppliers(spark, tables):
     assert "hashpartitioning(l_suppkey" not in plan
     # Supplier 6 is not known.
     assert sorted(rows) == [(i, None if i == 6 else i % 3 + 10) for i in range(7)]
+
+
+def test_values_are_placed_once_for_all_quantiles(spark, monkeypatch):
+    placed = []
+    monkeypatch.setattr(ranks, "value_positions", lambda *a, real=ranks.value_positions, **k: placed.append(a) or real(*a, **k))
+    rows = spark.range(1001).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 7 > 0, F.col("id").cast("double")).alias("x"))
+    found = ranks.quantiles_of_counts(ranks.value_counts(rows, ["g"], "x"), ["g"], [0.0, 0.1, 0.5, 0.99, 1.0]).collect()
+    expected = {(g, p): float(np.quantile([i for i in range(1001) if i % 7 and i % 2 == g], p)) for g in (0, 1) for p in (0.0, 0.1, 0.5, 0.99, 1.0)}
+    assert {(r.g, r.p): r.quantile for r in found} == pytest.approx(expected) and len(placed) == 1
+
+
+def test_repeated_people_are_combined_before_the_sort(spark):
+    rows = spark.range(1000).select((F.col("id") % 10).alias("k"), F.when(F.col("id") < 20, F.lit(None)).otherwise(F.translate((F.col("id") % 20 + 10).cast("string"), "0123456789", "abcdefghij")).alias("name"),
+                                    F.lit(dt.date(2000, 1, 1)).alias("d"), (1000 - F.col("id")).alias("o"))
+    found = relational.first_kind_per_key(rows, ["k"], ["o"], ["name", "d"])
+    assert sorted(found.collect()) == sorted(relational.first_per_key(rows, ["k"], ["o"], ["name", "d"]).collect())
+    people = build_crosswalk(rows.select(F.col("k").alias("api_player_id"), F.col("name").alias("full_name_norm"), F.col("name").alias("last_name_norm"), F.col("d").alias("dob"),
+                                         F.col("o").alias("rec_ord")),
+                             spark.createDataFrame([(1, "cb", "cb", dt.date(2000, 1, 1))], "player_id BIGINT, name STRING, last_name STRING, date_of_birth DATE"))
+    assert {r.api_player_id: r.tm_player_id for r in people.collect()}[1] == 1
+    keys = [line for line in plan_of(found).splitlines() if "HashAggregate(keys=[k" in line]
+    assert any("name" in line.split("functions")[0] for line in keys)

@@ -10,7 +10,7 @@ from valora.functions.numeric import parse_number
 from valora.functions.text import full_name, normalize_name
 from valora.operators.asof import asof_nearest
 from valora.operators.order import Bits, row_order
-from valora.operators.relational import attach, first_per_key, keep_other_than, known, semi_filter
+from valora.operators.relational import attach, first_kind_per_key, first_per_key, keep_other_than, known, semi_filter
 from valora.operators.resolve import resolve
 from valora.sources.tables import MarketTables
 
@@ -61,8 +61,8 @@ def flatten_players(records: DataFrame, dedup: bool = False) -> DataFrame:
 def build_crosswalk(rows: DataFrame, market_players: DataFrame,
                     threshold: float = config.FUZZY_THRESHOLD) -> DataFrame:
     """``api_player_id, tm_player_id, match_method``, one row per player of the flat rows."""
-    people = first_per_key(rows.transform(known, "api_player_id"), ["api_player_id"], ["rec_ord"],
-                           ["full_name_norm", "last_name_norm", "dob"])
+    people = first_kind_per_key(rows.transform(known, "api_player_id"), ["api_player_id"], ["rec_ord"],
+                                ["full_name_norm", "last_name_norm", "dob"])
     market = market_players.select(
         "player_id", normalize_name(F.col("name")).alias("full_name_norm"),
         normalize_name(F.col("last_name")).alias("last_name_norm"), F.col("date_of_birth").cast("date").alias("dob"))
