@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from valora.plans import boosting, models
@@ -102,3 +103,18 @@ def test_tables_are_removed(spark, sample, tmp_path_factory):
     x, y = sample
     SecondOrderBoosting("y", ["id"], rounds=1, depth=1).fit(frame(spark, x, y))
     assert not [n for n in os.listdir(checkpoint_root(spark)) if n.startswith("boosting-")]
+
+
+def test_a_level_reads_blocks_of_rows_and_walks_few_trees(spark, sample, monkeypatch):
+    """What a level costs grows neither with Spark's rows nor with the rounds, and only one table of blocks is left."""
+    x, y = sample
+    df = frame(spark, x, y)
+    edges = boosting.quantile_edges(df, vector_to_array("features"), 3)
+    blocks = boosting.bin_rows(df.coalesce(1), vector_to_array("features"), "y", ["id"], edges, 1.5).collect()
+    assert len(blocks) == 1 and len(blocks[0].bins) == 3 * len(y) and np.frombuffer(blocks[0].y).tolist() == pytest.approx(y.tolist())
+    walked, dropped, sums, drop = [], [], boosting._level_sums, boosting.drop_stored
+    monkeypatch.setattr(boosting, "_level_sums", lambda rows, width, trees, *rest: walked.append(len(trees)) or sums(rows, width, trees, *rest))
+    monkeypatch.setattr(boosting, "drop_stored", lambda stored: dropped.append(drop(stored)))
+    model = SecondOrderBoosting("y", ["id"], rounds=12, depth=1, rate=0.5, rows=1.0, columns=1.0).fit(df)
+    assert max(walked) < 6 and len(dropped) == 2
+    assert predictions(model, df) == pytest.approx(plain(x, y, 12, 1, 0.5))
