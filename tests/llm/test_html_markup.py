@@ -107,3 +107,12 @@ def test_well_formed_pages_against_a_plain_reader(seed):
     plain.feed(page)
     plain.flush()
     assert [text for text, inside in htmltext.blocks_of(page) if inside] == plain.blocks
+
+
+def test_blocks_that_are_sure_count_where_a_doubtful_one_recurs(spark):
+    """All blocks of a host go through the suffix ranks, not only those in doubt; what is surely the article's stays all the same."""
+    doubtful = "<body><article><p>Own text 0</p><div class='related-links'>More of the same</div></article></body>"
+    sure = "<body><article><p>Own text {k}</p><p>More of the same</p></article></body>"
+    rows = [(0, "http://h/0", doubtful), (9, "http://other/9", doubtful), *((k, f"http://h/{k}", sure.format(k=k)) for k in range(1, 3))]
+    got = {r.page_id: r.text for r in htmltext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {0: "Own text 0", 9: "Own text 0\nMore of the same", **{k: f"Own text {k}\nMore of the same" for k in range(1, 3)}}

@@ -2,9 +2,10 @@
 
 A page is read tag by tag, in time linear in its length whatever its markup, into blocks of text. Blocks in menus, footers, adverts, forms, comments and the like go by
 their elements and by names that state such a role outright. A class or id that only resembles one decides nothing inside an article; there it leaves the block in doubt. So are all
-blocks of pages without an article, without text by these rules, or with more text outside their articles than inside (teasers). Blocks in doubt of all pages of a host are concatenated as
-streams of block numbers, and a suffix array over the streams (by prefix doubling) finds the runs that recur on distinct pages of the host. Runs that recur are boilerplate and go; unique
-runs stay. A page of which nothing would be left is a copy and stays whole.
+blocks of pages without an article, without text by these rules, or with more text outside their articles than inside (teasers). The blocks of all pages of a host, in doubt or not, are
+concatenated as streams of block numbers, and a suffix array over the streams (by prefix doubling) finds the runs that recur on distinct pages of the host. Runs that recur are boilerplate and
+their blocks in doubt go; unique runs stay, and so does what the elements surely state to be the article, as sentences and whole articles recur too. A page of which nothing would be left is a
+copy and stays whole.
 
 Rows: a null or empty page has no text; markup may be broken or unclosed: an unclosed comment hides the rest of its page, and once a quoted attribute is not closed, tags end at the next ``>``.
 A null url is a host of its own. Pages that repeat another page's id or html get their own rows. Pages are read whole, however long. Other columns are ignored.
@@ -23,7 +24,7 @@ from valora.llm.common import text_slices
 from valora.llm.linededup import stretches, suffix_ranks
 from valora.session import materialize
 
-#: A run of blocks in doubt is boilerplate if it has so many words and stands on so many pages of its host.
+#: A run of blocks is boilerplate if it has so many words and stands on so many pages of its host.
 MIN_WORDS, MIN_PAGES = 2, 3
 #: Elements by their role in a page.
 SKIPPED = frozenset("script style noscript template head title nav footer aside form button select textarea input svg canvas iframe object audio video dialog menu".split())
@@ -203,27 +204,25 @@ def host_of(url: str | None) -> str | None:
 
 
 def page_blocks(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """(id, url, key, host, blocks, places, asked): the blocks that may be main text; the places and texts of those in doubt."""
+    """(id, url, key, host, blocks, places): the blocks that may be main text, and the places of those in doubt."""
     def run(batches):
         for batch in text_slices(batches, 3):
             found = [main_blocks(page or "") for page in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 *(batch.column(c) for c in ("id", "url", "key")), pa.array([host_of(url) for url in batch.column(1).to_pylist()], pa.string()),
                 pa.array([[text for text, _ in blocks] for blocks in found], pa.list_(pa.string())),
-                pa.array([[i for i, (_, doubt) in enumerate(blocks) if doubt] for blocks in found], pa.list_(pa.int32())),
-                pa.array([[text for text, doubt in blocks if doubt] for blocks in found], pa.list_(pa.string()))],
-                names=["id", "url", "key", "host", "blocks", "places", "asked"])
+                pa.array([[i for i, (_, doubt) in enumerate(blocks) if doubt] for blocks in found], pa.list_(pa.int32()))],
+                names=["id", "url", "key", "host", "blocks", "places"])
 
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.xxhash64(url_col, html_col).alias("key"), F.col(html_col).alias("html"))
     texts = T.ArrayType(T.StringType())
-    schema = T.StructType([*rows.schema.fields[:3], T.StructField("host", T.StringType()), T.StructField("blocks", texts), T.StructField("places", T.ArrayType(T.IntegerType())),
-                           T.StructField("asked", texts)])
+    schema = T.StructType([*rows.schema.fields[:3], T.StructField("host", T.StringType()), T.StructField("blocks", texts), T.StructField("places", T.ArrayType(T.IntegerType()))])
     return rows.mapInArrow(run, schema)
 
 
 def recurring(pages: DataFrame, min_words: int, min_pages: int) -> DataFrame:
-    """(id, key, gone): numbers of the blocks in doubt that lie in runs of ``min_words`` words or more on ``min_pages`` distinct pages of a host."""
-    lines = pages.filter("size(asked) > 0").select("id", "key", "host", F.posexplode("asked").alias("line", "content")).select(
+    """(id, key, gone): numbers of the blocks that lie in runs of ``min_words`` words or more on ``min_pages`` distinct pages of a host."""
+    lines = pages.select("id", "key", "host", F.posexplode("blocks").alias("line", "content")).select(
         "id", "key", F.col("line").alias("nth"), "line", F.size(F.split("content", " ")).alias("n_words"),
         F.xxhash64(F.lit(1), F.isnull("host"), "host", "content").alias("h1"), F.xxhash64(F.lit(2), F.isnull("host"), "host", "content").alias("h2"))
     ranks, levels = suffix_ranks(lines, min_words)
@@ -238,7 +237,7 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     read = materialize(page_blocks(pages, id_col, url_col, html_col), "pages")
     gone = recurring(read, min_words, min_pages).withColumnRenamed("id", "gone_id").withColumnRenamed("key", "gone_key")
     doubtful = read.filter("size(places) > 0").join(gone.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left")
-    dropped = F.transform("gone", lambda i: F.get("places", i))
+    dropped = F.array_intersect("gone", "places")
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("blocks") - 1), dropped), lambda i: F.get("blocks", i))
     names = [F.col("id").alias(id_col), F.col("url").alias(url_col)]
     sure = read.filter("size(places) = 0").select(*names, F.array_join("blocks", "\n").alias("text"))
