@@ -35,6 +35,8 @@ MOST_NODES = 1_000_000
 COST_SETS = 1_000_000
 #: Segments beyond those that the pigeonhole needs, as a share of them.
 SPARE = 0.25
+#: Signatures that one task groups: each takes some 400 bytes there, many times what Spark's estimate of the shuffle sees.
+TASK_SIGNATURES = 300_000
 #: Bits of a sketch.
 SKETCH = 1024
 #: Odd multipliers; fixed values.
@@ -181,6 +183,13 @@ def linked(pairs: DataFrame, documents: DataFrame, text_col: str, members: DataF
         .filter(F.col("common").cast("long") * 100 >= (F.size("x") + F.size("y") - F.col("common")).cast("long") * percent).select("a", "b")
 
 
+def signature_tasks(signed_docs: DataFrame) -> int:
+    """Number of tasks for the signatures, by their count; at most four times Spark's number, so that large inputs do not end in many tiny blocks."""
+    held = signed_docs.agg(F.sum(F.size("own") + F.size("below"))).first()[0] or 0
+    most = 4 * int(signed_docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(held // TASK_SIGNATURES + 1, most)
+
+
 def shared_signatures(signed_docs: DataFrame, bands: Bands, longest: int) -> DataFrame:
     """(signature, node, n, cost, asks) of the signatures that several nodes hold. ``asks``: the signature is among the rarest of its node's
     scheme, of which two similar sets must have one in common."""
@@ -190,7 +199,7 @@ def shared_signatures(signed_docs: DataFrame, bands: Bands, longest: int) -> Dat
         F.struct(F.col("band").alias("scheme"), F.col("n"), F.col("own").alias("signatures")),
         F.struct((F.col("band") - 1).alias("scheme"), F.col("n"), F.col("below").alias("signatures")))).alias("x")) \
         .select("node", (F.col("x.scheme").cast("long") * 2**40 + F.col("x.n")).alias("tag"), F.explode("x.signatures").alias("signature")) \
-        .repartition("signature")
+        .repartition(signature_tasks(signed_docs), "signature")
     # The tag is read here too, although every one is positive: both readers of the entries must have the same columns to share one exchange.
     crowd = entries.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min("tag").alias("tag"), F.count("*").alias("size")) \
         .filter("low <> high AND tag >= 0")
