@@ -148,3 +148,30 @@ def test_keys_are_joined_without_a_broadcast_and_in_several_tasks(spark):
     plan = pairs._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and plan.count("RepartitionByExpression") + plan.count("REPARTITION_BY_NUM") == 2
     assert {tuple(row) for row in pairs.collect()} == {("b", "blue ring", "blue rings"), ("b", "old plates", "old plate")}
+
+
+def test_blocks_of_the_same_words_are_tested_pair_by_pair(spark, monkeypatch):
+    """Names of one block that share most keys: each pair is tested once, and both ways find the same pairs that reach the threshold."""
+    monkeypatch.setattr(resolve, "CELL", 7)
+    words = ["brown", "green", "steel", "linen"]
+    right = [("b", f"{a} {b} {c}") for a in words for b in words for c in ("zuk", "vira", "reto")] + [("few", "plum stone"), ("none", "brown steel zuk")]
+    left = [("b", f"{c} {b} {a}e") for a in words for b in words for c in ("zuk", "vira", "reto")] + [("few", "plum stones"), ("other", "brown steel zuk")]
+    ldf, rdf = spark.createDataFrame(left, "block STRING, lname STRING"), spark.createDataFrame(right, "block STRING, rname STRING")
+    expected = {(b, x, y) for b, x in left for c, y in right if b == c and token_set_score(x, y) >= 80}
+    for small, meeting, by_keys in ((100, 1.0, False), (0, 1.0, False), (0, 0.0, True)):
+        monkeypatch.setattr(resolve, "SMALL_BLOCK", small)
+        monkeypatch.setattr(resolve, "MEETING", meeting)
+        found = resolve.candidate_pairs(ldf, rdf, 80.0)
+        pairs = [tuple(r) for r in found.collect()]
+        assert len(pairs) == len(set(pairs)) and {p for p in pairs if token_set_score(*p[1:]) >= 80} == expected
+        signed = [names.select("block", name, resolve.signature_udf(80.0, {})(name).alias("s")) for names, name in ((ldf, "lname"), (rdf, "rname"))]
+        ways = {r.block: r.paired for names in resolve._with_ways(signed, 80.0) for r in names.collect()}
+        assert ways == {"b": not by_keys, "few": not by_keys}
+
+
+def test_keys_of_large_blocks_equal_brute_force(spark, monkeypatch):
+    """The way by keys, which small blocks do not take any more."""
+    monkeypatch.setattr(resolve, "SMALL_BLOCK", 0)
+    monkeypatch.setattr(resolve, "MEETING", 0.0)
+    test_large_blocks_find_the_same_best_names(spark, monkeypatch, 5)
+    test_one_large_block_of_random_names_equals_brute_force(spark)
