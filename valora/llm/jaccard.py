@@ -35,8 +35,8 @@ MOST_NODES = 1_000_000
 COST_SETS = 1_000_000
 #: Segments beyond those that the pigeonhole needs, as a share of them.
 SPARE = 0.25
-#: Signatures that one task groups: each takes some 400 bytes there, many times what Spark's estimate of the shuffle sees.
-TASK_SIGNATURES = 300_000
+#: Signatures that one task groups: each takes some 400 bytes there, many times what Spark's estimate of the shuffle sees. Smaller blocks are packed worse.
+TASK_SIGNATURES = 600_000
 #: Bits of a sketch.
 SKETCH = 1024
 #: Odd multipliers; fixed values.
