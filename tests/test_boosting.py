@@ -5,7 +5,8 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from valora.plans import boosting, models
+from builders import league
+from valora.plans import boosting, features, models
 from valora.plans.boosting import SecondOrderBoosting
 
 
@@ -105,6 +106,26 @@ def test_tables_are_removed(spark, sample, tmp_path_factory):
     assert not [n for n in os.listdir(checkpoint_root(spark)) if n.startswith("boosting-")]
 
 
+def test_small_tables_give_the_trees_of_large_ones(spark, sample, monkeypatch):
+    x, y = sample
+    df = frame(spark, x, y).repartition(3)
+    fitted = SecondOrderBoosting("y", ["id"], rounds=7, depth=3, rate=0.3)
+    by_level = predictions(fitted.fit(df), df)
+    monkeypatch.setattr(boosting, "FEW_LEVELS", 0)
+    assert predictions(fitted.fit(df), df) == pytest.approx(by_level)
+
+
+def test_the_query_has_all_its_rounds(spark, monkeypatch):
+    from valora import config
+    from valora.catalogue import learning
+    fitted = []
+    monkeypatch.setattr(learning, "_stage5", lambda spark, sf: features.build_stage5(league(spark, 60), ["ord"]))
+    fit = SecondOrderBoosting.fit
+    monkeypatch.setattr(SecondOrderBoosting, "fit", lambda self, df: fitted.append(fit(self, df)) or fitted[-1])
+    assert learning.boosted_models(spark, "").first().model == "Boosting"
+    assert [len(m.trees) for m in fitted] == [config.SECOND_ORDER_PARAMS["rounds"]] == [300]
+
+
 def test_a_level_reads_blocks_of_rows_and_walks_few_trees(spark, sample, monkeypatch):
     """What a level costs grows neither with Spark's rows nor with the rounds, and only one table of blocks is left."""
     x, y = sample
