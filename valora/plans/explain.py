@@ -1,4 +1,4 @@
-"""Tree SHAP attributions of a Spark ML forest.
+"""Tree SHAP attributions of a forest.
 
 The path-dependent value of a feature subset S at a leaf is
 ``value * prod_f (o_f if f in S else z_f)``: ``o_f`` says whether the row meets all conditions
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from valora import config
 from valora.operators.relational import columns_with, latest_split
+from valora.plans.forest import Forest
 from valora.plans.models import LABEL, feature_columns, fit_forest
 from valora.session import materialize, scratch_dir
 
@@ -32,7 +33,9 @@ PATTERN_SHARE, PATTERN_CELLS = 4, 4_000_000
 
 
 def forest_nodes(model: Model, df: DataFrame) -> list[pd.DataFrame]:
-    """Node table of every tree, indexed by node id, read from the saved model."""
+    """Node table of every tree, indexed by node id; that of a Spark ML model is read from the saved model."""
+    if isinstance(model, Forest):
+        return model.nodes()
     spark = df.sparkSession
     path = scratch_dir(spark, "forest")
     model.write().save(path)
