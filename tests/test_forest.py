@@ -78,3 +78,32 @@ def test_a_forest_is_one_job_of_trees_and_keeps_its_size(spark, monkeypatch):
     monkeypatch.setattr(models, "estimator", lambda *_, **__: pytest.fail("fitted by Spark ML"))
     model = models.fit_forest(table, models.feature_columns(table))
     assert model.feature.shape == (200, 255) and len(explain.forest_nodes(model, table)) == 200
+
+
+def test_attributions_by_parts_equal_those_by_row(monkeypatch):
+    """A tree of depth 8 with features that return on a path: what is looked up depends on parts, not on leaves."""
+    import pandas as pd
+    r = np.random.default_rng(6)
+    inner = 255
+    cover = np.zeros(511)
+    cover[inner:] = r.integers(3, 50, 256)
+    for i in reversed(range(inner)):
+        cover[i] = cover[2 * i + 1] + cover[2 * i + 2]
+    ids = np.arange(511)
+    full = pd.DataFrame({"prediction": r.normal(size=511), "cover": cover, "leftChild": np.where(ids < inner, 2 * ids + 1, -1), "rightChild": np.where(ids < inner, 2 * ids + 2, -1),
+                         "feature": np.where(ids < inner, r.integers(0, 10, 511), -1), "threshold": r.normal(size=511)})
+    short = full.loc[[0, 1, 2, 5, 6]].copy()
+    short.loc[[1, 5, 6], ["leftChild", "rightChild"]] = -1
+    trees, x = [explain.compile_tree(t, 10) for t in (full, short)], r.normal(size=(3000, 10))
+    assert len(trees[0]["parts"]) == 64 and max(len(splits) for splits, _ in trees[0]["parts"]) == 9 and len(trees[1]["parts"]) == 1
+    by_parts = explain.shap_values(trees, x)
+    monkeypatch.setattr(explain, "PART_ROWS", 1 << 40)
+    assert by_parts == pytest.approx(explain.shap_values(trees, x), abs=1e-12)
+
+
+def test_batches_are_explained_together(monkeypatch):
+    import pandas as pd
+    monkeypatch.setattr(explain, "GATHERED_ROWS", 25)
+    batches = [pd.DataFrame({"a": range(i, i + 10)}) for i in range(0, 70, 10)]
+    found = list(explain._gathered(iter(batches)))
+    assert [len(b) for b in found] == [30, 30, 10] and pd.concat(found).a.tolist() == list(range(70))
